@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.missing import column
 
@@ -33,24 +33,36 @@ def reconcile_counts(raw: DataFrame, clean: DataFrame, keys: Sequence[str]) -> D
             .withColumn("missing_rows", F.col("raw_rows") - F.col("clean_rows")))
 
 
+def _of_reference(stat: str, key: str, reference: Column | None) -> Column:
+    """A statistic of the reference period, beside every period of its key.
+
+    The window runs over aggregated rows, one per key and period, so it stays small
+    however many rows a key has, and the table itself is read once.
+    """
+    periods = Window.partitionBy(key)
+    if reference is None:
+        return F.min_by(stat, "period").over(periods)
+    return F.max(F.when(F.col("period") == reference, F.col(stat))).over(periods)
+
+
 def drift_stats(df: DataFrame, period: Column, key: str, value: str,
-                reference: Column) -> DataFrame:
+                reference: Column | None = None) -> DataFrame:
     """Mean and spread per key and period beside those of the reference period.
 
-    ``shift`` is the change of the mean in reference standard deviations. The join is
-    between aggregates of one row per key and period.
+    ``shift`` is the change of the mean in reference standard deviations. Without a
+    reference, the first period of each key is the reference.
     """
     stats = df.groupBy(period.alias("period"), key).agg(
         F.count("*").alias("n_rows"), F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("spread"))
-    base = (stats.where(F.col("period") == reference)
-            .select(key, F.col("mean").alias("ref_mean"), F.col("spread").alias("ref_spread")))
     shift = (F.col("mean") - F.col("ref_mean")) / F.nullif(F.col("ref_spread"), F.lit(0.0))
-    return stats.join(base, key, "left").withColumn("shift", shift)
+    return (stats.withColumns({"ref_mean": _of_reference("mean", key, reference),
+                               "ref_spread": _of_reference("spread", key, reference)})
+            .withColumn("shift", shift))
 
 
 def population_stability(df: DataFrame, period: Column, key: str, value: str,
-                         edges: Sequence[float], reference: Column,
+                         edges: Sequence[float], reference: Column | None = None,
                          floor: float = 1e-4) -> DataFrame:
     """Population stability index per key and period over fixed bins.
 
@@ -70,10 +82,10 @@ def population_stability(df: DataFrame, period: Column, key: str, value: str,
               .agg(F.array(*counts).alias("bins"), F.count(v).alias("n_rows")))
     shares = groups.withColumn(
         "shares", F.transform("bins", lambda n: F.greatest(F.try_divide(n, F.col("n_rows")), F.lit(floor))))
-    base = shares.where(F.col("period") == reference).select(key, F.col("shares").alias("ref"))
+    paired = shares.withColumn("ref", _of_reference("shares", key, reference))
     parts = F.zip_with("shares", "ref", lambda p, q: (p - q) * F.ln(p / q))
     psi = F.aggregate(parts, F.lit(0.0), lambda total, part: total + part)
-    return shares.join(base, key, "left").select("period", key, "n_rows", psi.alias("psi"))
+    return paired.select("period", key, "n_rows", psi.alias("psi"))
 
 
 def anomaly_flags(df: DataFrame, key: str, value: str, limit: float = 3.0) -> DataFrame:

@@ -28,17 +28,14 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, order: Sequence
                   operation: str = OPERATION) -> DataFrame:
     """The table after the changes: untouched rows as they are, others in their last state.
 
-    Rows of the table take part as changes older than any other (their order is NULL,
-    which sorts first), so insert, update and delete need one shuffle and no join.
+    The changes are reduced to one per key before they meet the table. When what is left
+    is small, Spark broadcasts its keys and the table is not shuffled at all; when it is
+    large, both sides are shuffled once by key, and no key has more than one change.
     """
-    row = [name for name in base.columns]
-    rank = F.struct(*[column(name) for name in order])
-    rows = F.struct(*[column(name) for name in row]).alias("row")
-    old = base.select(rows, F.lit("I").alias("kind"), F.lit(0).alias("is_change"),
-                      F.lit(None).cast(changes.select(rank.alias("r")).schema["r"].dataType)
-                       .alias("rank"))
-    new = changes.select(rows, column(operation).alias("kind"), F.lit(1).alias("is_change"),
-                         rank.alias("rank"))
-    last = F.max_by(F.struct("row", "kind"), F.struct("is_change", "rank"))
-    return (old.unionByName(new).groupBy(F.col(f"row.{key}").alias("__key"))
-            .agg(last.alias("last")).where(F.col("last.kind") != DELETE).select("last.row.*"))
+    row = base.columns
+    last = F.max_by(F.struct(*[column(name) for name in row], column(operation).alias("__op")),
+                    F.struct(*[column(name) for name in order]))
+    latest = changes.groupBy(column(key).alias("__key")).agg(last.alias("last"))
+    touched = changes.select(column(key)).distinct()
+    upserts = latest.where(F.col("last.__op") != DELETE).select("last.*").drop("__op")
+    return base.join(touched, key, "left_anti").select(*row).unionByName(upserts)

@@ -129,7 +129,8 @@ def gate(df: DataFrame, report: DataFrame) -> DataFrame:
     """The same gate inside one plan: all rows of ``df`` if the check passed, else none.
 
     The check is a scalar subquery, so Spark runs it first and once, and the rows
-    themselves need no join.
+    themselves need no join. A closed gate still reads the table; use ``require`` where
+    it should cost nothing.
     """
     return df.where(F.coalesce(report.select("passed").scalar(), F.lit(False)))
 

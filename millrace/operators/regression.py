@@ -18,8 +18,9 @@ from millrace.functions.missing import any_missing, column
 from millrace.functions.numbers import linear
 
 PREDICTION = "prediction"
-# Above this many features the pairwise sums no longer make one compact aggregation.
-MAX_MOMENT_FEATURES = 24
+# With more features the covariances of all pairs no longer fit one compiled aggregation,
+# and Spark ML, which adds up the matrix in blocks, is the faster way.
+MAX_MOMENT_FEATURES = 6
 # Limit of Spark's normal-equation solver.
 MAX_NORMAL_FEATURES = 4096
 # Share of a unit variance below which a direction counts as collinear.
@@ -57,6 +58,8 @@ def fit_linear(df: DataFrame, features: Sequence[str] | None = None,
     Means and covariances of all pairs come from one scan with partial aggregation;
     what reaches the driver is a matrix of feature count squared. Collinear features
     get the least-norm solution. A missing value is an error, as is an empty table.
+    Beyond MAX_MOMENT_FEATURES the same fit is done by Spark ML; there, collinear
+    features get some solution with the same predictions.
     """
     features = list(feature_columns(df) if features is None else features)
     if not features:
@@ -105,7 +108,7 @@ def _refuse(rows: int, missing: int) -> None:
 
 
 def _fit_wide(df: DataFrame, features: list[str], target: str) -> LinearModel:
-    """Many features: Spark ML, whose solver adds up the matrix in blocks."""
+    """Many features: the normal equations of Spark ML, or its iterative solver."""
     names = [*features, target]
     counts = df.agg(F.count("*").alias("rows"),
                     F.count_if(any_missing(df, names)).alias("missing")).first()

@@ -615,10 +615,6 @@ def reconcile_counts(spark, sf_dir):
     return audit.reconcile_counts(raw, clean, ["coin", "day"])
 
 
-def _first_day(events: DataFrame):
-    return events.agg(F.to_date(F.min("ts"))).scalar()
-
-
 @query("""
     WITH stats AS (
         SELECT CAST(ts AS DATE) AS period, event_type, count(*) AS n_rows, avg(value) AS mean,
@@ -626,14 +622,14 @@ def _first_day(events: DataFrame):
         FROM events GROUP BY ALL),
     base AS (
         SELECT event_type, mean AS ref_mean, spread AS ref_spread FROM stats
-        WHERE period = (SELECT min(period) FROM stats))
+        QUALIFY period = min(period) OVER (PARTITION BY event_type))
     SELECT period, event_type, n_rows, round(mean, 9) AS mean, round(spread, 9) AS spread,
            round(ref_mean, 9) AS ref_mean, round(ref_spread, 9) AS ref_spread,
            round((mean - ref_mean) / nullif(ref_spread, 0), 9) AS shift
     FROM stats LEFT JOIN base USING (event_type)""")
 def drift_stats(spark, sf_dir):
     events = table(spark, sf_dir, "events")
-    stats = audit.drift_stats(events, F.to_date("ts"), "event_type", "value", _first_day(events))
+    stats = audit.drift_stats(events, F.to_date("ts"), "event_type", "value")
     return _rounded(stats, 9, "mean", "spread", "ref_mean", "ref_spread", "shift")
 
 
@@ -654,13 +650,13 @@ def drift_stats(spark, sf_dir):
         ON b0, b1, b2, b3, b4 INTO NAME bin VALUE share),
     base AS (
         SELECT event_type, bin, share AS ref FROM long
-        WHERE period = (SELECT min(period) FROM long))
+        QUALIFY period = min(period) OVER (PARTITION BY event_type))
     SELECT period, event_type, n_rows, round(sum((share - ref) * ln(share / ref)), 4) AS psi
     FROM long LEFT JOIN base USING (event_type, bin) GROUP BY period, event_type, n_rows""")
 def drift_stability(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     psi = audit.population_stability(events, F.to_date("ts"), "event_type", "value",
-                                     [10.0, 25.0, 50.0, 100.0], _first_day(events))
+                                     [10.0, 25.0, 50.0, 100.0])
     return _rounded(psi, 4, "psi")
 
 
