@@ -29,6 +29,17 @@ def uniforms(key: Column, n: int, seed: int = 0) -> list[Column]:
     return [number(i) for i in range(n)]
 
 
+def time_order(time: Column, tie: Column) -> Column:
+    """Order by time, then by a whole number, as one value.
+
+    Spark aggregates by hash with a decimal as the order of ``min_by``, but sorts all
+    rows with a struct. Every time and every bigint has room in the 38 digits.
+    """
+    span = 2 * 10 ** 19  # wider than the range of a bigint
+    micros = F.unix_micros(time.cast("timestamp")).cast("decimal(19,0)")
+    return (micros * F.lit(str(span)).cast("decimal(20,0)") + tie.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def linear(columns: Sequence[Column], weights: Sequence[float], constant: float) -> Column:
     """Weighted sum of the columns plus a constant, added from left to right."""
     if len(columns) != len(weights):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.missing import column
+from millrace.sinks.files import staged
 
 
 def enrich(df: DataFrame, dimension: DataFrame, on: Column | str, how: str = "inner") -> DataFrame:
@@ -91,11 +92,12 @@ def population_stability(df: DataFrame, period: Column, key: str, value: str,
 def anomaly_flags(df: DataFrame, key: str, value: str, limit: float = 3.0) -> DataFrame:
     """Every row with its z-score within its key, flagged beyond ``limit``.
 
-    The statistics are aggregated and joined back. A window per key would sort all
-    rows of a frequent key in one task.
+    The statistics are aggregated, staged and joined back. A window per key would sort
+    all rows of a frequent key in one task; without staging, Spark would shuffle the
+    table before it knew that a few rows of statistics can be broadcast.
     """
-    stats = df.groupBy(column(key)).agg(F.avg(value).alias("__mean"),
-                                        F.stddev_samp(value).alias("__spread"))
+    stats = staged(df.groupBy(column(key)).agg(F.avg(value).alias("__mean"),
+                                               F.stddev_samp(value).alias("__spread")), "stats")
     z = (column(value) - F.col("__mean")) / F.nullif(F.col("__spread"), F.lit(0.0))
     return (df.join(stats, key, "left").withColumn("z_score", z)
             .withColumn("is_anomaly", F.coalesce(F.abs(z) > limit, F.lit(False)))

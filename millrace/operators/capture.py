@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.missing import column
+from millrace.sinks.files import staged
 
 OPERATION, DELETE = "op", "D"
 
@@ -28,14 +29,14 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, order: Sequence
                   operation: str = OPERATION) -> DataFrame:
     """The table after the changes: untouched rows as they are, others in their last state.
 
-    The changes are reduced to one per key before they meet the table. When what is left
-    is small, Spark broadcasts its keys and the table is not shuffled at all; when it is
-    large, both sides are shuffled once by key, and no key has more than one change.
+    The changes are reduced to one per key and staged before they meet the table. If
+    little is left, Spark broadcasts the keys and does not shuffle the table at all; if
+    much is left, both sides are shuffled once by key, and no key has more than one change.
     """
     row = base.columns
     last = F.max_by(F.struct(*[column(name) for name in row], column(operation).alias("__op")),
                     F.struct(*[column(name) for name in order]))
-    latest = changes.groupBy(column(key).alias("__key")).agg(last.alias("last"))
-    touched = changes.select(column(key)).distinct()
-    upserts = latest.where(F.col("last.__op") != DELETE).select("last.*").drop("__op")
-    return base.join(touched, key, "left_anti").select(*row).unionByName(upserts)
+    latest = staged(changes.groupBy(column(key).alias("__key")).agg(last.alias("last"))
+                    .select("last.*"), "changes")
+    upserts = latest.where(column("__op") != DELETE).select(*[column(name) for name in row])
+    return base.join(latest.select(column(key)), key, "left_anti").select(*row).unionByName(upserts)

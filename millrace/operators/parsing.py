@@ -15,9 +15,9 @@ REASON = "reject_reason"
 MALFORMED, NO_KEY, BAD_TIME = "malformed", "missing_key", "bad_timestamp"
 
 
-def _with_time(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    return df.select(*[name for name in fields if name != MESSAGE_TIME],
-                     parse_time(F.col(MESSAGE_TIME)).alias(EVENT_TIME))
+def _typed(message: Column, fields: Sequence[str]) -> list[Column]:
+    return [parse_time(message[MESSAGE_TIME]).alias(EVENT_TIME) if name == MESSAGE_TIME
+            else message[name].alias(name) for name in fields]
 
 
 def parse_messages(raw: DataFrame, value: str = "value",
@@ -28,28 +28,29 @@ def parse_messages(raw: DataFrame, value: str = "value",
     parsed struct would be pushed below the projection and parse it twice.
     """
     keyed = F.filter(F.array(decoded(F.col(value), schema)), lambda m: m[MESSAGE_KEY].isNotNull())
-    return _with_time(raw.select(F.inline(keyed)), schema.fieldNames())
+    rows = F.transform(keyed, lambda m: F.struct(*_typed(m, schema.fieldNames())))
+    return raw.select(F.inline(rows))
 
 
 def sort_messages(raw: DataFrame, value: str = "value",
                   schema: T.StructType = PRICE_MESSAGE) -> DataFrame:
     """Every message as a typed row, with the reason why it is rejected, if it is.
 
-    Rejected messages keep their whole text; accepted ones do not need it.
+    Rejected messages keep their whole text; accepted ones do not need it. Text and time
+    are parsed inside the generator, once, whatever is filtered afterwards.
     """
-    parsed = raw.select(F.inline(F.array(F.struct(
-        F.col(value).cast("string").alias(RAW), decoded(F.col(value), schema).alias("m")))))
+    text = F.col(value).cast("string")
+    pair = F.struct(text.alias(RAW), decoded(F.col(value), schema).alias("m"))
     fields = schema.fieldNames()
-    flat = parsed.select(RAW, f"m.{CORRUPT}", *[f"m.{name}" for name in fields])
-    typed = flat.select(RAW, CORRUPT, *[F.col(name) for name in fields],
-                        parse_time(F.col(MESSAGE_TIME)).alias(EVENT_TIME))
-    no_object = F.col(CORRUPT).isNotNull() | F.col(RAW).isNull() | (F.trim(RAW) == "")
+    rows = F.transform(F.array(pair), lambda p: F.struct(
+        p[RAW].alias(RAW), *_typed(p["m"], fields),
+        (p["m"][CORRUPT].isNotNull() | p[RAW].isNull() | (F.trim(p[RAW]) == "")).alias("no_object")))
     reason = (F.when(F.col(MESSAGE_KEY).isNull(),
-                     F.when(no_object, MALFORMED).otherwise(NO_KEY))
+                     F.when(F.col("no_object"), MALFORMED).otherwise(NO_KEY))
                .when(F.col(EVENT_TIME).isNull(), BAD_TIME))
-    sorted_rows = typed.withColumn(REASON, reason)
-    return sorted_rows.select(*[name for name in fields if name != MESSAGE_TIME], EVENT_TIME,
-                              F.when(F.col(REASON).isNotNull(), F.col(RAW)).alias(RAW), REASON)
+    rejects = F.when(F.col(MESSAGE_KEY).isNull() | F.col(EVENT_TIME).isNull(), F.col(RAW))
+    columns = [EVENT_TIME if name == MESSAGE_TIME else name for name in fields]
+    return raw.select(F.inline(rows)).select(*columns, rejects.alias(RAW), reason.alias(REASON))
 
 
 def accepted(sorted_rows: DataFrame) -> DataFrame:

@@ -8,13 +8,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.contracts import ALPHA, BETAS, COPIED_ROWS, NULL_ROWS, PRICE_MESSAGE, Column
+from millrace.contracts import (ALPHA, BETAS, COPIED_ROWS, NULL_ROWS, PRICE_ROW, PRICES_TABLE,
+                                Column)
 from millrace.functions.messages import iso_utc, message_json
+from millrace.functions.numbers import time_order
 from millrace.operators import audit, capture, change, cleaning, parsing, profiling, quality
 from millrace.operators import regression, sampling
 from millrace.plans import jobs
 from millrace.session import use_utc, work_dir
-from millrace.sinks.files import append_run, write_snapshot
+from millrace.sinks.files import append_run
 from millrace.sources.streams import parquet_stream
 from millrace.sources.synthetic import ROW_KEY, linear_rows, pollute
 from millrace.sources.tables import scan_parquet
@@ -46,7 +48,7 @@ def as_messages(events: DataFrame) -> DataFrame:
 
     The number in ``props`` decides: 0 is no JSON, 1 lacks its coin, 2 has a bad time.
     """
-    k = F.get_json_object("props", "$.k")
+    k = F.col("k")
     text = message_json({
         "coin": F.when(k == "1", None).otherwise(F.col("event_type")),
         "usd": F.col("value"),
@@ -54,8 +56,10 @@ def as_messages(events: DataFrame) -> DataFrame:
         "timestamp": F.when(k == "2", "x").otherwise(iso_utc(F.col("ts"))),
         "event_id": F.col("event_id"),
     })
-    return events.select(F.when(k == "0", F.concat(F.lit("#"), text)).otherwise(text)
-                         .cast("binary").alias("value"))
+    numbered = events.withColumn("k", F.get_json_object("props", "$.k"))
+    return (numbered.select("k", text.alias("text"))
+            .select(F.concat(F.when(k == "0", "#").otherwise(""), "text")
+                    .cast("binary").alias("value")))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,10 +421,13 @@ def run_metrics(spark, sf_dir):
 
 @query(ACCEPTED_SQL)
 def snapshot_full(spark, sf_dir):
-    rows = parsing.accepted(parsing.sort_messages(messages(spark, sf_dir)))
+    """Stream to staging table, growth beyond the cursor, full copy, cursor, read back."""
+    staging = _ingested(spark, sf_dir)
     path = work_dir(spark, "snapshot")
-    write_snapshot(rows.select("coin", "usd", "eur", "event_timestamp"), path)
-    return scan_parquet(spark, path)
+    change.create_cursors(spark, f"{path}/cursors")
+    jobs.snapshot_job(spark, PRICES_TABLE, lambda: ingest.read_accepted(spark, staging),
+                      f"{path}/cursors", f"{path}/copies", PRICE_ROW.names)
+    return jobs.read_latest_snapshot(spark, PRICES_TABLE, f"{path}/cursors")
 
 
 @query("""
@@ -593,8 +600,8 @@ def split_rejected(spark, sf_dir):
     FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 def enrich_dim(spark, sf_dir):
     orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
-    customers = audit.enrich(customer, nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return (audit.enrich(orders, customers, F.col("o_custkey") == F.col("c_custkey"))
+    with_customer = audit.enrich(orders, customer, F.col("o_custkey") == F.col("c_custkey"))
+    return (audit.enrich(with_customer, nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select("o_orderkey", "o_totalprice", "c_name", "c_mktsegment", "n_name"))
 
 
@@ -684,7 +691,7 @@ BARS_SQL = """
 @query(BARS_SQL)
 def hourly_snapshot(spark, sf_dir):
     return rollup.hourly_bars(table(spark, sf_dir, "events"), "ts", "event_type", "value",
-                              F.struct("ts", "event_id"))
+                              time_order(F.col("ts"), F.col("event_id")))
 
 
 @query(f"""
@@ -694,8 +701,8 @@ def hourly_snapshot_stream(spark, sf_dir):
     """On a stream, the bars that the watermark has closed."""
     schema = table(spark, sf_dir, "events").schema
     stream = parquet_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema)
-    bars = rollup.hourly_bars(stream, "ts", "event_type", "value", F.struct("ts", "event_id"),
-                              late="2 hours")
+    bars = rollup.hourly_bars(stream, "ts", "event_type", "value",
+                              time_order(F.col("ts"), F.col("event_id")), late="2 hours")
     path = work_dir(spark, "bars")
     rollup.start_bars(bars, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/rows")

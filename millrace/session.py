@@ -14,8 +14,6 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Job commit by rename: a failed append leaves no rows behind.
     "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
-    # Few partitions per task are open at a time, so partitioned writes need no sort.
-    "spark.sql.maxConcurrentOutputFileWriters": "8",
     # Window state of long streams lives on disk, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

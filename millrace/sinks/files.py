@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from millrace.session import work_dir
+
 
 def replace_slice(df: DataFrame, path: str, slice_of: Mapping[str, object],
                   within: Sequence[str] = ()) -> None:
@@ -36,6 +38,17 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame, written to the shared folder and read back.
+
+    What follows does not compute it again, survives lost executors, and is planned with
+    its real size: Spark broadcasts it in a join if it turned out small, and only then.
+    """
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def create_empty(spark: SparkSession, path: str, schema: T.StructType,
                  partitions: Sequence[str] = ()) -> None:
     """Make sure that the table can be read before its first row arrives."""

@@ -19,12 +19,13 @@ def linear_rows(keys: DataFrame, key: str, betas: Sequence[float] = BETAS,
     """One row per key: the key, features ``x_1..x_n`` and the target.
 
     The numbers are a function of the key, so the row count and its partitioning are
-    those of ``keys`` and a lost task is recomputed to the same rows.
+    those of ``keys`` and a lost task is recomputed to the same rows. They come out of a
+    generator, which keeps later filters from computing them again.
     """
     names = feature_names(len(betas))
     values = uniforms(column(key), len(betas), seed)
-    rows = keys.select(column(key).alias(ROW_KEY),
-                       *[value.alias(name) for value, name in zip(values, names)])
+    numbers = F.struct(*[value.alias(name) for value, name in zip(values, names)])
+    rows = keys.select(column(key).alias(ROW_KEY), F.inline(F.array(numbers)))
     return rows.withColumn(TARGET, linear([F.col(name) for name in names], betas, alpha))
 
 

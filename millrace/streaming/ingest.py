@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.contracts import PRICE_ROW
-from millrace.operators.parsing import RAW, REASON, accepted, rejected, sort_messages
+from millrace.contracts import MESSAGE_KEY, PRICE_ROW
+from millrace.operators.parsing import RAW, REASON, accepted, sort_messages
+from millrace.sinks import jdbc
 from millrace.sinks.files import create_empty, replace_slice
 
 log = logging.getLogger(__name__)
@@ -69,20 +70,35 @@ def batch_writer(path: str, on_batch: Callable[[BatchReport], None] | None = Non
     return write
 
 
-def start_ingest(messages: DataFrame, path: str, checkpoint: str, *, value: str = "value",
-                 interval: str | None = INTERVAL, rebalance: bool = False,
-                 on_batch: Callable[[BatchReport], None] | None = None) -> StreamingQuery:
-    """Parse a message stream into the table at ``path``.
+def database_writer(options: Mapping[str, str]) -> Callable[[DataFrame, int], None]:
+    """Callback that appends the accepted rows to a database table instead.
+
+    Databases commit per task here, so delivery is at least once.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        jdbc.append_batches(accepted(batch), options)
+    return write
+
+
+def start_stream(messages: DataFrame, writer: Callable[[DataFrame, int], None], checkpoint: str,
+                 value: str = "value", interval: str | None = INTERVAL) -> StreamingQuery:
+    """Parse a message stream and hand each micro-batch of sorted messages to ``writer``.
 
     ``interval=None`` works off what is there and stops. The checkpoint must lie on
     storage that outlives the machine.
     """
-    create_empty(messages.sparkSession, path, SINK_SCHEMA, [KIND, STREAM, BATCH])
-    writer = (sort_messages(messages, value).writeStream
-              .foreachBatch(batch_writer(path, on_batch, rebalance))
-              .option("checkpointLocation", checkpoint))
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    return writer.trigger(**trigger).start()
+    return (sort_messages(messages, value).writeStream.foreachBatch(writer)
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def start_ingest(messages: DataFrame, path: str, checkpoint: str, *, value: str = "value",
+                 interval: str | None = INTERVAL, rebalance: bool = False,
+                 on_batch: Callable[[BatchReport], None] | None = None) -> StreamingQuery:
+    """Parse a message stream into the table at ``path``, created if absent."""
+    create_empty(messages.sparkSession, path, SINK_SCHEMA, [KIND, STREAM, BATCH])
+    return start_stream(messages, batch_writer(path, on_batch, rebalance), checkpoint, value,
+                        interval)
 
 
 def read_sink(spark: SparkSession, path: str) -> DataFrame:
@@ -90,11 +106,12 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_accepted(spark: SparkSession, path: str) -> DataFrame:
-    return accepted(read_sink(spark, path).where(F.col(KIND) == ACCEPTED)).drop(KIND, STREAM, BATCH)
+    """Accepted rows; the kind is a partition, so rejects are not even opened."""
+    return read_sink(spark, path).where(F.col(KIND) == ACCEPTED).select(*PRICE_ROW.names)
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
-    return rejected(read_sink(spark, path).where(F.col(KIND) == REJECTED))
+    return read_sink(spark, path).where(F.col(KIND) == REJECTED).select(MESSAGE_KEY, RAW, REASON)
 
 
 def batch_counts(spark: SparkSession, path: str) -> DataFrame:

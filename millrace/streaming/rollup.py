@@ -21,9 +21,8 @@ def hourly_bars(df: DataFrame, time: str, key: str, value: str, order: Column,
     """Per key and time window: row count, first, last, least and greatest value.
 
     ``order`` decides which row is first and last. All of it is partial aggregation, so
-    a key that holds most rows costs one row per task and window in the shuffle. A single
-    unique number or time as ``order`` aggregates by hash and is several times faster than
-    a struct, which Spark aggregates by sorting. On a stream ``late`` is the watermark: a bar is final and leaves the state once that much
+    a key that holds most rows costs one row per task and window in the shuffle. One
+    number, such as ``time_order``, aggregates by hash; a struct would be sorted. On a stream ``late`` is the watermark: a bar is final and leaves the state once that much
     later data has been seen.
     """
     if late is not None:
