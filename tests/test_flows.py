@@ -1,0 +1,181 @@
+import datetime as dt
+import logging
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from conftest import rows
+from millrace.contracts import BETAS, feature_names
+from millrace.operators import audit, capture, change, profiling, quality
+from millrace.plans import jobs
+from millrace.sources.synthetic import ROW_KEY, generate_linear, pollute
+
+AT = dt.datetime(2026, 1, 2, 3, 4, 5)
+NAMES = [*feature_names(4), "y"]
+
+
+@pytest.fixture
+def raw(spark):
+    return pollute(generate_linear(spark, 100), ROW_KEY)
+
+
+def test_clean_and_append(spark, raw, folder):
+    assert jobs.etl_job(raw, folder, "r1") == jobs.EtlReport(108, 100, 8)
+    jobs.etl_job(raw, folder, "r2")
+    jobs.etl_job(raw, folder, "r2")  # a retry
+    assert spark.read.parquet(folder).count() == 200
+    assert jobs.run_slice(spark, folder, "r1").columns == NAMES
+
+
+def test_uncleaned_data_is_not_published(spark, raw, folder):
+    with pytest.raises(quality.CheckFailed) as failure:
+        jobs.publish_checked(raw, f"{folder}/t", "r", NAMES)
+    assert failure.value.report["total_rows"] == 108
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{folder}/t")
+    jobs.publish_checked(raw.na.drop(), f"{folder}/t", "r", NAMES)
+    assert spark.read.parquet(f"{folder}/t").count() > 100 - 1
+
+
+def test_train_and_register(spark, raw, folder):
+    jobs.etl_job(raw, f"{folder}/t", "r")
+    table = jobs.run_slice(spark, f"{folder}/t", "r")
+    model = jobs.training_job(table, f"{folder}/registry", AT, artifact=f"{folder}/model")
+    assert [round(c, 6) for c in model.coefficients] == list(BETAS)
+    record = spark.read.parquet(f"{folder}/registry").first()
+    assert record["model_path"] == "./saved_models/linear_model_20260102_030405.pkl"
+    assert record["rmse"] < 1e-9 and record["features"] == '["x_1","x_2","x_3","x_4"]'
+    assert spark.read.parquet(f"{folder}/model").first()["rows"] == 100
+
+
+@pytest.mark.parametrize("spoil", [
+    lambda df: df, lambda df: df.limit(0), lambda df: df.drop("x_2"),
+    lambda df: df.na.drop().withColumn("y", F.col("y").cast("int"))])
+def test_no_training_on_a_table_that_fails_its_checks(spark, raw, folder, monkeypatch, spoil):
+    monkeypatch.setattr(jobs, "fit_linear", lambda *_: pytest.fail("fitted"))
+    with pytest.raises(quality.CheckFailed):
+        jobs.training_job(spoil(raw), folder, AT)
+
+
+def cursors(spark, *values):
+    return spark.createDataFrame(list(values), "source string, last_count bigint")
+
+
+@pytest.mark.parametrize("last, current, fires, cursor", [
+    (None, 0, False, None), (None, 5, True, 5), (5, 5, False, 5), (5, 3, False, 5), (3, 5, True, 5)])
+def test_change_detection(spark, last, current, fires, cursor):
+    state = change.new_rows_since(change.current_counts({"t": spark.range(current)}),
+                                  cursors(spark, ("t", last)) if last else cursors(spark)).first()
+    assert (state["fires"], state["new_cursor"]) == (fires, cursor)
+    assert state["run_key"] == (f"t_ingest_{current}" if fires else None)
+
+
+@pytest.fixture
+def poll(spark, folder):
+    change.create_cursors(spark, f"{folder}/cursors")
+
+    def poll(read):
+        return jobs.snapshot_job(spark, "t", read, f"{folder}/cursors", f"{folder}/copies", ["id"])
+    return poll
+
+
+def test_snapshot_follows_growth_only(spark, poll, folder):
+    def latest():
+        return jobs.read_latest_snapshot(spark, "t", f"{folder}/cursors")
+    assert poll(lambda: spark.range(0)) is None and latest() is None
+    assert poll(lambda: spark.range(5)).endswith("t_ingest_5")
+    assert latest().count() == 5
+    assert poll(lambda: spark.range(5)) is None
+    assert poll(lambda: spark.range(3)) is None
+    assert poll(lambda: spark.range(7).withColumn("more", F.lit(1))).endswith("t_ingest_7")
+    assert latest().columns == ["id"] and latest().count() == 7
+
+
+def test_a_source_that_cannot_be_counted_is_skipped(spark, poll, folder, caplog):
+    with caplog.at_level(logging.WARNING):
+        assert poll(lambda: spark.read.parquet(f"{folder}/absent")) is None
+    assert "cannot count t" in caplog.text
+
+
+def test_a_failed_copy_does_not_move_the_cursor(spark, poll, folder, monkeypatch):
+    with monkeypatch.context() as patch:
+        patch.setattr(jobs, "write_snapshot", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            poll(lambda: spark.range(5))
+    assert change.read_cursors(spark, f"{folder}/cursors").count() == 0
+    assert poll(lambda: spark.range(5)) is not None
+
+
+def test_profile_and_head(spark):
+    df = spark.createDataFrame([(3, "a"), (1, None), (2, "a")], "id int, v string")
+    assert tuple(profiling.profile(df, "s").first()) == ("s", 3, 2)
+    assert [row["id"] for row in profiling.head_rows(df, ["id"], 2).collect()] == [1, 2]
+    assert profiling.head_rows(df.limit(0), ["id"]).count() == 0
+    assert rows(profiling.distinct_values(df, "v")) == [("a",)]
+
+
+CHANGES = "key int, value string, seq int, op string"
+
+
+def test_latest_changes(spark):
+    changes = spark.createDataFrame(
+        [(1, "a", 1, "I"), (1, "b", 3, "U"), (1, "c", 2, "U"), (2, "d", 1, "I"), (2, "d", 2, "D"),
+         (3, "e", 1, "D"), (3, "f", 2, "I")], CHANGES)
+    assert rows(capture.latest_changes(changes, "key", ["seq"])) == [(1, "b", 3, "U"), (3, "f", 2, "I")]
+
+
+def test_apply_changes(spark):
+    base = spark.createDataFrame([(1, "old"), (2, "old"), (3, "old")], "key int, value string")
+    changes = spark.createDataFrame(
+        [(1, "new", 2, "U"), (1, "mid", 1, "U"), (2, None, 1, "D"), (4, "in", 1, "I"),
+         (5, "x", 1, "I"), (5, None, 2, "D"), (3, None, 1, "U")], CHANGES)
+    applied = capture.apply_changes(base, changes, "key", ["seq"])
+    assert rows(applied) == [(1, "new"), (3, None), (4, "in")]
+    assert rows(capture.apply_changes(base, changes.limit(0), "key", ["seq"])) == rows(base)
+
+
+def test_reconcile_counts_pairs_null_keys(spark):
+    raw = spark.createDataFrame([("a",), ("a",), (None,), ("b",)], "k string")
+    clean = spark.createDataFrame([("a",), (None,), ("c",)], "k string")
+    assert rows(audit.reconcile_counts(raw, clean, ["k"])) == [
+        ("a", 2, 1, 1), ("b", 1, 0, 1), ("c", 0, 1, -1), (None, 1, 1, 0)]
+
+
+def test_drift(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 3.0), (2, "a", 5.0), (2, "a", 7.0),
+                                (2, "b", 1.0), (3, "b", 1.0)], "p int, k string, v double")
+    own = {(r["k"], r["period"]): r for r in
+           audit.drift_stats(df, F.col("p"), "k", "v").collect()}
+    assert abs(own["a", 2]["shift"] - 4 / 2 ** 0.5) < 1e-12
+    assert own["b", 3]["ref_mean"] == 1.0 and own["b", 3]["shift"] is None
+    fixed = {(r["k"], r["period"]): r for r in
+             audit.drift_stats(df, F.col("p"), "k", "v", F.lit(1)).collect()}
+    assert fixed["a", 1]["shift"] == 0 and fixed["b", 2]["ref_mean"] is None
+
+
+def test_population_stability(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 9.0), (2, "a", 1.0), (2, "a", 2.0),
+                                (2, "b", None)], "p int, k string, v double")
+    psi = {(r["k"], r["period"]): r["psi"] for r in
+           audit.population_stability(df, F.col("p"), "k", "v", [5.0]).collect()}
+    from math import log
+    expected = (1 - 0.5) * log(1 / 0.5) + (1e-4 - 0.5) * log(1e-4 / 0.5)
+    assert psi["a", 1] == 0 and abs(psi["a", 2] - expected) < 1e-12
+
+
+def test_anomalies(spark):
+    df = spark.createDataFrame([("a", float(i % 2)) for i in range(100)] + [("a", 50.0), ("b", 1.0),
+                                                                         (None, 2.0)],
+                               "k string, v double")
+    flagged = audit.anomaly_flags(df, "k", "v")
+    assert flagged.count() == 103
+    assert [tuple(row) for row in flagged.where("is_anomaly").select("k", "v").collect()] == [("a", 50.0)]
+    assert flagged.where("k = 'b' OR k IS NULL").where("z_score IS NOT NULL").count() == 0
+
+
+def test_enrich(spark):
+    facts = spark.createDataFrame([(1, 10), (2, 11), (3, 99)], "id int, d int")
+    dimension = spark.createDataFrame([(10, "x"), (11, "y")], "d int, name string")
+    assert rows(audit.enrich(facts, dimension, "d")) == [(10, 1, "x"), (11, 2, "y")]
+    assert audit.enrich(facts, dimension, "d", "left").count() == 3

@@ -1,0 +1,209 @@
+import datetime as dt
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from millrace import session
+from millrace.contracts import FEATURES_TABLE, PRICES_TABLE, REGISTRY_TABLE
+from millrace.sinks import catalog, files, jdbc, kafka
+from millrace.sources.tables import Split, jdbc_options, scan_parquet, scan_table
+
+
+@pytest.fixture
+def database(spark):
+    name = f"d{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    return name
+
+
+def test_create_table_is_idempotent(spark, database):
+    for name in (PRICES_TABLE, FEATURES_TABLE, REGISTRY_TABLE):
+        catalog.create_table(spark, f"{database}.{name}")
+        catalog.create_table(spark, f"{database}.{name}")
+    kinds = dict(spark.table(f"{database}.{PRICES_TABLE}").dtypes)
+    assert kinds == {"id": "bigint", "coin": "string", "usd": "double", "eur": "double",
+                     "event_timestamp": "timestamp_ntz", "inserted_at": "timestamp_ntz"}
+
+
+def test_appends_get_unique_keys_and_an_insert_time(spark, database):
+    name = f"{database}.{FEATURES_TABLE}"
+    catalog.create_table(spark, name)
+    df = spark.range(0, 40, 1, 4).select(*[F.col("id").cast("double").alias(c)
+                                           for c in ("x_1", "x_2", "x_3", "x_4", "y")])
+    catalog.append_rows(df, name)
+    catalog.append_rows(df, name)
+    stored = spark.table(name)
+    assert stored.count() == 80 and stored.select("id").distinct().count() == 80
+    assert stored.where("inserted_at IS NULL").count() == 0
+    assert scan_table(spark, name, ["y"]).columns == ["y"]
+
+
+def test_long_keys_are_refused(spark, database):
+    name = f"{database}.{PRICES_TABLE}"
+    catalog.create_table(spark, name)
+    df = spark.createDataFrame([("c" * 51, 1.0, 2.0, dt.datetime(2026, 1, 1))],
+                               "coin string, usd double, eur double, event_timestamp timestamp_ntz")
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        catalog.append_rows(df, name)
+    assert spark.table(name).count() == 0
+
+
+def test_insert_one_row(spark, database):
+    name = f"{database}.{REGISTRY_TABLE}"
+    catalog.create_table(spark, name)
+    for i in range(2):
+        catalog.insert_row(spark, name, {"model_path": "a'); DROP", "rmse": 0.5,
+                                         "features": '["x_1"]'})
+    stored = spark.table(name)
+    assert rows(stored.drop("inserted_at")) == [(0, "a'); DROP", 0.5, '["x_1"]'),
+                                                (1, "a'); DROP", 0.5, '["x_1"]')]
+    assert stored.where("inserted_at IS NULL").count() == 0
+
+
+def test_a_slice_is_replaced_and_others_stay(spark, folder):
+    for run, n in (("a", 3), ("b", 2), ("a", 5)):
+        files.append_run(spark.range(n), folder, run)
+    stored = spark.read.parquet(folder).groupBy("run_id").count()
+    assert rows(stored) == [("a", 5), ("b", 2)]
+
+
+def test_a_failed_append_leaves_the_former_rows(spark, folder):
+    files.append_run(spark.range(3), folder, "a")
+    failing = spark.range(0, 100, 1, 4).select(
+        F.when(F.col("id") == 99, F.raise_error(F.lit("bad row"))).otherwise(F.col("id")).alias("id"))
+    for run in ("a", "b"):
+        with pytest.raises(Exception, match="bad row"):
+            files.append_run(failing, folder, run)
+    assert rows(spark.read.parquet(folder)) == [(0, "a"), (1, "a"), (2, "a")]
+
+
+def test_snapshot_replaces_its_own_path(spark, folder):
+    files.write_snapshot(spark.range(5), f"{folder}/s")
+    files.write_snapshot(spark.range(3), f"{folder}/s")
+    assert scan_parquet(spark, f"{folder}/s").count() == 3
+
+
+def test_staged_frames_are_read_from_the_shared_folder(spark):
+    df = files.staged(spark.range(5).withColumn("v", F.lit("x")), "t")
+    assert rows(df) == [(i, "x") for i in range(5)]
+    assert all(session.shared_root(spark).removeprefix("file:") in f for f in df.inputFiles())
+
+
+class Recorder:
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args, kwargs))
+            return self
+        return call
+
+
+class FakeFrame:
+    columns = ["coin", "usd"]
+
+    def __init__(self):
+        self.write = Recorder()
+
+
+def test_database_append_goes_through_staging():
+    df, statements = FakeFrame(), []
+    options = jdbc_options("jdbc:x", "prices", user="u", password="p")
+    jdbc.append_table(df, options, "prices_staging", statements.extend)
+    calls = {name: (args, kwargs) for name, args, kwargs in df.write.calls}
+    assert calls["mode"][0] == ("overwrite",)
+    assert calls["options"][1]["dbtable"] == "prices_staging"
+    assert calls["options"][1]["truncate"] == "true"
+    assert [name for name, *_ in df.write.calls][-1] == "save"
+    assert statements == [
+        'INSERT INTO prices ("coin", "usd") SELECT "coin", "usd" FROM prices_staging',
+        "DELETE FROM prices_staging"]
+
+
+def test_nothing_is_published_if_staging_fails():
+    class Failing(FakeFrame):
+        def __init__(self):
+            super().__init__()
+            self.write.__dict__["save"] = lambda: 1 / 0
+            recorder = self.write
+            recorder.__dict__.update(format=lambda *a: recorder, mode=lambda *a: recorder,
+                                     options=lambda **k: recorder)
+    statements = []
+    with pytest.raises(ZeroDivisionError):
+        jdbc.append_table(Failing(), {"url": "x", "dbtable": "t"}, "s", statements.extend)
+    assert statements == []
+
+
+class FakeSession:
+    def __init__(self, connection):
+        class Manager:
+            @staticmethod
+            def getConnection(*args):
+                return connection
+        for name in ("sparkContext", "_jvm", "java", "sql"):
+            setattr(self, name, self)
+        self.DriverManager = Manager
+
+
+def test_statements_run_in_one_transaction():
+    connection = Recorder()
+    jdbc.one_transaction(FakeSession(connection), {"url": "x"})(["A", "B"])
+    names = [name for name, *_ in connection.calls]
+    assert names[0] == "setAutoCommit" and names[-2:] == ["commit", "close"]
+    assert [args[0] for name, args, _ in connection.calls if name == "execute"] == ["A", "B"]
+
+
+def test_a_failed_statement_rolls_back():
+    connection = Recorder()
+
+    def fail():
+        raise RuntimeError("no")
+    connection.__dict__["createStatement"] = fail
+    with pytest.raises(RuntimeError):
+        jdbc.one_transaction(FakeSession(connection), {"url": "x"})(["A"])
+    assert [name for name, *_ in connection.calls][-2:] == ["rollback", "close"]
+
+
+def test_jdbc_read_options():
+    assert Split("id", 0, 100, 8).options() == {
+        "partitionColumn": "id", "lowerBound": "0", "upperBound": "100", "numPartitions": "8"}
+    assert jdbc_options("u", "t", driver="d", extra={"a": "b"}) == {
+        "url": "u", "dbtable": "t", "fetchsize": "10000", "driver": "d", "a": "b"}
+
+
+def test_kafka_delivery_settings():
+    options = kafka.kafka_sink_options("k:9092", "clean", {"linger.ms": "5"})
+    assert options == {
+        "kafka.bootstrap.servers": "k:9092", "topic": "clean", "kafka.acks": "all",
+        "kafka.enable.idempotence": "true", "kafka.retries": "5", "kafka.retry.backoff.ms": "500",
+        "kafka.linger.ms": "5", "kafka.compression.type": "snappy"}
+
+
+class FakeSpark:
+    def __init__(self, configured, checkpoint, master):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.sparkContext = self
+        self.master, self.checkpoint = master, checkpoint
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+    def setCheckpointDir(self, path):
+        self.checkpoint = path
+
+
+def test_shared_folder_is_the_configured_one():
+    assert session.shared_root(FakeSpark("hdfs://x/y/", None, "yarn")) == "hdfs://x/y"
+    assert session.shared_root(FakeSpark(None, "hdfs://z", "yarn")) == "hdfs://z"
+    first, second = (session.work_dir(FakeSpark("s3a://b", None, "yarn"), "t") for _ in range(2))
+    assert first.startswith("s3a://b/t-") and first != second
+
+
+def test_no_temporary_folder_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_root(FakeSpark(None, None, "yarn"))
+    assert os.path.isdir(session.shared_root(FakeSpark(None, None, "local[2]")))
