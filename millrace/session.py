@@ -17,6 +17,8 @@ DEFAULTS = {
     # Window state of long streams lives on disk, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Call sites in error messages cost several JVM round trips per expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.streaming import DataStreamReader
 
 
 def kafka_source_options(servers: str, topic: str, *, starting_offsets: str = "earliest",
@@ -34,18 +35,21 @@ def kafka_stream(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def json_lines_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def _file_stream(spark: SparkSession, form: str, max_files: int | None,
+                 max_bytes: int | None) -> DataStreamReader:
+    """``max_files`` or ``max_bytes`` bound a micro-batch when there is a backlog."""
+    limits = {"maxFilesPerTrigger": max_files, "maxBytesPerTrigger": max_bytes}
+    options = {name: str(limit) for name, limit in limits.items() if limit is not None}
+    return spark.readStream.format(form).options(**options)
+
+
+def json_lines_stream(spark: SparkSession, path: str, max_files: int | None = None,
+                      max_bytes: int | None = None) -> DataFrame:
     """Text files of one JSON message per line, as the Kafka source would deliver them."""
-    reader = spark.readStream.format("text")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.load(path)
+    return _file_stream(spark, "text", max_files, max_bytes).load(path)
 
 
 def parquet_stream(spark: SparkSession, path: str, schema: T.StructType,
-                   max_files: int | None = None) -> DataFrame:
+                   max_files: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Files of a Parquet table as they arrive. The path may be a folder or a glob."""
-    reader = spark.readStream.format("parquet").schema(schema)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.load(path)
+    return _file_stream(spark, "parquet", max_files, max_bytes).schema(schema).load(path)

@@ -92,6 +92,16 @@ def test_several_batches_and_rebalanced_output(stream, spark):
     assert ingest.batch_counts(spark, stream.sink).count() == 3
 
 
+def test_bytes_bound_a_batch(spark, folder):
+    spark.range(0, 4000, 1, 4).write.parquet(f"{folder}/in")
+    source = parquet_stream(spark, f"{folder}/in*", spark.range(1).schema, max_bytes=1)
+    sizes = []
+    (source.writeStream.foreachBatch(lambda df, _: sizes.append(df.count()))
+     .option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start()
+     .awaitTermination())
+    assert sizes == [1000] * 4
+
+
 def test_a_stream_without_messages_leaves_a_readable_table(stream, spark):
     stream.run()
     assert stream.accepted() == [] and stream.reports == []
