@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,7 +15,7 @@ from millrace.operators.cleaning import clean
 from millrace.operators.quality import conforms, null_check, require, require_schema
 from millrace.operators.regression import (LinearModel, feature_columns, fit_linear, registry_row,
                                            rmse)
-from millrace.sinks.files import append_run, write_snapshot
+from millrace.sinks.files import append_run, record_metrics, write_snapshot
 
 log = logging.getLogger(__name__)
 
@@ -31,16 +31,20 @@ def run_slice(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
 
 
-def etl_job(raw: DataFrame, path: str, run_id: str) -> EtlReport:
+def etl_job(raw: DataFrame, path: str, run_id: str, metrics: str | None = None) -> EtlReport:
     """Clean a table and append it as one run; repeating the run replaces its rows.
 
     The counts come from the input and from the committed files, so that a task that
-    had to run twice is not counted twice.
+    had to run twice is not counted twice. ``metrics`` is the table to report them to.
     """
     spark = raw.sparkSession
     append_run(conforms(clean(raw), raw.schema), path, run_id)
     before, after = raw.count(), run_slice(spark, path, run_id).count()
-    return EtlReport(before, after, before - after)
+    report = EtlReport(before, after, before - after)
+    if metrics:
+        record_metrics(spark, metrics, run_id, "clean",
+                       {**asdict(report), "num_cols": len(raw.columns)})
+    return report
 
 
 def publish_checked(df: DataFrame, path: str, run_id: str, names: Sequence[str],
@@ -53,7 +57,8 @@ def publish_checked(df: DataFrame, path: str, run_id: str, names: Sequence[str],
 
 
 def snapshot_job(spark: SparkSession, source: str, read: Callable[[], DataFrame],
-                 cursors: str, folder: str, columns: Sequence[str]) -> str | None:
+                 cursors: str, folder: str, columns: Sequence[str],
+                 metrics: str | None = None) -> str | None:
     """If the source has more rows than its cursor, copy it whole; the path, else None.
 
     A source that cannot be counted is logged and left for the next poll. The cursor is
@@ -70,6 +75,9 @@ def snapshot_job(spark: SparkSession, source: str, read: Callable[[], DataFrame]
     path = f"{folder.rstrip('/')}/{state['run_key']}"
     write_snapshot(table.select(*columns), path)
     commit_cursor(spark, cursors, source, state["new_cursor"], state["run_key"], path)
+    if metrics:
+        record_metrics(spark, metrics, state["run_key"], "snapshot",
+                       {"row_count": spark.read.parquet(path).count(), "num_cols": len(columns)})
     return path
 
 
@@ -80,19 +88,27 @@ def read_latest_snapshot(spark: SparkSession, source: str, cursors: str) -> Data
 
 def training_job(table: DataFrame, registry: str, trained_at: datetime, *,
                  contract: Contract = FEATURE_CONTRACT, target: str = TARGET,
-                 folder: str = MODEL_FOLDER, artifact: str | None = None) -> LinearModel:
+                 folder: str = MODEL_FOLDER, artifact: str | None = None,
+                 metrics: str | None = None) -> LinearModel:
     """Check the table, fit, and record the model. Nothing is fitted if a check fails.
 
     ``artifact`` is a folder for the coefficients as a one-row table; without it only
-    the registry record is written.
+    the registry record is written. ``metrics`` is the table to report the fit to.
     """
     spark = table.sparkSession
     require_schema(table, contract)
     require(table, null_check(table, required_columns(contract)), "null check")
-    features = feature_columns(table)
-    model = fit_linear(table, features, target)
-    record = registry_row(rmse(table, model, target), model, folder, trained_at)
+    model = fit_linear(table, feature_columns(table), target)
+    error = rmse(table, model, target).first()["rmse"]
+    run_id = trained_at.strftime("%Y%m%d_%H%M%S")
+    errors = spark.createDataFrame([(error,)], "rmse double")
+    append_run(registry_row(errors, model, folder, trained_at).coalesce(1), registry, run_id)
     if artifact:
         model.as_frame(spark).write.mode("overwrite").parquet(artifact)
-    append_run(record, registry, trained_at.strftime("%Y%m%d_%H%M%S"))
+    if metrics:
+        terms = dict(zip(model.features, model.coefficients))
+        record_metrics(spark, metrics, run_id, "fit", {
+            "num_training_rows": model.rows, "num_cols": len(table.columns), "rmse": error,
+            "intercept": model.intercept,
+            **{f"coefficient_{name}": value for name, value in terms.items()}})
     return model

@@ -420,6 +420,20 @@ def run_metrics(spark, sf_dir):
     return batches.agg(*[F.sum(c).alias(c) for c in ("rows_in", "rows_accepted", "rows_rejected")])
 
 
+@query(f"""
+    WITH {DIRTY_SQL},
+    counts AS (SELECT (SELECT count(*) FROM dirty) AS b, (SELECT count(*) FROM clean) AS a)
+    SELECT 'first' AS run_id, 'clean' AS step, metric, value::DOUBLE AS value
+    FROM counts, LATERAL (VALUES ('rows_before', b), ('rows_after_cleaning', a),
+                                 ('dropped_rows', b - a), ('num_cols', 4)) AS v (metric, value)""")
+def job_metrics(spark, sf_dir):
+    """What the cleaning job reports, recorded twice as by a retry."""
+    path = work_dir(spark, "job")
+    for _ in range(2):
+        jobs.etl_job(dirty(spark, sf_dir), f"{path}/features", "first", f"{path}/metrics")
+    return spark.read.parquet(f"{path}/metrics")
+
+
 @query(ACCEPTED_SQL)
 def snapshot_full(spark, sf_dir):
     """Stream to staging table, growth beyond the cursor, full copy, cursor, read back."""

@@ -29,6 +29,17 @@ def append_run(df: DataFrame, path: str, run_id: str) -> None:
     replace_slice(df, path, {"run_id": run_id})
 
 
+def record_metrics(spark: SparkSession, path: str, run_id: str, step: str,
+                   metrics: Mapping[str, float]) -> None:
+    """What a step of a run has to report, beside the data: one row per figure.
+
+    Recording a step again, as a retry does, replaces its figures.
+    """
+    figures = spark.createDataFrame([(name, float(value)) for name, value in metrics.items()],
+                                    "metric string, value double")
+    replace_slice(figures.coalesce(1), path, {"run_id": run_id, "step": step})
+
+
 def write_snapshot(df: DataFrame, path: str) -> None:
     """A full copy of the table under its own path.
 

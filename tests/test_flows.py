@@ -28,6 +28,25 @@ def test_clean_and_append(spark, raw, folder):
     assert jobs.run_slice(spark, folder, "r1").columns == NAMES
 
 
+def test_steps_report_their_figures(spark, raw, folder):
+    def recorded(run_id):
+        table = spark.read.parquet(f"{folder}/metrics").where(F.col("run_id") == run_id)
+        return {(r["step"], r["metric"]): r["value"] for r in table.collect()}
+
+    jobs.etl_job(raw, f"{folder}/t", "r", f"{folder}/metrics")
+    assert recorded("r") == {("clean", "rows_before"): 108, ("clean", "rows_after_cleaning"): 100,
+                             ("clean", "dropped_rows"): 8, ("clean", "num_cols"): 5}
+    jobs.training_job(jobs.run_slice(spark, f"{folder}/t", "r"), f"{folder}/registry", AT,
+                      metrics=f"{folder}/metrics")
+    fit = recorded("20260102_030405")
+    assert fit["fit", "num_training_rows"] == 100 and fit["fit", "rmse"] < 1e-9
+    assert round(fit["fit", "coefficient_x_3"], 6) == 1000 and round(fit["fit", "intercept"], 6) == 2.2
+    change.create_cursors(spark, f"{folder}/cursors")
+    jobs.snapshot_job(spark, "t", lambda: spark.range(5), f"{folder}/cursors", f"{folder}/s", ["id"],
+                      f"{folder}/metrics")
+    assert recorded("t_ingest_5") == {("snapshot", "row_count"): 5, ("snapshot", "num_cols"): 1}
+
+
 def test_uncleaned_data_is_not_published(spark, raw, folder):
     with pytest.raises(quality.CheckFailed) as failure:
         jobs.publish_checked(raw, f"{folder}/t", "r", NAMES)
