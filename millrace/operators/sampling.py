@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.missing import column
 
 DRAW = "draw"
-ONE_PASS_DRAWS = 32
+# In one pass each draw has a digest computed for every row; from a few draws on, looking
+# at the rows of one bucket per draw is cheaper although it reads the keys first.
+ONE_PASS_DRAWS = 4
 BUCKETS = 1 << 16
 
 

@@ -15,7 +15,7 @@ from millrace.operators.cleaning import clean
 from millrace.operators.quality import conforms, null_check, require, require_schema
 from millrace.operators.regression import (LinearModel, feature_columns, fit_linear, registry_row,
                                            rmse)
-from millrace.sinks.files import append_run, record_metrics, write_snapshot
+from millrace.sinks.files import RUN, append_run, read_runs, record_metrics, write_snapshot
 
 log = logging.getLogger(__name__)
 
@@ -28,7 +28,7 @@ class EtlReport:
 
 
 def run_slice(spark: SparkSession, path: str, run_id: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
+    return read_runs(spark, path).where(F.col(RUN) == run_id).drop(RUN)
 
 
 def etl_job(raw: DataFrame, path: str, run_id: str, metrics: str | None = None) -> EtlReport:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.session import work_dir
 
+RUN = "run_id"
+
 
 def replace_slice(df: DataFrame, path: str, slice_of: Mapping[str, object],
                   within: Sequence[str] = ()) -> None:
@@ -26,7 +28,15 @@ def replace_slice(df: DataFrame, path: str, slice_of: Mapping[str, object],
 
 def append_run(df: DataFrame, path: str, run_id: str) -> None:
     """Append a whole table as one run: all rows or none, and once however often it is retried."""
-    replace_slice(df, path, {"run_id": run_id})
+    replace_slice(df, path, {RUN: run_id})
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """All runs of a table. Run names stay text, also where they look like a number or date."""
+    found = spark.read.parquet(path).schema
+    typed = T.StructType([T.StructField(f.name, T.StringType()) if f.name == RUN else f
+                          for f in found])
+    return spark.read.schema(typed).parquet(path)
 
 
 def record_metrics(spark: SparkSession, path: str, run_id: str, step: str,
@@ -37,7 +47,7 @@ def record_metrics(spark: SparkSession, path: str, run_id: str, step: str,
     """
     figures = spark.createDataFrame([(name, float(value)) for name, value in metrics.items()],
                                     "metric string, value double")
-    replace_slice(figures.coalesce(1), path, {"run_id": run_id, "step": step})
+    replace_slice(figures.coalesce(1), path, {RUN: run_id, "step": step})
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

@@ -70,6 +70,13 @@ def test_a_slice_is_replaced_and_others_stay(spark, folder):
     assert rows(stored) == [("a", 5), ("b", 2)]
 
 
+def test_run_names_stay_text(spark, folder):
+    for run in ("1", "01", "2026"):
+        files.append_run(spark.range(int(run[-1])), folder, run)
+    assert rows(files.read_runs(spark, folder).groupBy("run_id").count()) == [
+        ("01", 1), ("1", 1), ("2026", 6)]
+
+
 def test_a_failed_append_leaves_the_former_rows(spark, folder):
     files.append_run(spark.range(3), folder, "a")
     failing = spark.range(0, 100, 1, 4).select(
