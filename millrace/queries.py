@@ -21,9 +21,13 @@ from millrace.sources.streams import parquet_stream
 from millrace.sources.synthetic import ROW_KEY, linear_rows, pollute
 from millrace.sources.tables import scan_parquet
 from millrace.streaming import ingest, rollup
+from millrace.streaming.append import start_append
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Bytes of source files that one micro-batch takes on.
+BACKLOG = 1 << 40
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -140,12 +144,16 @@ def parse_events(spark, sf_dir):
     return parsing.parse_messages(messages(spark, sf_dir))
 
 
+def event_stream(spark: SparkSession, sf_dir: str, max_bytes: int | None = None) -> DataFrame:
+    """The events as a stream; the glob also matches a folder under the same name."""
+    schema = table(spark, sf_dir, "events").schema
+    return parquet_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema,
+                          max_bytes=max_bytes)
+
+
 def _ingested(spark: SparkSession, sf_dir: str) -> str:
     """Run the events through the streaming ingest once; the path of the sink."""
-    schema = table(spark, sf_dir, "events").schema
-    # The glob also matches a folder of files under the same name.
-    stream = parquet_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema,
-                            max_bytes=1 << 40)
+    stream = event_stream(spark, sf_dir, BACKLOG)
     path = work_dir(spark, "ingest")
     ingest.start_ingest(as_messages(stream), f"{path}/rows", f"{path}/checkpoint",
                         interval=None).awaitTermination()
@@ -445,6 +453,17 @@ def snapshot_full(spark, sf_dir):
     return jobs.read_latest_snapshot(spark, PRICES_TABLE, f"{path}/cursors")
 
 
+@query(ACCEPTED_SQL)
+def snapshot_increment(spark, sf_dir):
+    """The same copy kept up by a stream, polled twice; the second poll finds nothing new."""
+    path = work_dir(spark, "increment")
+    for _ in range(2):
+        messages_in = as_messages(event_stream(spark, sf_dir, BACKLOG))
+        rows = parsing.accepted(parsing.sort_messages(messages_in))
+        start_append(rows, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    return scan_parquet(spark, f"{path}/rows")
+
+
 @query("""
     WITH state AS (
         SELECT 'customer' AS source, (SELECT count(*) + 1 FROM customer) AS last_count,
@@ -717,10 +736,8 @@ def hourly_snapshot_stream(spark, sf_dir):
     The files come in no order of time, so they are one batch: with several, rows behind
     the watermark of an earlier batch would be dropped.
     """
-    schema = table(spark, sf_dir, "events").schema
-    stream = parquet_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema)
-    bars = rollup.hourly_bars(stream, "ts", "event_type", "value",
+    bars = rollup.hourly_bars(event_stream(spark, sf_dir), "ts", "event_type", "value",
                               time_order(F.col("ts"), F.col("event_id")), late="2 hours")
     path = work_dir(spark, "bars")
-    rollup.start_bars(bars, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+    start_append(bars, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/rows")

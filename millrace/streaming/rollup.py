@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 
 def bar_columns(value: str, order: Column) -> list[Column]:
@@ -31,12 +30,3 @@ def hourly_bars(df: DataFrame, time: str, key: str, value: str, order: Column,
     bars = df.groupBy(F.window(time, width).alias("w"), key).agg(*bar_columns(value, order))
     return bars.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), key, "n_rows", "first_value",
                        "last_value", "low_value", "high_value")
-
-
-def start_bars(bars: DataFrame, path: str, checkpoint: str,
-               interval: str | None = None) -> StreamingQuery:
-    """Append final bars to a Parquet table, exactly once."""
-    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
-    return (bars.writeStream.outputMode("append").format("parquet")
-            .option("path", path).option("checkpointLocation", checkpoint)
-            .trigger(**trigger).start())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace.sources.streams import (json_lines_stream, kafka_source_options, parquet_stream)
 from millrace.streaming import ingest, rollup
+from millrace.streaming.append import start_append
 
 GOOD = '{"coin":"%s","usd":1,"eur":2,"timestamp":"2026-01-01T00:00:00+00:00"}'
 AT = dt.datetime(2026, 1, 1)
@@ -92,6 +93,20 @@ def test_several_batches_and_rebalanced_output(stream, spark):
     assert ingest.batch_counts(spark, stream.sink).count() == 3
 
 
+def test_append_copies_only_what_is_new(spark, folder):
+    def poll():
+        source = parquet_stream(spark, f"{folder}/in", spark.range(1).schema)
+        query = start_append(source, f"{folder}/out", f"{folder}/c")
+        query.awaitTermination()
+        return sum(progress["numInputRows"] for progress in query.recentProgress)
+
+    spark.range(0, 100, 1, 2).write.parquet(f"{folder}/in")
+    assert poll() == 100 and poll() == 0
+    spark.range(100, 130).write.mode("append").parquet(f"{folder}/in")
+    assert poll() == 30
+    assert rows(spark.read.parquet(f"{folder}/out")) == rows(spark.range(130))
+
+
 def test_bytes_bound_a_batch(spark, folder):
     spark.range(0, 4000, 1, 4).write.parquet(f"{folder}/in")
     source = parquet_stream(spark, f"{folder}/in*", spark.range(1).schema, max_bytes=1)
@@ -144,7 +159,7 @@ def test_streamed_bars_close_at_the_watermark(spark, folder):
     def run():
         source = parquet_stream(spark, f"{folder}/in", spark.createDataFrame([], schema).schema)
         bars = rollup.hourly_bars(source, "ts", "key", "value", F.col("id"), late="1 hour")
-        rollup.start_bars(bars, f"{folder}/out", f"{folder}/c").awaitTermination()
+        start_append(bars, f"{folder}/out", f"{folder}/c").awaitTermination()
         return rows(spark.read.parquet(f"{folder}/out"))
 
     first = (dt.datetime(2026, 1, 1, 0), "a", 2, 5.0, 7.0, 5.0, 7.0)
