@@ -60,7 +60,7 @@ def as_messages(events: DataFrame) -> DataFrame:
         "timestamp": F.when(k == "2", "x").otherwise(iso_utc(F.col("ts"))),
         "event_id": F.col("event_id"),
     })
-    numbered = events.withColumn("k", F.get_json_object("props", "$.k"))
+    numbered = events.withColumn("k", F.regexp_extract("props", r'"k":\s*(\d+)', 1))
     return (numbered.select("k", text.alias("text"))
             .select(F.concat(F.when(k == "0", "#").otherwise(""), "text")
                     .cast("binary").alias("value")))
