@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from millrace.session import work_dir
 
 RUN = "run_id"
+RUN_NAME = re.compile(r"[A-Za-z0-9._-]+")
 
 
 def replace_slice(df: DataFrame, path: str, slice_of: Mapping[str, object],
@@ -28,7 +30,13 @@ def replace_slice(df: DataFrame, path: str, slice_of: Mapping[str, object],
 
 def append_run(df: DataFrame, path: str, run_id: str) -> None:
     """Append a whole table as one run: all rows or none, and once however often it is retried."""
-    replace_slice(df, path, {RUN: run_id})
+    if not RUN_NAME.fullmatch(run_id):
+        raise ValueError(f"a run name has letters, digits, '.', '_' and '-' only: {run_id!r}")
+    seen = Observation()
+    replace_slice(df.observe(seen, F.count("*").alias("rows")), path, {RUN: run_id})
+    if seen.get["rows"] == 0:
+        # Without rows there is no slice to replace; leave one that is empty.
+        df.limit(0).write.mode("overwrite").parquet(f"{path}/{RUN}={run_id}")
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

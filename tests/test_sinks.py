@@ -70,6 +70,21 @@ def test_a_slice_is_replaced_and_others_stay(spark, folder):
     assert rows(stored) == [("a", 5), ("b", 2)]
 
 
+def test_an_empty_run_is_readable_and_replaces_its_rows(spark, folder):
+    files.append_run(spark.range(0), folder, "a")
+    assert files.read_runs(spark, folder).count() == 0
+    files.append_run(spark.range(3), folder, "a")
+    files.append_run(spark.range(2), folder, "b")
+    files.append_run(spark.range(5).where("id < 0"), folder, "a")
+    assert rows(files.read_runs(spark, folder)) == [(0, "b"), (1, "b")]
+
+
+def test_run_names_are_plain(spark, folder):
+    for name in ("", "a/b", "a=b", "12:30"):
+        with pytest.raises(ValueError):
+            files.append_run(spark.range(1), folder, name)
+
+
 def test_run_names_stay_text(spark, folder):
     for run in ("1", "01", "2026"):
         files.append_run(spark.range(int(run[-1])), folder, run)
