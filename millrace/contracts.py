@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -73,6 +74,18 @@ FEATURE_CONTRACT: Contract = {
 }
 
 
+def contract_of(spec: Mapping[str, Mapping[str, object]]) -> Contract:
+    """A contract from plain data, such as ``{"x_1": {"type": "float", "nullable": False}}``.
+
+    Environments that differ keep one such mapping each.
+    """
+    for name, rule in spec.items():
+        if rule["type"] not in TYPE_FAMILIES:
+            raise ValueError(f"column {name}: unknown type family {rule['type']!r}")
+    return {name: Column(rule["type"], bool(rule.get("nullable", False)))
+            for name, rule in spec.items()}
+
+
 def required_columns(contract: Contract) -> list[str]:
     """Columns in which a null is a failure."""
     return [name for name, column in contract.items() if not column.nullable]

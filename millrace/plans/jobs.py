@@ -35,7 +35,8 @@ def etl_job(raw: DataFrame, path: str, run_id: str, metrics: str | None = None)
     """Clean a table and append it as one run; repeating the run replaces its rows.
 
     The counts come from the input and from the committed files, so that a task that
-    had to run twice is not counted twice. ``metrics`` is the table to report them to.
+    had to run twice is not counted twice. The input is therefore read twice; stage it if
+    it is no stored table and costly to compute. ``metrics`` is the table to report them to.
     """
     spark = raw.sparkSession
     append_run(conforms(clean(raw), raw.schema), path, run_id)

@@ -16,7 +16,7 @@ from millrace.operators import audit, capture, change, cleaning, parsing, profil
 from millrace.operators import regression, sampling
 from millrace.plans import jobs
 from millrace.session import use_utc, work_dir
-from millrace.sinks.files import append_run
+from millrace.sinks.files import append_run, staged
 from millrace.sources.streams import parquet_stream
 from millrace.sources.synthetic import ROW_KEY, linear_rows, pollute
 from millrace.sources.tables import scan_parquet
@@ -576,7 +576,8 @@ def registry_row(spark, sf_dir):
 def train_model(spark, sf_dir):
     """Pollute, clean, append, check, fit and register; the known answer must come back."""
     path = work_dir(spark, "train")
-    jobs.etl_job(pollute(synthetic(spark, sf_dir), ROW_KEY), f"{path}/features", "first")
+    raw = staged(pollute(synthetic(spark, sf_dir), ROW_KEY), "raw")
+    jobs.etl_job(raw, f"{path}/features", "first")
     model = jobs.training_job(jobs.run_slice(spark, f"{path}/features", "first"),
                               f"{path}/registry", datetime(2024, 2, 1, 9, 30, 5))
     return (_rounded(model.terms(spark), 6, "coefficient")

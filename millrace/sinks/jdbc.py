@@ -6,6 +6,8 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.contracts import TableColumn
+
 Statements = Callable[[Sequence[str]], None]
 
 
@@ -30,6 +32,21 @@ def one_transaction(spark: SparkSession, options: Mapping[str, str]) -> Statemen
     return run
 
 
+# How the column types are called in databases.
+DATABASE_TYPES = {"STRING": "TEXT", "DOUBLE": "DOUBLE PRECISION", "TIMESTAMP_NTZ": "TIMESTAMP"}
+
+
+def create_statement(name: str, columns: Sequence[TableColumn]) -> str:
+    """Create the table unless it is there; the database fills in key and insert time."""
+    def definition(c: TableColumn) -> str:
+        if c.name == "id":
+            return '"id" BIGINT GENERATED BY DEFAULT AS IDENTITY PRIMARY KEY'
+        return (f'"{c.name}" {DATABASE_TYPES.get(c.sql_type, c.sql_type)}'
+                + (" DEFAULT CURRENT_TIMESTAMP" if c.name == "inserted_at" else "")
+                + (" NOT NULL" if c.required else ""))
+    return f"CREATE TABLE IF NOT EXISTS {name} ({', '.join(map(definition, columns))})"
+
+
 def publish_statements(staging: str, target: str, columns: Sequence[str]) -> list[str]:
     """Move the staged rows; columns that are not named keep their defaults."""
     names = ", ".join(f'"{c}"' for c in columns)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import types as T
 
-from millrace.contracts import FEATURE_CONTRACT, Column, required_columns
+from millrace.contracts import FEATURE_CONTRACT, Column, contract_of, required_columns
 from millrace.operators import quality
 from conftest import rows
 
@@ -88,6 +88,15 @@ def test_required_columns():
     assert required_columns({"a": Column("int", nullable=True), "b": Column("int")}) == ["b"]
 
 
+def test_contract_from_plain_data():
+    spec = {"x_1": {"type": "float", "nullable": False}, "n": {"type": "int", "nullable": True},
+            "s": {"type": "string"}}
+    assert contract_of(spec) == {"x_1": Column("float"), "n": Column("int", nullable=True),
+                                 "s": Column("string")}
+    with pytest.raises(ValueError, match="date"):
+        contract_of({"d": {"type": "date"}})
+
+
 def test_eager_gate(spoiled):
     assert quality.require(spoiled, quality.null_check(spoiled.limit(0), ["a"], False)) is spoiled
     with pytest.raises(quality.CheckFailed) as failure:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace import session
-from millrace.contracts import FEATURES_TABLE, PRICES_TABLE, REGISTRY_TABLE
+from millrace.contracts import FEATURES_TABLE, PRICES_TABLE, REGISTRY_TABLE, TABLES
 from millrace.sinks import catalog, files, jdbc, kafka
 from millrace.sources.tables import Split, jdbc_options, scan_parquet, scan_table
 
@@ -132,6 +132,16 @@ class FakeFrame:
         self.write = Recorder()
 
 
+def test_database_tables():
+    assert jdbc.create_statement("registry", TABLES[REGISTRY_TABLE]) == (
+        'CREATE TABLE IF NOT EXISTS registry ('
+        '"id" BIGINT GENERATED BY DEFAULT AS IDENTITY PRIMARY KEY, '
+        '"model_path" TEXT NOT NULL, "rmse" DOUBLE PRECISION NOT NULL, "features" TEXT NOT NULL, '
+        '"inserted_at" TIMESTAMP DEFAULT CURRENT_TIMESTAMP NOT NULL)')
+    prices = jdbc.create_statement("prices", TABLES[PRICES_TABLE])
+    assert '"coin" VARCHAR(50) NOT NULL, "usd" DOUBLE PRECISION, "eur" DOUBLE PRECISION,' in prices
+
+
 def test_database_append_goes_through_staging():
     df, statements = FakeFrame(), []
     options = jdbc_options("jdbc:x", "prices", user="u", password="p")
