@@ -14,8 +14,8 @@ def enrich(df: DataFrame, dimension: DataFrame, on: Column | str, how: str = "in
     """Join with a table that has one row per key.
 
     No broadcast hint: Spark broadcasts a dimension that it measures to be small, and
-    otherwise shuffles both sides and splits the partitions of frequent keys. Both
-    hold for a stream on the left and a table on the right as well.
+    otherwise shuffles both sides and splits the partitions of frequent keys. ``df`` may
+    be a stream.
     """
     return df.join(dimension, on, how)
 

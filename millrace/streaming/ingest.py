@@ -53,6 +53,8 @@ def batch_writer(path: str, on_batch: Callable[[BatchReport], None] | None = Non
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if stream_id is None:
+            raise RuntimeError("the batch does not belong to a running stream")
         rows = batch.withColumn(KIND, F.when(F.col(REASON).isNull(), ACCEPTED).otherwise(REJECTED))
         if rebalance:
             rows = rows.hint("rebalance")

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from millrace.operators import audit, parsing
 from millrace.sources.streams import (json_lines_stream, kafka_source_options, parquet_stream)
 from millrace.streaming import ingest, rollup
 from millrace.streaming.append import start_append
@@ -124,11 +125,26 @@ def test_a_stream_without_messages_leaves_a_readable_table(stream, spark):
 
 def test_an_empty_batch_writes_nothing(spark, folder):
     empty = spark.createDataFrame([], ingest.SINK_SCHEMA).drop("kind", "stream_id", "batch_id")
+    with pytest.raises(RuntimeError, match="running stream"):
+        ingest.batch_writer(f"{folder}/out")(empty, 0)
     spark.sparkContext.setLocalProperty("sql.streaming.queryId", "s")
-    ingest.batch_writer(f"{folder}/out")(empty, 0)
+    try:
+        ingest.batch_writer(f"{folder}/out")(empty, 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
     assert not [name for name in os.listdir(f"{folder}/out") if name.startswith("kind")]
 
 
+def test_a_validated_stream_is_enriched(stream, spark):
+    stream.send("1", GOOD % "a", "broken", GOOD % "zz")
+    names = spark.createDataFrame([("a", "Alpha")], "coin string, name string")
+    valid = parsing.accepted(parsing.sort_messages(json_lines_stream(spark, stream.inbox)))
+    query = start_append(audit.enrich(valid, names, "coin", "left").select("coin", "name"),
+                         stream.sink, f"{stream.folder}/c")
+    query.awaitTermination()
+    assert rows(spark.read.parquet(stream.sink)) == [("a", "Alpha"), ("zz", None)]
+
+
 def test_database_writer_takes_accepted_rows(spark, monkeypatch):
     written = []
     monkeypatch.setattr(ingest.jdbc, "append_batches",
