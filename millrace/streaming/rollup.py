@@ -19,14 +19,15 @@ def hourly_bars(df: DataFrame, time: str, key: str, value: str, order: Column,
                 late: str | None = None, width: str = "1 hour") -> DataFrame:
     """Per key and time window: row count, first, last, least and greatest value.
 
-    ``order`` decides which row is first and last. All of it is partial aggregation, so
-    a key that holds most rows costs one row per task and window in the shuffle. One
-    number, such as ``time_order``, aggregates by hash; a struct would be sorted. On a stream ``late`` is the watermark: a bar is final and leaves the state once that much
-    later data has been seen.
+    ``order`` decides which row is first and last. All of it is partial aggregation, so a
+    key that holds most rows costs one row per task and window in the shuffle. One number,
+    such as ``time_order``, aggregates by hash; a struct would be sorted. On a stream
+    ``late`` is the watermark: a bar is final and leaves the state once that much later
+    data has been seen.
     """
     if late is not None:
-        # Watermarks want an instant; with a UTC session the clock reading stays the same.
+        # Watermarks want an instant; in a UTC session it reads the same.
         df = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     bars = df.groupBy(F.window(time, width).alias("w"), key).agg(*bar_columns(value, order))
-    return bars.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), key, "n_rows", "first_value",
-                       "last_value", "low_value", "high_value")
+    return bars.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), key,
+                       "n_rows", "first_value", "last_value", "low_value", "high_value")
