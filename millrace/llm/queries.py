@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import exact_dedup, line_dedup
+from millrace.llm import bpe_chunks, exact_dedup, line_dedup, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The vocabulary that the queries encode with; a path that all executors can open.
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -27,6 +31,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op2_bpe_chunks(spark, sf_dir):
+    encoded = bpe_chunks.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe_chunks.decode(encoded, TOKENIZER).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query()
+def op4_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
+
+
 @query("""
     WITH lines AS (
         SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
