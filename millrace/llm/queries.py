@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe_chunks, exact_dedup, line_dedup, packing
+from millrace.llm import bpe_chunks, exact_dedup, language, line_dedup, packing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,35 @@ def op5_line_dedup(spark, sf_dir):
                       F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def fold(folds: int) -> Column:
+    """A number below ``folds`` that depends on the id alone."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def language_network(docs: DataFrame) -> language.Network | None:
+    return language.train(docs.filter(fold(4) != 2))
+
+
+@query()
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language_network(docs)).select(
+        "doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    return quality.train(docs, labels.filter(fold(5) != 0))
+
+
+@query()
+def op8_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query("""
     SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
            doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
