@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe_chunks, exact_dedup, language, line_dedup, packing, quality
+from millrace.llm import (bpe_chunks, exact_dedup, html_text, language, line_dedup, packing,
+                          quality)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +89,13 @@ def op6_language_id(spark, sf_dir):
         "doc_id", F.coalesce(fold(4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op7_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    return html_text.main_text(pages, html_text.train(pages)).withColumn(
+        "n_chars", F.char_length("text").cast("long"))
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
     return quality.train(docs, labels.filter(fold(5) != 0))
 
