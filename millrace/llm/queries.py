@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import (bpe_chunks, exact_dedup, html_text, language, line_dedup, packing,
+from millrace.llm import (bpe_chunks, exact_dedup, fingerprint, html_text, language, line_dedup, packing,
                           quality)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query()
+def op1_fingerprint(spark, sf_dir):
+    out = fingerprint.with_edited(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.text_of(F.col("samples")).alias("fingerprint"),
+        fingerprint.text_of(F.col("edited_samples")).alias("edited_fingerprint"),
+        fingerprint.likeness(F.col("samples"), F.col("edited_samples")).alias("near_edited"),
+        fingerprint.likeness(F.col("samples"), F.col("next_samples")).alias("near_next"))
+
+
 @query()
 def op2_bpe_chunks(spark, sf_dir):
     encoded = bpe_chunks.encode(table(spark, sf_dir, "documents"), TOKENIZER)
