@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
 # Bytes of text that numpy works on at once; bounds the temporary arrays of a task.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def text_slices(batch: pa.RecordBatch, column: str = "text",

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow import only, schema_of, text_slices
-from millrace.llm.encoder import Encoder, encoder
+from millrace.llm.encoder import Decoder, Encoder, encoder
 
 # Bytes that the rolling hash covers, its base, and the bits that are zero at a cut.
 WINDOW = 32
@@ -41,7 +41,7 @@ _POWERS: dict[int, np.ndarray] = {}
 def _powers(base: int, size: int) -> np.ndarray:
     known = _POWERS.get(base)
     if known is None or len(known) < size:
-        factors = np.full(max(size, 1 << 21), base, np.uint64)
+        factors = np.full(max(size, 1 << 20), base, np.uint64)
         factors[0] = 1
         known = _POWERS[base] = np.cumprod(factors)
     return known[:size]
@@ -324,8 +324,8 @@ def _together(docs: DataFrame, tokenizer: str, words, schema: T.StructType) -> D
     def assemble(batches):
         for batch in batches:
             enc = encoder(tokenizer)
-            for n in range(0, len(batch), 256):
-                some = batch.slice(n, 256)
+            for n in range(0, len(batch), 64):
+                some = batch.slice(n, 64)
                 documents, copies = [], []
                 for pieces in some.column("pieces").to_pylist():
                     by_part = {p["part"]: Piece(p["ids"], p["head"], p["tail"], p["open"])
@@ -359,9 +359,9 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """The rows with a column ``text``: the ids decoded, special tokens included."""
     def run(batches):
-        enc = encoder(tokenizer)
+        decoder = Decoder(tokenizer)
         for batch in batches:
-            texts = [enc.decode(np.frombuffer(ids.as_py() or b"", "<u4"))
+            texts = [decoder.decode(np.frombuffer(ids.as_py() or b"", "<u4"))
                      for ids in batch.column("ids")]
             yield batch.append_column("text", pa.array(texts, type=pa.binary()).cast(pa.string()))
     return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields,

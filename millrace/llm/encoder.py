@@ -24,7 +24,7 @@ LONG_ENDINGS = (b"re", b"ve", b"ll")
 
 SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
 KEY_BYTES = 16
-SLOT_BITS = 19
+SLOT_BITS = 18
 
 
 def _classes() -> np.ndarray:
@@ -123,8 +123,6 @@ class Encoder:
         self.tokenizer.no_padding()
         self.by_pieces = self._covered(rules)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.token_bytes = [token.encode() for token in self.tokens]
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
         slots = 1 << SLOT_BITS
         self.low = np.zeros(slots, np.uint64)
@@ -222,12 +220,26 @@ class Encoder:
         total = np.append(0, np.cumsum(count))
         return out, total[np.searchsorted(starts, offsets)]
 
+
+class Decoder:
+    """Text of ids, as the library's ``decode(ids, skip_special_tokens=False)``."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        self.tokens = None
+        if tokenizer.decoder is not None:
+            self.library = tokenizer
+            return
+        # Without a decoder of its own, a tokenizer joins its tokens by spaces.
+        size = tokenizer.get_vocab_size(with_added_tokens=True)
+        self.tokens = [(tokenizer.id_to_token(i) or "").encode() for i in range(size)]
+
     def decode(self, ids: np.ndarray) -> bytes:
-        """As the library's ``decode(ids, skip_special_tokens=False)`` of a tokenizer that has
-        no decoder: tokens joined by spaces. With a decoder, the library itself decodes."""
-        if self.tokenizer.decoder is not None:
-            return self.tokenizer.decode(ids.tolist(), skip_special_tokens=False).encode()
-        return b" ".join(map(self.token_bytes.__getitem__, ids.tolist()))
+        if self.tokens is None:
+            return self.library.decode(ids.tolist(), skip_special_tokens=False).encode()
+        return b" ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
 _ENCODERS: dict[str, Encoder] = {}
