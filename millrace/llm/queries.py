@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import (bpe_chunks, exact_dedup, fingerprint, html_text, language, line_dedup, packing,
-                          quality)
+from millrace.llm import (bpe_chunks, exact_dedup, fingerprint, html_text, language, line_dedup,
+                          ngram_join, packing, quality)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,3 +126,8 @@ def op8_quality(spark, sf_dir):
     FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""")
 def op9_exact_dedup(spark, sf_dir):
     return exact_dedup.content_groups(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
