@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm import (bpe_chunks, exact_dedup, fingerprint, html_text, language, line_dedup,
-                          ngram_join, packing, quality)
+                          ngram_join, packing, quality, warc)
+from millrace.sinks.files import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +52,52 @@ def op2_bpe_chunks(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+# What befalls a page in the replica that is audited, by a digest of its id.
+DAMAGE = {"changed": 1, "missing": 2, "cut": 3}
+DAMAGE_OF = 64
+
+
+@query(f"""
+    WITH made AS (
+        SELECT page_id, md5(page_id::VARCHAR) AS d, md5(page_id || ' ' || url) AS u,
+               coalesce(html, '') AS block, url FROM pages),
+    records AS (
+        SELECT page_id, ('0x' || substr(d, 1, 8))::BIGINT
+                   % greatest(1, (SELECT ceil(count(*) / 4096.0) FROM pages)::BIGINT) AS file,
+               ('0x' || substr(d, 9, 8))::BIGINT % {DAMAGE_OF} AS damage,
+               'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10)
+               || 'WARC-Target-URI: ' || url || chr(13) || chr(10)
+               || 'WARC-Date: {warc.STAMP}' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:uuid:'
+               || substr(u, 1, 8) || '-' || substr(u, 9, 4) || '-' || substr(u, 13, 4) || '-'
+               || substr(u, 17, 4) || '-' || substr(u, 21, 12) || '>' || chr(13) || chr(10)
+               || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+               || octet_length(encode(block)) || chr(13) || chr(10) || chr(13) || chr(10)
+               || block || chr(13) || chr(10) || chr(13) || chr(10) AS record
+        FROM made)
+    SELECT page_id, file,
+           (sum(octet_length(encode(record))) OVER (PARTITION BY file ORDER BY page_id)
+            - octet_length(encode(record)))::BIGINT AS "offset",
+           octet_length(encode(record)) AS length, sha256(record) AS sha256,
+           CASE damage WHEN {DAMAGE['changed']} THEN 'changed' WHEN {DAMAGE['cut']} THEN 'changed'
+                WHEN {DAMAGE['missing']} THEN 'missing' ELSE 'intact' END AS status
+    FROM records""")
+def op3_merkle_audit(spark, sf_dir):
+    """The pages as an archive, and a replica of it in which some records are damaged."""
+    made = warc.records(table(spark, sf_dir, "pages"))
+    damage = F.conv(F.substring(F.md5(F.col("page_id").cast("string")), 9, 8), 16, 10).cast("long") % DAMAGE_OF
+    hurt = (F.when(damage == DAMAGE["changed"], F.concat(F.lit("X"), F.expr("substring(record, 2)")))
+            .when(damage == DAMAGE["cut"], F.expr("substring(record, 1, char_length(record) - 5)"))
+            .otherwise(F.col("record")))
+    original = staged(made.select("page_id", "file", "offset", "length",
+                                  F.sha2("record", 256).alias("digest")), "warc-original")
+    replica = staged(warc.leaves(made.filter(F.coalesce(damage != DAMAGE["missing"], F.lit(True)))
+                                 .withColumn("record", hurt)), "warc-replica")
+    wrong = warc.audit(original.drop("page_id"), replica)
+    return original.join(wrong, ["file", "offset"], "left").select(
+        "page_id", "file", "offset", "length", F.col("digest").alias("sha256"),
+        F.coalesce("status", F.lit("intact")).alias("status"))
+
+
 @query()
 def op4_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER).select(
