@@ -4,18 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from millrace.llm import exact_dedup, language, ngram_join, packing, quality
+from millrace.llm.queries import TOKENIZER, language_network, quality_model, table
+from millrace.sinks.files import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+# A document needs this much of a score to stay. Both leave clean documents far behind them.
+LEAST_QUALITY = quality.THRESHOLD
+LEAST_LANGUAGE = 0.3
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return quality.accepted(docs, model, LEAST_QUALITY)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network tells with some certainty."""
+    return language.accepted(docs, language_network(docs), LEAST_LANGUAGE)
+
+
+def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts, the one with the largest id."""
+    return exact_dedup.kept_rows(docs)
+
+
+def distinct_contents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that hang together as near duplicates, the one with the least id."""
+    kept = staged(ngram_join.near_duplicates(docs).filter("doc_id <=> class_id")
+                  .select(F.col("doc_id").alias("kept_id")).distinct(), "near-kept")
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document, and where it lies in which sequence."""
+    return packing.pack(docs, TOKENIZER)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality),
+    ("language", known_language),
+    ("exact_dedup", distinct_texts),
+    ("near_dedup", distinct_contents),
+    ("packing", packed),
+]
 
+# The classifiers cannot be expressed in SQL; tests hold each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table of documents."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over the table of documents, each written to the shared folder."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

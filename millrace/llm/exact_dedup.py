@@ -49,12 +49,13 @@ def content_groups(docs: DataFrame, normalise=None, parts: int = PARTS) -> DataF
 
 
 def kept_rows(docs: DataFrame, normalise=None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """The rows of ``docs`` that stay, with all their columns; see ``content_groups``.
 
-    Of rows that share text and id but differ elsewhere, all stay or none; ids are expected
-    to be unique wherever this is used.
+    Rows that share both id and content stay or go together.
     """
-    gone = content_groups(docs, normalise).filter("NOT kept AND NOT (doc_id <=> keep_id)")
-    gone = staged(gone.select(F.col("doc_id").alias("gone_id")), "content-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
-
+    text = F.coalesce(docs["text"], F.lit(""))
+    kept = staged(content_groups(docs, normalise).filter("kept")
+                  .select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha256")),
+                  "content-kept")
+    same = F.sha2(normalise(text) if normalise else text, 256) == kept["kept_sha256"]
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]) & same, "left_semi")

@@ -207,6 +207,23 @@ def train(docs: DataFrame, per_language: int = FIT_DOCS, label: str = "lang") ->
     return fit(batch, np.array([place[name] for name in names]), languages)
 
 
+def identified(net: Network | None, data: np.ndarray,
+               offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(language, score) of each text of a buffer."""
+    n = len(offsets) - 1
+    names, scores = np.full(n, UNDETERMINED, object), np.zeros(n)
+    if net is not None and len(data):
+        got, of, filled = windows(data, offsets)
+        weighed = net.probabilities(got).astype(float) * filled[:, None]
+        sums = np.stack([np.bincount(of, column, n) for column in weighed.T], axis=1)
+        sums /= np.maximum(np.diff(offsets), 1)[:, None]
+        best = sums.argmax(axis=1)
+        told = has_letter(data, offsets)
+        names[told] = np.array(net.languages, object)[best[told]]
+        scores[told] = np.clip(sums[np.arange(n), best][told], 0, 1)
+    return names, scores
+
+
 def identify(docs: DataFrame, network: Network | None) -> DataFrame:
     """doc_id, lang_pred and score, from 0 to 1, of every row.
 
@@ -218,23 +235,30 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            net = held.value
             for first, end, data, offsets in text_slices(batch):
-                n = end - first
-                names, scores = np.full(n, UNDETERMINED, object), np.zeros(n)
-                if net is not None and len(data):
-                    got, of, filled = windows(data, offsets)
-                    weighed = net.probabilities(got).astype(float) * filled[:, None]
-                    sums = np.stack([np.bincount(of, column, n) for column in weighed.T], axis=1)
-                    sums /= np.maximum(np.diff(offsets), 1)[:, None]
-                    best = sums.argmax(axis=1)
-                    told = has_letter(data, offsets)
-                    names[told] = np.array(net.languages, object)[best[told]]
-                    scores[told] = np.clip(sums[np.arange(n), best][told], 0, 1)
+                names, scores = identified(held.value, data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, n), pa.array(names.tolist(), type=pa.string()),
-                     pa.array(scores)], names=["doc_id", "lang_pred", "score"])
+                    [batch.column("doc_id").slice(first, end - first),
+                     pa.array(names.tolist(), type=pa.string()), pa.array(scores)],
+                    names=["doc_id", "lang_pred", "score"])
 
     return only(docs, "doc_id", "text").mapInArrow(run, T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType),
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+
+
+def accepted(docs: DataFrame, network: Network | None, least: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in a language told with a score of at
+    least ``least``. Where nothing was learned, all rows stay."""
+    if network is None:
+        return docs
+    held = docs.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches):
+        for batch in batches:
+            for first, end, data, offsets in text_slices(batch):
+                names, scores = identified(held.value, data, offsets)
+                good = (names != UNDETERMINED) & (scores >= least)
+                yield batch.slice(first, end - first).filter(pa.array(good.astype(bool)))
+
+    return docs.mapInArrow(run, docs.schema)

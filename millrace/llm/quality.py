@@ -233,3 +233,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(run, T.StructType([
         T.StructField("doc_id", docs.schema["doc_id"].dataType),
         T.StructField("score", T.DoubleType())]))
+
+
+def accepted(docs: DataFrame, model: Model, least: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is at least ``least``."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            for first, end, data, offsets in text_slices(batch):
+                good = held.value.scores(data, offsets) >= least
+                yield batch.slice(first, end - first).filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
