@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,6 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The vocabulary that the queries encode with; a path that all executors can open.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -30,6 +33,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package; on a cluster it is installed or sent by --py-files.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
