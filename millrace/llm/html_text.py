@@ -20,7 +20,9 @@ from millrace.llm.arrow import only
 FIT_PAGES, FIT_NAMES = 2_000, 4_096
 # Greatest weight, the least that a tag takes away, and the most that a tag does which only
 # groups or lays out text.
-GREATEST, TAG_LEAST, PLAIN_MOST = 6.0, 0.05, 0.5
+GREATEST, TAG_LEAST, PLAIN_MOST = 6.0, 0.05, 0.25
+# What a stretch that keeps no text takes away; its tags take away more.
+INTERRUPTION = 0.5
 # Words that an element listed below counts as having had outside the text, before learning.
 PRIOR_WORDS = 200
 
@@ -163,7 +165,7 @@ class Weights:
 
     def word(self, around: tuple[str, ...]) -> float:
         """Positive, unless an element around the word keeps no text."""
-        least = max(self.learned.get("word", 1.0), 0.5)
+        least = max(self.learned.get("word", 1.0), 1.0)
         for key in around:
             known = self.learned.get(f"in {key}")
             if known is None:
@@ -205,7 +207,7 @@ def extract(page: str, weights: Weights) -> str:
                 of_word[around] = weights.word(around)
             one = of_word[around]
             # However long, what keeps no text counts as one interruption.
-            scores.append(one * len(text.split()) if one > 0 else one)
+            scores.append(one * len(text.split()) if one > 0 else max(one, -INTERRUPTION))
     a, b = best_run(scores)
     blocks, parts = [], []
     for token, score in zip(found[a:b], scores[a:b]):
