@@ -23,7 +23,6 @@ CURRENCIES = ("usd", "eur")
 MESSAGE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 MODEL_FOLDER = "./saved_models"
 MODEL_NAME = "linear_model_"
-MODEL_SUFFIX = ".pkl"
 MODEL_STAMP_FORMAT = "yyyyMMdd_HHmmss"
 
 FEATURE_PREFIX = "x_"
@@ -33,6 +32,9 @@ ALPHA = 2.2
 NULL_ROWS = 5
 COPIED_ROWS = 3
 
+# Models are stored as tables of one row, so the ending is this library's own.
+MODEL_SUFFIX = ".parquet"
+
 TYPE_FAMILIES: dict[str, tuple[type[T.DataType], ...]] = {
     "float": (T.FloatType, T.DoubleType),
     "int": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
@@ -74,6 +76,10 @@ FEATURE_CONTRACT: Contract = {
 }
 
 
+# What cleaning declares to return: the feature table's own columns.
+FEATURE_ROW = T.StructType([T.StructField(name, T.DoubleType()) for name in FEATURE_CONTRACT])
+
+
 def contract_of(spec: Mapping[str, Mapping[str, object]]) -> Contract:
     """A contract from plain data, such as ``{"x_1": {"type": "float", "nullable": False}}``.
 

@@ -23,6 +23,12 @@ def _typed(df: DataFrame, names: Iterable[str] | None) -> list[tuple[Column, boo
     return [(column(f.name), isinstance(f.dataType, FLOATS)) for f in fields]
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The column with NULL for NaN, as either means that the value is missing."""
+    (value, floats), = _typed(df, [name])
+    return F.nanvl(value, F.lit(None).cast("double")) if floats else value
+
+
 def is_missing(df: DataFrame, names: Iterable[str] | None = None) -> list[Column]:
     """One test per column, in the order of the names."""
     return [value.isNull() | F.isnan(value) if floats else value.isNull()

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from millrace.functions.missing import column
+from millrace.functions.missing import column, present
 from millrace.sinks.files import staged
 
 
@@ -51,11 +51,13 @@ def drift_stats(df: DataFrame, period: Column, key: str, value: str,
     """Mean and spread per key and period beside those of the reference period.
 
     ``shift`` is the change of the mean in reference standard deviations. Without a
-    reference, the first period of each key is the reference.
+    reference, the first period of each key is the reference. NULL and NaN values count as
+    rows and in nothing else; NULL keys are a group.
     """
-    stats = df.groupBy(period.alias("period"), key).agg(
-        F.count("*").alias("n_rows"), F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("spread"))
+    v = present(df, value)
+    stats = df.groupBy(period.alias("period"), column(key)).agg(
+        F.count("*").alias("n_rows"), F.avg(v).alias("mean"),
+        F.stddev_samp(v).alias("spread"))
     shift = (F.col("mean") - F.col("ref_mean")) / F.nullif(F.col("ref_spread"), F.lit(0.0))
     return (stats.withColumns({"ref_mean": _of_reference("mean", key, reference),
                                "ref_spread": _of_reference("spread", key, reference)})
@@ -68,10 +70,11 @@ def population_stability(df: DataFrame, period: Column, key: str, value: str,
     """Population stability index per key and period over fixed bins.
 
     Bins are cut at the edges, the outer two are open. All bin counts of a group come
-    from one aggregation; a share of nothing counts as ``floor``.
+    from one aggregation; a share of nothing counts as ``floor``. NULL and NaN values are in
+    no bin and not in ``n_rows``.
     """
     bounds = [None, *edges, None]
-    v = column(value)
+    v = present(df, value)
 
     def inside(low: float | None, high: float | None) -> Column:
         test = v.isNotNull()
@@ -79,7 +82,7 @@ def population_stability(df: DataFrame, period: Column, key: str, value: str,
         return test if high is None else test & (v < high)
 
     counts = [F.count_if(inside(low, high)) for low, high in zip(bounds, bounds[1:])]
-    groups = (df.groupBy(period.alias("period"), key)
+    groups = (df.groupBy(period.alias("period"), column(key))
               .agg(F.array(*counts).alias("bins"), F.count(v).alias("n_rows")))
     shares = groups.withColumn(
         "shares", F.transform("bins", lambda n: F.greatest(F.try_divide(n, F.col("n_rows")), F.lit(floor))))
@@ -94,11 +97,13 @@ def anomaly_flags(df: DataFrame, key: str, value: str, limit: float = 3.0) -> Da
 
     The statistics are aggregated, staged and joined back. A window per key would sort
     all rows of a frequent key in one task; without staging, Spark would shuffle the
-    table before it knew that a few rows of statistics can be broadcast.
+    table before it knew that a few rows of statistics can be broadcast. NULL keys are a
+    group; a NULL or NaN value has no score and is no anomaly.
     """
-    stats = staged(df.groupBy(column(key)).agg(F.avg(value).alias("__mean"),
-                                               F.stddev_samp(value).alias("__spread")), "stats")
-    z = (column(value) - F.col("__mean")) / F.nullif(F.col("__spread"), F.lit(0.0))
-    return (df.join(stats, key, "left").withColumn("z_score", z)
-            .withColumn("is_anomaly", F.coalesce(F.abs(z) > limit, F.lit(False)))
-            .drop("__mean", "__spread"))
+    v = present(df, value)
+    stats = staged(df.groupBy(column(key).alias("__key")).agg(
+        F.avg(v).alias("__mean"), F.stddev_samp(v).alias("__spread")), "stats")
+    z = (v - F.col("__mean")) / F.nullif(F.col("__spread"), F.lit(0.0))
+    return (df.join(stats, column(key).eqNullSafe(F.col("__key")), "left").withColumn("z_score", z)
+            .withColumn("is_anomaly", F.coalesce(F.abs(F.col("z_score")) > limit, F.lit(False)))
+            .drop("__key", "__mean", "__spread"))

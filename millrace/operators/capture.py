@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.missing import column
 from millrace.sinks.files import staged
 
-OPERATION, DELETE = "op", "D"
+OPERATION = "op"
+INSERT, UPDATE, DELETE = "I", "U", "D"
+
+
+def _valid(key: str, operation: str) -> Column:
+    known = F.coalesce(column(operation).isin(INSERT, UPDATE, DELETE), F.lit(False))
+    return known & column(key).isNotNull()
+
+
+def invalid_changes(changes: DataFrame, key: str, operation: str = OPERATION) -> DataFrame:
+    """Changes that cannot be applied: without a key, or with an operation other than I, U, D."""
+    return changes.where(~_valid(key, operation))
 
 
 def latest_changes(changes: DataFrame, key: str, order: Sequence[str],
@@ -18,10 +29,12 @@ def latest_changes(changes: DataFrame, key: str, order: Sequence[str],
 
     ``order`` is unique per key. The last change is an aggregate, not a window: each
     task keeps one change per key before the shuffle, however often a key changes.
+    Invalid changes change nothing; ``invalid_changes`` has them.
     """
     last = F.max_by(F.struct(*[column(name) for name in changes.columns]),
                     F.struct(*[column(name) for name in order]))
-    return (changes.groupBy(column(key).alias("__key")).agg(last.alias("last"))
+    return (changes.where(_valid(key, operation)).groupBy(column(key).alias("__key"))
+            .agg(last.alias("last"))
             .select("last.*").where(column(operation) != DELETE))
 
 
@@ -32,11 +45,12 @@ def apply_changes(base: DataFrame, changes: DataFrame, key: str, order: Sequence
     The changes are reduced to one per key and staged before they meet the table. If
     little is left, Spark broadcasts the keys and does not shuffle the table at all; if
     much is left, both sides are shuffled once by key, and no key has more than one change.
+    Rows of the table without a key stay; invalid changes change nothing.
     """
     row = base.columns
     last = F.max_by(F.struct(*[column(name) for name in row], column(operation).alias("__op")),
                     F.struct(*[column(name) for name in order]))
-    latest = staged(changes.groupBy(column(key).alias("__key")).agg(last.alias("last"))
-                    .select("last.*"), "changes")
+    latest = staged(changes.where(_valid(key, operation)).groupBy(column(key).alias("__key"))
+                    .agg(last.alias("last")).select("last.*"), "changes")
     upserts = latest.where(column("__op") != DELETE).select(*[column(name) for name in row])
     return base.join(latest.select(column(key)), key, "left_anti").select(*row).unionByName(upserts)

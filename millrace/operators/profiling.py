@@ -20,6 +20,13 @@ def head_rows(df: DataFrame, keys: Sequence[str | Column], n: int = 5) -> DataFr
     return df.orderBy(*keys).limit(n)
 
 
+def head_json(df: DataFrame, keys: Sequence[str | Column], n: int = 5) -> DataFrame:
+    """The first rows as JSON texts, to be kept as metadata."""
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    text = F.to_json(F.struct("*"), {"timestampNTZFormat": micros, "timestampFormat": micros + "XXX"})
+    return head_rows(df, keys, n).select(text.alias("head"))
+
+
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
     """The values of a column, one per row, so that their number does not matter."""
     return df.select(column(name)).where(column(name).isNotNull()).distinct()

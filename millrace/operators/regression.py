@@ -1,15 +1,14 @@
-"""Ordinary least squares with an intercept, from one aggregation over the table."""
+"""Ordinary least squares with an intercept, from means and correlations."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from itertools import combinations_with_replacement
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.contracts import (FEATURE_PREFIX, MODEL_NAME, MODEL_STAMP_FORMAT, MODEL_SUFFIX,
@@ -18,11 +17,6 @@ from millrace.functions.missing import any_missing, column
 from millrace.functions.numbers import linear
 
 PREDICTION = "prediction"
-# With more features the covariances of all pairs no longer fit one compiled aggregation,
-# and Spark ML, which adds up the matrix in blocks, is the faster way.
-MAX_MOMENT_FEATURES = 6
-# Limit of Spark's normal-equation solver.
-MAX_NORMAL_FEATURES = 4096
 # Share of a unit variance below which a direction counts as collinear.
 RANK_TOLERANCE = 1e-12
 
@@ -34,6 +28,15 @@ class LinearModel:
     intercept: float
     rows: int
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.as_frame(spark).coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LinearModel:
+        row = spark.read.parquet(path).first()
+        return LinearModel(tuple(row["features"]), tuple(row["coefficients"]), row["intercept"],
+                           row["rows"])
+
     def as_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
             [(list(self.features), list(self.coefficients), self.intercept, self.rows)],
@@ -53,34 +56,31 @@ def feature_columns(df: DataFrame, prefix: str = FEATURE_PREFIX) -> list[str]:
 
 def fit_linear(df: DataFrame, features: Sequence[str] | None = None,
                target: str = TARGET) -> LinearModel:
-    """Least squares of the target on the features.
+    """Least squares of the target on the features, however many there are.
 
-    Means and covariances of all pairs come from one scan with partial aggregation;
-    what reaches the driver is a matrix of feature count squared. Collinear features
-    get the least-norm solution. A missing value is an error, as is an empty table.
-    Beyond MAX_MOMENT_FEATURES the same fit is done by Spark ML; there, collinear
-    features get some solution with the same predictions.
+    Counts, means and spreads come from one aggregation, correlations of all pairs from
+    Spark's, which adds up centred products in blocks; what reaches the driver is a matrix
+    of feature count squared. Collinear features get the least-norm solution. A missing
+    value is an error, as is an empty table.
     """
     features = list(feature_columns(df) if features is None else features)
     if not features:
         raise ValueError("no feature columns")
-    if len(features) > MAX_MOMENT_FEATURES:
-        return _fit_wide(df, features, target)
     names = [*features, target]
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
-    moments = df.agg(
-        F.count("*").alias("rows"),
-        F.count_if(any_missing(df, names)).alias("missing"),
-        F.array(*[F.avg(column(name)) for name in names]).alias("means"),
-        F.array(*[F.covar_pop(column(names[i]).cast("double"), column(names[j]).cast("double"))
-                  for i, j in pairs]).alias("covariances"),
-    ).first()
-    _refuse(moments["rows"], moments["missing"])
-    covariance = np.zeros((len(names), len(names)))
-    for (i, j), value in zip(pairs, moments["covariances"]):
-        covariance[i, j] = covariance[j, i] = value
-    means = np.array(moments["means"])
-    return _solve(features, covariance, means, moments["rows"])
+    values = [column(name).cast("double") for name in names]
+    found = df.agg(
+        F.count("*").alias("rows"), F.count_if(any_missing(df, names)).alias("missing"),
+        F.array(*[F.avg(v) for v in values]).alias("means"),
+        F.array(*[F.stddev_pop(v) for v in values]).alias("spreads")).first()
+    _refuse(found["rows"], found["missing"])
+    means, spread = np.array(found["means"]), np.array(found["spreads"])
+    correlation = np.eye(len(names))
+    if found["rows"] > 1:
+        vectors = df.select(array_to_vector(F.array(*values)).alias("v"))
+        correlation = Correlation.corr(vectors, "v").first()[0].toArray()
+    # A column that never varies correlates with nothing.
+    covariance = np.nan_to_num(correlation) * np.outer(spread, spread)
+    return _solve(features, covariance, means, found["rows"])
 
 
 def _solve(features: Sequence[str], covariance: np.ndarray, means: np.ndarray,
@@ -107,20 +107,6 @@ def _refuse(rows: int, missing: int) -> None:
         raise ValueError(f"{missing} rows have a missing value")
 
 
-def _fit_wide(df: DataFrame, features: list[str], target: str) -> LinearModel:
-    """Many features: the normal equations of Spark ML, or its iterative solver."""
-    names = [*features, target]
-    counts = df.agg(F.count("*").alias("rows"),
-                    F.count_if(any_missing(df, names)).alias("missing")).first()
-    _refuse(counts["rows"], counts["missing"])
-    solver = "normal" if len(features) <= MAX_NORMAL_FEATURES else "l-bfgs"
-    vectors = VectorAssembler(inputCols=features, outputCol="features").transform(
-        df.select(*[column(name) for name in names]))
-    model = LinearRegression(labelCol=target, solver=solver, regParam=0.0).fit(vectors)
-    return LinearModel(tuple(features), tuple(map(float, model.coefficients)),
-                       float(model.intercept), counts["rows"])
-
-
 def predict(df: DataFrame, model: LinearModel, name: str = PREDICTION) -> DataFrame:
     """Score every row with a plain expression; no model object travels to the tasks."""
     value = linear([column(f) for f in model.features], model.coefficients, model.intercept)

@@ -2,69 +2,85 @@
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from math import ceil, log2, sqrt
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.missing import column
+from millrace.sinks.files import staged
 
 DRAW = "draw"
-# In one pass each draw has a digest computed for every row; from a few draws on, looking
-# at the rows of one bucket per draw is cheaper although it reads the keys first.
-ONE_PASS_DRAWS = 4
-BUCKETS = 1 << 16
+# Rows of a bucket, about; a draw looks at the rows of one bucket.
+BUCKET_ROWS = 256
 
 
-def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """Exactly ``n`` rows, drawn with replacement, with their draw number 0..n-1.
+def _number(text: Column, digits: int) -> Column:
+    """The first hexadecimal digits of the text's digest as a number."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("bigint")
 
-    ``key`` identifies a row. Each draw takes the row with the least digest of draw
-    number and key, so each row is equally likely and a rerun draws the same rows.
-    An empty input gives no rows.
-    """
-    if n < 0:
-        raise ValueError("a sample cannot have a negative size")
-    return _one_pass(df, key, n, seed) if n <= ONE_PASS_DRAWS else _by_bucket(df, key, n, seed)
+
+def _text(*parts: Column | str) -> Column:
+    return F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _rank(draw, key: str, seed: int):
-    text = F.concat(F.lit(f"{seed}:"), draw.cast("string"), F.lit(":"), column(key).cast("string"))
-    return F.struct(F.md5(text.cast("binary")), column(key))
+def side_of(rows: int) -> int:
+    """The buckets are a square of this side, a power of two."""
+    return 1 << max(0, ceil(log2(sqrt(max(1.0, rows / BUCKET_ROWS)))))
 
 
-def _one_pass(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    row = F.struct(*[column(name) for name in df.columns])
-    draws = [F.min_by(F.struct(F.lit(d).alias(DRAW), row.alias("row")), _rank(F.lit(d), key, seed))
-             for d in range(n)]
-    if not draws:
-        return df.limit(0).select(F.lit(0).alias(DRAW), "*")
-    return (df.agg(F.array_compact(F.array(*draws)).alias("draws"))
-              .select(F.explode("draws").alias("d"))
-              .select(f"d.{DRAW}", "d.row.*"))
+def _cumulative(sizes: DataFrame, by: str, group: str | None) -> DataFrame:
+    """Sorted (end, by, n) of each group's sizes, as one array."""
+    window = (Window.partitionBy(group) if group else Window.partitionBy()).orderBy(by)
+    ends = sizes.select(*([group] if group else []), F.struct(
+        F.sum("n").over(window).alias("end"), F.col(by), F.col("n")).alias("part"))
+    return (ends.groupBy(group) if group else ends.groupBy()).agg(
+        F.array_sort(F.collect_list("part")).alias("parts"))
 
 
-def _by_bucket(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """Many draws: share them out over key buckets by size, then draw in each bucket.
+def _reached(parts: Column, position: Column) -> Column:
+    """The first part that ends beyond the position."""
+    return F.get(F.filter(parts, lambda part: part["end"] > position), 0)
 
-    The shares are multinomial, which together with an even draw inside a bucket is the
-    same distribution as drawing from the whole. Only the bucket sizes, a fixed number
-    of integers, come to the driver; a row meets the draws of its own bucket only.
+
+def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
+    """Exactly ``n`` rows, drawn with replacement, with their draw number 0..n-1.
+
+    ``key`` identifies a row. A draw's number gives a position among all rows. Rows lie in
+    buckets by a digest of their key; the draw goes to the bucket that has its position, and
+    takes the row there with the least digest of draw and key. So each row is equally likely,
+    a rerun draws the same rows, and the first draws are those of a smaller sample. An empty
+    input gives no rows. A NULL key is an error; keys must not occur twice.
+
+    The buckets are as many as the rows ask for. Their sizes are added up in a square, one
+    row of it and then one column, so that no task handles more than its side.
     """
-    bucket = F.pmod(F.xxhash64(column(key), F.lit(seed)), F.lit(BUCKETS))
-    sizes = df.groupBy(bucket.alias("bucket")).count().orderBy("bucket").collect()
-    total = sum(row["count"] for row in sizes)
-    if not total:
-        return df.limit(0).select(F.lit(0).alias(DRAW), "*")
-    shares = np.random.default_rng(seed).multinomial(n, [row["count"] / total for row in sizes])
-    first = np.concatenate([[0], np.cumsum(shares)[:-1]])
-    plan = df.sparkSession.createDataFrame(
-        [(int(row["bucket"]), int(start), int(start + share - 1))
-         for row, start, share in zip(sizes, first, shares) if share],
-        "sample_bucket bigint, first_draw bigint, last_draw bigint")
-    row = F.struct(*[column(name) for name in df.columns]).alias("row")
-    rank = _rank(F.col(DRAW), key, seed).alias("rank")
-    return (df.withColumn("sample_bucket", bucket)
-              .join(F.broadcast(plan), "sample_bucket")  # at most BUCKETS rows of three integers
-              .withColumn(DRAW, F.explode(F.sequence("first_draw", "last_draw")))
-              .select(F.col(DRAW).cast("int"), row, rank)
-              .groupBy(DRAW).agg(F.min_by("row", "rank").alias("row"))
-              .select(DRAW, "row.*"))
+    if n < 0:
+        raise ValueError("a sample cannot have a negative size")
+    schema = df.limit(0).select(F.lit(0).alias(DRAW), "*")
+    keys = df.select(column(key).alias("__key"))
+    total = keys.agg(F.count("*").alias("rows"), F.count("__key").alias("keys")).first()
+    if total["rows"] > total["keys"]:
+        raise ValueError(f"{total['rows'] - total['keys']} rows have no {key}")
+    if not total["rows"] or not n:
+        return schema
+    side = side_of(total["rows"])
+    bucket = _number(_text(str(seed), F.col("__key")), 8) % (side * side)
+    placed = keys.select("__key", bucket.alias("bucket"))
+    sizes = staged(placed.groupBy("bucket").agg(F.count("*").alias("n")).select(
+        F.floor(F.col("bucket") / side).alias("high"), (F.col("bucket") % side).alias("low"), "n"),
+        "sample-buckets")
+    tops = _cumulative(sizes.groupBy("high").agg(F.sum("n").alias("n")), "high", None)
+    inside = _cumulative(sizes, "low", "high")
+    position = _number(_text(str(seed), F.col(DRAW), "position"), 15) % total["rows"]
+    draws = (df.sparkSession.range(n).select(F.col("id").cast("int").alias(DRAW))
+             .withColumn("position", position).withColumn("tops", tops.scalar())
+             .withColumn("top", _reached(F.col("tops"), F.col("position")))
+             .select(DRAW, F.col("top.high").alias("high"),
+                     (F.col("position") - F.col("top.end") + F.col("top.n")).alias("position"))
+             .join(inside, "high")
+             .select(DRAW, (F.col("high") * side + _reached(F.col("parts"), F.col("position"))["low"])
+                     .alias("bucket")))
+    rank = F.struct(F.md5(_text(str(seed), F.col(DRAW), F.col("__key")).cast("binary")), "__key")
+    chosen = staged(placed.join(staged(draws, "sample-draws"), "bucket")
+                    .groupBy(DRAW).agg(F.min_by("__key", rank).alias("__key")), "sample-keys")
+    return (df.join(chosen, column(key) == F.col("__key")).select(DRAW, *[column(c) for c in df.columns]))

@@ -7,14 +7,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.contracts import FEATURE_CONTRACT, MODEL_FOLDER, TARGET, Contract, required_columns
+from millrace.contracts import (FEATURE_CONTRACT, FEATURE_ROW, FEATURES_TABLE, MODEL_FOLDER,
+                                REGISTRY_TABLE, TABLES, TARGET, Contract, required_columns)
 from millrace.operators.change import commit_cursor, current_counts, new_rows_since, read_cursors
 from millrace.operators.cleaning import clean
-from millrace.operators.quality import conforms, null_check, require, require_schema
+from millrace.operators.profiling import distinct_values, head_json
+from millrace.operators.quality import CheckFailed, conforms, null_check, require, require_schema
 from millrace.operators.regression import (LinearModel, feature_columns, fit_linear, registry_row,
                                            rmse)
+from millrace.sinks import catalog
 from millrace.sinks.files import RUN, append_run, read_runs, record_metrics, write_snapshot
 
 log = logging.getLogger(__name__)
@@ -31,15 +34,19 @@ def run_slice(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     return read_runs(spark, path).where(F.col(RUN) == run_id).drop(RUN)
 
 
-def etl_job(raw: DataFrame, path: str, run_id: str, metrics: str | None = None) -> EtlReport:
+def etl_job(raw: DataFrame, path: str, run_id: str, metrics: str | None = None,
+            declared: T.StructType = FEATURE_ROW) -> EtlReport:
     """Clean a table and append it as one run; repeating the run replaces its rows.
 
+    What is written has the ``declared`` columns; anything else is an error before a row is
+    read.
+
     The counts come from the input and from the committed files, so that a task that
     had to run twice is not counted twice. The input is therefore read twice; stage it if
     it is no stored table and costly to compute. ``metrics`` is the table to report them to.
     """
     spark = raw.sparkSession
-    append_run(conforms(clean(raw), raw.schema), path, run_id)
+    append_run(conforms(clean(raw), declared), path, run_id)
     before, after = raw.count(), run_slice(spark, path, run_id).count()
     report = EtlReport(before, after, before - after)
     if metrics:
@@ -48,6 +55,13 @@ def etl_job(raw: DataFrame, path: str, run_id: str, metrics: str | None = None)
     return report
 
 
+def etl_to_table(raw: DataFrame, name: str, declared: T.StructType = FEATURE_ROW) -> None:
+    """Clean a table and append it to a catalog table, created if absent, whose key and
+    insert time are filled in."""
+    catalog.create_table(raw.sparkSession, name, TABLES[FEATURES_TABLE])
+    catalog.append_rows(conforms(clean(raw), declared), name)
+
+
 def publish_checked(df: DataFrame, path: str, run_id: str, names: Sequence[str],
                     fail_on_empty: bool = False) -> None:
     """Append a table only if its required columns hold no missing value.
@@ -57,13 +71,26 @@ def publish_checked(df: DataFrame, path: str, run_id: str, names: Sequence[str],
     append_run(require(df, null_check(df, names, fail_on_empty), "null check"), path, run_id)
 
 
+def published(df: DataFrame, path: str, run_id: str, names: Sequence[str]) -> tuple[bool, int]:
+    """Whether the check let the table through, and the rows that are there for the run."""
+    try:
+        publish_checked(df, path, run_id, names)
+    except CheckFailed as failure:
+        log.warning("nothing published: %s", failure)
+        return False, 0
+    return True, run_slice(df.sparkSession, path, run_id).count()
+
+
 def snapshot_job(spark: SparkSession, source: str, read: Callable[[], DataFrame],
                  cursors: str, folder: str, columns: Sequence[str],
-                 metrics: str | None = None) -> str | None:
+                 metrics: str | None = None, head_by: Sequence[str] = (),
+                 values_of: str | None = None) -> str | None:
     """If the source has more rows than its cursor, copy it whole; the path, else None.
 
     A source that cannot be counted is logged and left for the next poll. The cursor is
     committed after the copy, so that a failed copy is repeated, into the same path.
+    ``metrics`` gets counts, the source, the first rows by ``head_by`` and the distinct values
+    of a column.
     """
     try:
         table = read()
@@ -77,8 +104,12 @@ def snapshot_job(spark: SparkSession, source: str, read: Callable[[], DataFrame]
     write_snapshot(table.select(*columns), path)
     commit_cursor(spark, cursors, source, state["new_cursor"], state["run_key"], path)
     if metrics:
-        record_metrics(spark, metrics, state["run_key"], "snapshot",
-                       {"row_count": spark.read.parquet(path).count(), "num_cols": len(columns)})
+        copy = spark.read.parquet(path)
+        more = {"head": head_json(copy, head_by)} if head_by else {}
+        if values_of:
+            more["distinct_values"] = distinct_values(copy, values_of)
+        record_metrics(spark, metrics, state["run_key"], "snapshot", {
+            "row_count": copy.count(), "num_cols": len(columns), "source": source, **more})
     return path
 
 
@@ -89,12 +120,13 @@ def read_latest_snapshot(spark: SparkSession, source: str, cursors: str) -> Data
 
 def training_job(table: DataFrame, registry: str, trained_at: datetime, *,
                  contract: Contract = FEATURE_CONTRACT, target: str = TARGET,
-                 folder: str = MODEL_FOLDER, artifact: str | None = None,
-                 metrics: str | None = None) -> LinearModel:
+                 folder: str = MODEL_FOLDER, metrics: str | None = None,
+                 table_name: str | None = None) -> LinearModel:
     """Check the table, fit, and record the model. Nothing is fitted if a check fails.
 
-    ``artifact`` is a folder for the coefficients as a one-row table; without it only
-    the registry record is written. ``metrics`` is the table to report the fit to.
+    The model is written under ``folder``, to the path that the registry records;
+    ``LinearModel.load`` reads it. ``metrics`` is the table to report the fit to, and
+    ``table_name`` a registry in the catalog to insert the record into as well.
     """
     spark = table.sparkSession
     require_schema(table, contract)
@@ -103,13 +135,19 @@ def training_job(table: DataFrame, registry: str, trained_at: datetime, *,
     error = rmse(table, model, target).first()["rmse"]
     run_id = trained_at.strftime("%Y%m%d_%H%M%S")
     errors = spark.createDataFrame([(error,)], "rmse double")
-    append_run(registry_row(errors, model, folder, trained_at).coalesce(1), registry, run_id)
-    if artifact:
-        model.as_frame(spark).write.mode("overwrite").parquet(artifact)
+    record = registry_row(errors, model, folder, trained_at).first().asDict()
+    # The model first: a path in the registry leads somewhere.
+    model.save(spark, record["model_path"])
+    append_run(spark.createDataFrame([record], "model_path string, rmse double, features string")
+               .coalesce(1), registry, run_id)
+    if table_name:
+        catalog.create_table(spark, table_name, TABLES[REGISTRY_TABLE])
+        catalog.insert_row(spark, table_name, record)
     if metrics:
         terms = dict(zip(model.features, model.coefficients))
         record_metrics(spark, metrics, run_id, "fit", {
             "num_training_rows": model.rows, "num_cols": len(table.columns), "rmse": error,
             "intercept": model.intercept,
-            **{f"coefficient_{name}": value for name, value in terms.items()}})
+            **{f"coefficient_{name}": value for name, value in terms.items()},
+            "head": head_json(table, feature_columns(table))})
     return model

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.contracts import (ALPHA, BETAS, COPIED_ROWS, NULL_ROWS, PRICE_ROW, PRICES_TABLE,
-                                Column)
+from millrace.contracts import (ALPHA, BETAS, COPIED_ROWS, FEATURES_TABLE, NULL_ROWS, PRICE_ROW,
+                                PRICES_TABLE, REGISTRY_TABLE, TABLES, Column)
 from millrace.functions.messages import iso_utc, message_json
 from millrace.functions.numbers import time_order
 from millrace.operators import audit, capture, change, cleaning, parsing, profiling, quality
 from millrace.operators import regression, sampling
 from millrace.plans import jobs
-from millrace.session import use_utc, work_dir
+from millrace.session import work_dir
+from millrace.sinks import catalog
 from millrace.sinks.files import append_run, staged
 from millrace.sources.streams import parquet_stream
 from millrace.sources.synthetic import ROW_KEY, linear_rows, pollute
@@ -42,7 +43,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return scan_parquet(use_utc(spark), f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return scan_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- Inputs that several queries share, in Spark and in SQL --------------------------
@@ -87,6 +88,10 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spoiled.select("*", F.explode(F.sequence(F.lit(1), times))).drop("col")
 
 
+# What cleaning ``dirty`` has to return.
+DIRTY_ROW = T.StructType([T.StructField(name, T.DoubleType()) for name in ("x_1", "x_2", "x_3", "y")])
+
+
 def synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linear_rows(table(spark, sf_dir, "orders"), "o_orderkey")
 
@@ -113,10 +118,12 @@ SENT_SQL = """
                json_extract_string(props, '$.k') AS k
         FROM events)"""
 
-ACCEPTED_SQL = f"""
-    WITH {SENT_SQL}
+ACCEPTED_ROWS_SQL = """
     SELECT coin, usd, eur, ts AS event_timestamp FROM sent WHERE k NOT IN ('0', '1', '2')"""
 
+ACCEPTED_SQL = f"""
+    WITH {SENT_SQL} {ACCEPTED_ROWS_SQL}"""
+
 
 def uniform_sql(i: int) -> str:
     start = i * 8 + 1
@@ -145,9 +152,9 @@ def parse_events(spark, sf_dir):
 
 
 def event_stream(spark: SparkSession, sf_dir: str, max_bytes: int | None = None) -> DataFrame:
-    """The events as a stream; the glob also matches a folder under the same name."""
+    """The events as a stream; the pattern matches this name alone, be it a file or a folder."""
     schema = table(spark, sf_dir, "events").schema
-    return parquet_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet*", schema,
+    return parquet_stream(spark, f"{sf_dir.rstrip('/')}/event[s].parquet", schema,
                           max_bytes=max_bytes)
 
 
@@ -225,7 +232,7 @@ def scan_full(spark, sf_dir):
 
 @query("SELECT event_id, event_type, value, ts FROM events")
 def scan_projected(spark, sf_dir):
-    return scan_parquet(use_utc(spark), f"{sf_dir.rstrip('/')}/events.parquet",
+    return scan_parquet(spark, f"{sf_dir.rstrip('/')}/events.parquet",
                         ["event_id", "event_type", "value", "ts"])
 
 
@@ -236,18 +243,33 @@ def synth_linear(spark, sf_dir):
 
 # --- Cleaning ------------------------------------------------------------------------
 
+def draws_sql(rows: str, key: str, n: int) -> str:
+    """Tables ``chosen`` (draw, key): the formula of ``sample_rows`` over a table of keys."""
+    return f"""
+    side AS (SELECT count(*) AS total, (2 ** greatest(0, ceil(log2(sqrt(greatest(
+                 1.0, count(*) / {sampling.BUCKET_ROWS}.0))))))::BIGINT AS side FROM {rows}),
+    placed AS (SELECT {key} AS key, ('0x' || substr(md5('0:' || {key}), 1, 8))::BIGINT % (side * side)
+                   AS bucket FROM {rows}, side),
+    ends AS (SELECT bucket, count(*) AS n, sum(count(*)) OVER (ORDER BY bucket) AS until
+             FROM placed GROUP BY bucket),
+    draws AS (SELECT range AS draw, ('0x' || substr(md5('0:' || range || ':position'), 1, 15))::BIGINT
+                  % total AS position FROM range({n}), side),
+    chosen AS (
+        SELECT draw::INTEGER AS draw, arg_min(key, md5('0:' || draw || ':' || key)) AS {key}
+        FROM draws JOIN ends ON position >= until - n AND position < until JOIN placed USING (bucket)
+        GROUP BY draw)"""
+
+
 @query(f"""
     WITH {SYNTHETIC_SQL},
     extended AS (
         SELECT * FROM synthetic
         UNION ALL
         SELECT -1 - range, NULL, NULL, NULL, NULL, NULL FROM range({NULL_ROWS})),
-    drawn AS (
-        SELECT arg_min(row_key, md5('0:' || d.range || ':' || row_key)) AS row_key
-        FROM extended CROSS JOIN range({COPIED_ROWS}) AS d GROUP BY d.range)
+    {draws_sql('extended', 'row_key', COPIED_ROWS)}
     SELECT x_1, x_2, x_3, x_4, y FROM extended
     UNION ALL
-    SELECT x_1, x_2, x_3, x_4, y FROM drawn JOIN extended USING (row_key)""")
+    SELECT x_1, x_2, x_3, x_4, y FROM chosen JOIN extended USING (row_key)""")
 def pollute_union(spark, sf_dir):
     return pollute(synthetic(spark, sf_dir), ROW_KEY)
 
@@ -282,15 +304,16 @@ def append_clean(spark, sf_dir):
     return jobs.run_slice(spark, path, "first")
 
 
-@query("""
-    SELECT d.range::INTEGER AS draw, e.*
-    FROM (SELECT d.range, arg_min(event_id, md5('0:' || d.range || ':' || event_id)) AS event_id
-          FROM events CROSS JOIN range(3) AS d GROUP BY d.range) AS d
-    JOIN events AS e USING (event_id)""")
+@query(f"WITH {draws_sql('events', 'event_id', COPIED_ROWS)} SELECT * FROM chosen JOIN events USING (event_id)")
 def bootstrap_sample(spark, sf_dir):
     return sampling.sample_rows(table(spark, sf_dir, "events"), "event_id", COPIED_ROWS)
 
 
+@query(f"WITH {draws_sql('events', 'event_id', 1000)} SELECT * FROM chosen JOIN events USING (event_id)")
+def bootstrap_sample_many(spark, sf_dir):
+    return sampling.sample_rows(table(spark, sf_dir, "events"), "event_id", 1000)
+
+
 # --- Quality -------------------------------------------------------------------------
 
 @query(f"""
@@ -359,8 +382,8 @@ def null_check_lenient(spark, sf_dir):
     return _checks(spark, sf_dir, fail_on_empty=False)
 
 
-@query("""
-    SELECT c.*, n.total_rows, false AS passed, NULL::VARCHAR AS reason
+@query(f"""
+    SELECT 'broken' AS table_name, c.*, n.total_rows, false AS passed, NULL::VARCHAR AS reason
     FROM (VALUES ('l_orderkey', 'int', 'bigint', 'ok'), ('l_linenumber', 'float', 'int', 'wrong_type'),
                  ('l_quantity', 'float', 'double', 'ok'), ('l_returnflag', 'string', 'string', 'ok'),
                  ('l_comment', 'string', NULL, 'missing'), ('l_partkey', NULL, 'bigint', 'extra'),
@@ -369,12 +392,25 @@ def null_check_lenient(spark, sf_dir):
                  ('l_linestatus', NULL, 'string', 'extra'),
                  ('l_shipdate', NULL, 'timestamp_ntz', 'extra'))
          AS c (column_name, expected, observed, status),
-         (SELECT count(*) AS total_rows FROM lineitem) AS n""")
+         (SELECT count(*) AS total_rows FROM lineitem) AS n
+    UNION ALL
+    SELECT table_name, column_name, expected, observed, status, total_rows, total_rows > 0,
+           CASE WHEN total_rows = 0 THEN '{quality.EMPTY}' END
+    FROM (VALUES ('r_regionkey', 'int', 'int', 'ok'), ('r_name', 'string', 'string', 'ok'))
+             AS c (column_name, expected, observed, status),
+         (SELECT 'kept' AS table_name, count(*) AS total_rows FROM region
+          UNION ALL SELECT 'empty', count(*) FROM region WHERE r_name = '')""")
 def schema_contract(spark, sf_dir):
+    """A contract that is broken, one that is kept, and one kept by no row at all."""
     contract = {"l_orderkey": Column("int"), "l_linenumber": Column("float"),
                 "l_quantity": Column("float"), "l_returnflag": Column("string"),
                 "l_comment": Column("string")}
-    return quality.schema_report(table(spark, sf_dir, "lineitem"), contract)
+    region, two = table(spark, sf_dir, "region"), {"r_regionkey": Column("int"), "r_name": Column("string")}
+    reports = {"broken": quality.schema_report(table(spark, sf_dir, "lineitem"), contract),
+               "kept": quality.schema_report(region, two),
+               "empty": quality.schema_report(region.where("r_name = ''"), two)}
+    return reduce(DataFrame.unionByName, [report.select(F.lit(name).alias("table_name"), "*")
+                                          for name, report in reports.items()])
 
 
 @query(f"""
@@ -431,14 +467,14 @@ def run_metrics(spark, sf_dir):
 @query(f"""
     WITH {DIRTY_SQL},
     counts AS (SELECT (SELECT count(*) FROM dirty) AS b, (SELECT count(*) FROM clean) AS a)
-    SELECT 'first' AS run_id, 'clean' AS step, metric, value::DOUBLE AS value
+    SELECT 'first' AS run_id, 'clean' AS step, metric, value::DOUBLE AS value, NULL::VARCHAR AS text
     FROM counts, LATERAL (VALUES ('rows_before', b), ('rows_after_cleaning', a),
                                  ('dropped_rows', b - a), ('num_cols', 4)) AS v (metric, value)""")
 def job_metrics(spark, sf_dir):
     """What the cleaning job reports, recorded twice as by a retry."""
     path = work_dir(spark, "job")
     for _ in range(2):
-        jobs.etl_job(dirty(spark, sf_dir), f"{path}/features", "first", f"{path}/metrics")
+        jobs.etl_job(dirty(spark, sf_dir), f"{path}/features", "first", f"{path}/metrics", DIRTY_ROW)
     return spark.read.parquet(f"{path}/metrics")
 
 
@@ -512,8 +548,7 @@ def ols_fit_single(spark, sf_dir):
     return _rounded(model.terms(spark), 4, "coefficient")
 
 
-@query(f"""
-    WITH {DIRTY_SQL},
+THREE_SQL = """
     m AS (
         SELECT var_pop(x_1) AS a, covar_pop(x_1, x_2) AS b, covar_pop(x_1, x_3) AS c,
                var_pop(x_2) AS d, covar_pop(x_2, x_3) AS e, var_pop(x_3) AS f,
@@ -525,7 +560,11 @@ def ols_fit_single(spark, sf_dir):
         SELECT *, (p * (d * f - e * e) - b * (q * f - e * r) + c * (q * e - d * r)) / det AS b1,
                (a * (q * f - e * r) - p * (b * f - c * e) + c * (b * r - q * c)) / det AS b2,
                (a * (d * r - q * e) - b * (b * r - q * c) + p * (b * e - c * d)) / det AS b3
-        FROM det)
+        FROM det)"""
+
+
+@query(f"""
+    WITH {DIRTY_SQL}, {THREE_SQL}
     SELECT 'x_1' AS term, round(b1, 4) AS coefficient FROM s
     UNION ALL SELECT 'x_2', round(b2, 4) FROM s
     UNION ALL SELECT 'x_3', round(b3, 4) FROM s
@@ -535,6 +574,24 @@ def ols_fit_multi(spark, sf_dir):
     return _rounded(model.terms(spark), 4, "coefficient")
 
 
+# The features of ``wide``: those of ``features`` and how often each occurs.
+COPIES = {"x_1": 3, "x_2": 3, "x_3": 2}
+
+
+@query(f"""
+    WITH {DIRTY_SQL}, {THREE_SQL}
+    SELECT 'x_' || (i * 3 + v.f) AS term, round(share / copies, 4) AS coefficient
+    FROM s, LATERAL (VALUES (1, b1, {COPIES['x_1']}), (2, b2, {COPIES['x_2']}), (3, b3, {COPIES['x_3']}))
+            AS v (f, share, copies), range(3) AS r (i) WHERE i < copies
+    UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2 - b3 * m3, 4) FROM s""")
+def ols_fit_wide(spark, sf_dir):
+    """Eight features, copies of three: the least-norm solution shares a weight out evenly."""
+    rows = cleaning.clean(dirty(spark, sf_dir))
+    wide = rows.select(*[F.col(f"x_{f}").alias(f"x_{i * 3 + f}") for i in range(3) for f in (1, 2, 3)
+                         if i < COPIES[f"x_{f}"]], "y")
+    return _rounded(regression.fit_linear(wide).terms(spark), 4, "coefficient")
+
+
 @query(f"""
     WITH {FEATURES_SQL}, {SINGLE_SQL}
     SELECT x_1, y, round(slope * x_1 + intercept, 4) AS prediction FROM features, model""")
@@ -555,7 +612,7 @@ def ols_rmse(spark, sf_dir):
 
 @query(f"""
     WITH {FEATURES_SQL}, {SINGLE_SQL}
-    SELECT './saved_models/linear_model_20240201_093005.pkl' AS model_path,
+    SELECT './saved_models/linear_model_20240201_093005.parquet' AS model_path,
            round(sqrt(avg(pow(y - (slope * x_1 + intercept), 2))), 4) AS rmse,
            '["x_1"]' AS features
     FROM features, model""")
@@ -569,37 +626,146 @@ def registry_row(spark, sf_dir):
 
 @query(f"""
     WITH {SYNTHETIC_SQL}
-    SELECT term, coefficient, count(*) AS training_rows
+    SELECT term, coefficient, count(*) AS training_rows, 0::DOUBLE AS error
     FROM synthetic, (VALUES ('x_1', {BETAS[0]}::DOUBLE), ('x_2', {BETAS[1]}), ('x_3', {BETAS[2]}),
                             ('x_4', {BETAS[3]}), ('intercept', {ALPHA})) AS v (term, coefficient)
     GROUP BY term, coefficient""")
 def train_model(spark, sf_dir):
-    """Pollute, clean, append, check, fit and register; the known answer must come back."""
+    """Pollute, clean, append, check, fit and register; then read the model from the path
+    that the registry has, and predict with it. The known answer must come back."""
     path = work_dir(spark, "train")
     raw = staged(pollute(synthetic(spark, sf_dir), ROW_KEY), "raw")
     jobs.etl_job(raw, f"{path}/features", "first")
-    model = jobs.training_job(jobs.run_slice(spark, f"{path}/features", "first"),
-                              f"{path}/registry", datetime(2024, 2, 1, 9, 30, 5))
+    table = jobs.run_slice(spark, f"{path}/features", "first")
+    jobs.training_job(table, f"{path}/registry", datetime(2024, 2, 1, 9, 30, 5), folder=f"{path}/models")
+    record = jobs.run_slice(spark, f"{path}/registry", "20240201_093005").first()
+    model = regression.LinearModel.load(spark, record["model_path"])
+    error = regression.rmse(table, model).select(F.round("rmse", 6).alias("error"))
     return (_rounded(model.terms(spark), 6, "coefficient")
-            .withColumn("training_rows", F.lit(model.rows).cast("bigint")))
+            .withColumn("training_rows", F.lit(model.rows).cast("bigint"))
+            .withColumn("error", error.scalar()))
+
+
+def _stored(spark: SparkSession, name: str, fill: Callable[[str], None]) -> DataFrame:
+    """The rows of a catalog table that ``fill`` is given; the catalog forgets it again."""
+    path = work_dir(spark, name)
+    known = f"{name}_{path[-32:]}"
+    catalog.create_table(spark, known, TABLES[name], path)
+    try:
+        fill(known)
+    finally:
+        spark.sql("DROP TABLE IDENTIFIER(:name)", args={"name": known})
+    return spark.read.parquet(path)
+
+
+@query(f"""
+    WITH {SYNTHETIC_SQL},
+    twice AS (SELECT * FROM synthetic UNION ALL SELECT * FROM synthetic)
+    SELECT (row_number() OVER () - 1)::BIGINT AS id, true AS has_insert_time FROM twice""")
+def managed_append(spark, sf_dir):
+    """Two cleaned appends to the feature table: keys run on, and rows know when they came."""
+    rows = synthetic(spark, sf_dir).drop(ROW_KEY)
+
+    def fill(name: str) -> None:
+        for _ in range(2):
+            jobs.etl_to_table(rows, name)
+    return _stored(spark, FEATURES_TABLE, fill).select(
+        "id", F.col("inserted_at").isNotNull().alias("has_insert_time"))
+
+
+@query(f"""
+    WITH {FEATURES_SQL}, {SINGLE_SQL}
+    SELECT i.range::BIGINT AS id, './saved_models/linear_model_20240201_093005.parquet' AS model_path,
+           round(sqrt(avg(pow(y - (slope * x_1 + intercept), 2))), 4) AS rmse,
+           '["x_1"]' AS features, true AS has_insert_time
+    FROM features, model, range(2) AS i GROUP BY i.range""")
+def registry_insert(spark, sf_dir):
+    """The record of a fit, inserted twice into the registry table."""
+    rows = features(spark, sf_dir)
+    model = regression.fit_linear(rows, ["x_1"])
+    record = regression.registry_row(regression.rmse(rows, model), model, "./saved_models",
+                                     datetime(2024, 2, 1, 9, 30, 5)).first().asDict()
+
+    def fill(name: str) -> None:
+        for _ in range(2):
+            catalog.insert_row(spark, name, record)
+    stored = _stored(spark, REGISTRY_TABLE, fill)
+    return _rounded(stored.withColumn("has_insert_time", F.col("inserted_at").isNotNull())
+                    .drop("inserted_at"), 4, "rmse")
+
+
+@query(f"""
+    WITH {DIRTY_SQL},
+    n AS (SELECT (SELECT count(*) FROM features) AS clean)
+    SELECT 'clean' AS table_name, true AS passed, clean AS rows_published FROM n
+    UNION ALL SELECT 'dirty', false, 0 FROM n""")
+def blocked_publish(spark, sf_dir):
+    """A table is published if its check passes, and otherwise not a row of it."""
+    path, names = work_dir(spark, "published"), ["x_1", "x_2", "x_3", "y"]
+    frames = {"clean": features(spark, sf_dir), "dirty": dirty(spark, sf_dir)}
+    outcomes = [(name, *jobs.published(df, path, name, names)) for name, df in frames.items()]
+    return spark.createDataFrame(outcomes, "table_name string, passed boolean, rows_published bigint")
+
+
+@query(f"""
+    WITH {SENT_SQL}, accepted AS ({ACCEPTED_ROWS_SQL}),
+    head AS (SELECT * FROM accepted ORDER BY event_timestamp, coin, usd LIMIT 5)
+    SELECT 'row_count' AS metric, count(*)::DOUBLE AS value, NULL AS text FROM accepted
+    UNION ALL SELECT 'num_cols', 4, NULL
+    UNION ALL SELECT 'source', NULL, 'crypto_prices'
+    UNION ALL SELECT DISTINCT 'distinct_values', NULL::DOUBLE, coin FROM accepted
+    UNION ALL SELECT 'head', NULL, coin || ' ' || strftime(event_timestamp, '%Y-%m-%d %H:%M:%S.%f') FROM head""")
+def snapshot_metrics(spark, sf_dir):
+    """What a snapshot reports beside its rows: counts, source, coins and first rows."""
+    path = work_dir(spark, "snapshot")
+    rows = staged(parsing.accepted(parsing.sort_messages(messages(spark, sf_dir))), "accepted")
+    change.create_cursors(spark, f"{path}/cursors")
+    jobs.snapshot_job(spark, PRICES_TABLE, lambda: rows, f"{path}/cursors", f"{path}/copies",
+                      PRICE_ROW.names, f"{path}/metrics", ["event_timestamp", "coin", "usd"], "coin")
+    head = F.from_json("text", "coin string, event_timestamp string")
+    time = F.rpad(F.replace(head["event_timestamp"], F.lit("T"), F.lit(" ")), 26, "0")
+    shown = F.when(F.col("metric") == "head", F.concat_ws(" ", head["coin"], time)).otherwise(F.col("text"))
+    return spark.read.parquet(f"{path}/metrics").select("metric", "value", shown.alias("text"))
 
 
 # --- Change capture, staged validation and audits ------------------------------------
 
+def spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with NULL and NaN values and NULL types, as the number of an event decides."""
+    n = F.col("event_id")
+    value = (F.when(n % 17 == 0, float("nan")).when(n % 19 == 0, None).otherwise(F.col("value")))
+    kind = F.when(n % 23 != 0, F.col("event_type"))
+    return table(spark, sf_dir, "events").withColumns({"value": value, "event_type": kind})
+
+
+# ``v`` is the value where there is one: neither NULL nor NaN.
+SPOILED_SQL = """
+    spoiled AS (
+        SELECT event_id, ts, user_id, CASE WHEN event_id % 23 <> 0 THEN event_type END AS event_type,
+               CASE WHEN event_id % 17 = 0 THEN 'nan'::DOUBLE WHEN event_id % 19 <> 0 THEN value END AS value,
+               CASE WHEN event_id % 17 <> 0 AND event_id % 19 <> 0 THEN value END AS v
+        FROM events)"""
+
+
 def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    op = F.when(F.col("event_type") == "error", "D").when(F.col("event_type") == "signup", "I")
+    """Events as changes; some have no operation, an unknown one, or no key."""
+    kind, n = F.col("event_type"), F.col("event_id")
+    op = (F.when(n % 29 == 0, None).when(n % 31 == 0, "X").when(kind == "error", "D")
+          .when(kind == "signup", "I").otherwise("U"))
     return table(spark, sf_dir, "events").select(
-        F.col("user_id").alias("c_custkey"), F.col("value").alias("c_acctbal"), "ts", "event_id",
-        op.otherwise("U").alias("op"))
+        F.when(n % 37 != 0, F.col("user_id")).alias("c_custkey"), F.col("value").alias("c_acctbal"),
+        "ts", "event_id", op.alias("op"))
 
 
 CHANGES_SQL = """
     changes AS (
-        SELECT user_id AS c_custkey, value AS c_acctbal, ts, event_id,
-               CASE event_type WHEN 'error' THEN 'D' WHEN 'signup' THEN 'I' ELSE 'U' END AS op
+        SELECT CASE WHEN event_id % 37 <> 0 THEN user_id END AS c_custkey, value AS c_acctbal, ts, event_id,
+               CASE WHEN event_id % 29 = 0 THEN NULL WHEN event_id % 31 = 0 THEN 'X'
+                    WHEN event_type = 'error' THEN 'D' WHEN event_type = 'signup' THEN 'I'
+                    ELSE 'U' END AS op
         FROM events),
     latest AS (
-        SELECT * FROM changes
+        SELECT * FROM changes WHERE op IN ('I', 'U', 'D') AND c_custkey IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY ts DESC, event_id DESC) = 1)"""
 
 
@@ -610,12 +776,21 @@ def cdc_latest(spark, sf_dir):
 
 @query(f"""
     WITH {CHANGES_SQL}
+    SELECT * FROM changes WHERE op IS NULL OR op = 'X' OR c_custkey IS NULL""")
+def cdc_invalid(spark, sf_dir):
+    return capture.invalid_changes(_changes(spark, sf_dir), "c_custkey")
+
+
+@query(f"""
+    WITH {CHANGES_SQL},
+    base AS (SELECT CASE WHEN c_custkey % 41 <> 0 THEN c_custkey END AS c_custkey, c_acctbal FROM customer)
     SELECT c_custkey, c_acctbal FROM latest WHERE op <> 'D'
     UNION ALL
-    SELECT c_custkey, c_acctbal FROM customer
-    WHERE c_custkey NOT IN (SELECT c_custkey FROM latest)""")
+    SELECT c_custkey, c_acctbal FROM base
+    WHERE c_custkey IS NULL OR c_custkey NOT IN (SELECT c_custkey FROM latest)""")
 def cdc_apply(spark, sf_dir):
-    base = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    key = F.when(F.col("c_custkey") % 41 != 0, F.col("c_custkey")).alias("c_custkey")
+    base = table(spark, sf_dir, "customer").select(key, "c_acctbal")
     return capture.apply_changes(base, _changes(spark, sf_dir), "c_custkey", ["ts", "event_id"])
 
 
@@ -656,89 +831,95 @@ def reconcile_counts(spark, sf_dir):
     return audit.reconcile_counts(raw, clean, ["coin", "day"])
 
 
-@query("""
-    WITH stats AS (
-        SELECT CAST(ts AS DATE) AS period, event_type, count(*) AS n_rows, avg(value) AS mean,
-               stddev_samp(value) AS spread
-        FROM events GROUP BY ALL),
+@query(f"""
+    WITH {SPOILED_SQL},
+    stats AS (
+        SELECT CAST(ts AS DATE) AS period, event_type, count(*) AS n_rows, avg(v) AS mean,
+               stddev_samp(v) AS spread
+        FROM spoiled GROUP BY ALL),
     base AS (
         SELECT event_type, mean AS ref_mean, spread AS ref_spread FROM stats
         QUALIFY period = min(period) OVER (PARTITION BY event_type))
-    SELECT period, event_type, n_rows, round(mean, 9) AS mean, round(spread, 9) AS spread,
+    SELECT period, stats.event_type, n_rows, round(mean, 9) AS mean, round(spread, 9) AS spread,
            round(ref_mean, 9) AS ref_mean, round(ref_spread, 9) AS ref_spread,
            round((mean - ref_mean) / nullif(ref_spread, 0), 9) AS shift
-    FROM stats LEFT JOIN base USING (event_type)""")
+    FROM stats LEFT JOIN base ON stats.event_type IS NOT DISTINCT FROM base.event_type""")
 def drift_stats(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    stats = audit.drift_stats(events, F.to_date("ts"), "event_type", "value")
+    stats = audit.drift_stats(spoiled(spark, sf_dir), F.to_date("ts"), "event_type", "value")
     return _rounded(stats, 9, "mean", "spread", "ref_mean", "ref_spread", "shift")
 
 
-@query("""
-    WITH bins AS (
-        SELECT CAST(ts AS DATE) AS period, event_type, count(value) AS n_rows,
-               count(*) FILTER (WHERE value < 10) AS b0,
-               count(*) FILTER (WHERE value >= 10 AND value < 25) AS b1,
-               count(*) FILTER (WHERE value >= 25 AND value < 50) AS b2,
-               count(*) FILTER (WHERE value >= 50 AND value < 100) AS b3,
-               count(*) FILTER (WHERE value >= 100) AS b4
-        FROM events GROUP BY ALL),
+@query(f"""
+    WITH {SPOILED_SQL},
+    bins AS (
+        SELECT CAST(ts AS DATE) AS period, event_type, count(v) AS n_rows,
+               count(*) FILTER (WHERE v < 10) AS b0,
+               count(*) FILTER (WHERE v >= 10 AND v < 25) AS b1,
+               count(*) FILTER (WHERE v >= 25 AND v < 50) AS b2,
+               count(*) FILTER (WHERE v >= 50 AND v < 100) AS b3,
+               count(*) FILTER (WHERE v >= 100) AS b4
+        FROM spoiled GROUP BY ALL),
     long AS (
         UNPIVOT (SELECT period, event_type, n_rows,
-                        greatest(b0 / n_rows, 1e-4) AS b0, greatest(b1 / n_rows, 1e-4) AS b1,
-                        greatest(b2 / n_rows, 1e-4) AS b2, greatest(b3 / n_rows, 1e-4) AS b3,
-                        greatest(b4 / n_rows, 1e-4) AS b4 FROM bins)
+                        greatest(coalesce(b0 / nullif(n_rows, 0), 0), 1e-4) AS b0,
+                        greatest(coalesce(b1 / nullif(n_rows, 0), 0), 1e-4) AS b1,
+                        greatest(coalesce(b2 / nullif(n_rows, 0), 0), 1e-4) AS b2,
+                        greatest(coalesce(b3 / nullif(n_rows, 0), 0), 1e-4) AS b3,
+                        greatest(coalesce(b4 / nullif(n_rows, 0), 0), 1e-4) AS b4 FROM bins)
         ON b0, b1, b2, b3, b4 INTO NAME bin VALUE share),
     base AS (
         SELECT event_type, bin, share AS ref FROM long
         QUALIFY period = min(period) OVER (PARTITION BY event_type))
-    SELECT period, event_type, n_rows, round(sum((share - ref) * ln(share / ref)), 4) AS psi
-    FROM long LEFT JOIN base USING (event_type, bin) GROUP BY period, event_type, n_rows""")
+    SELECT period, long.event_type, n_rows, round(sum((share - ref) * ln(share / ref)), 4) AS psi
+    FROM long LEFT JOIN base ON long.event_type IS NOT DISTINCT FROM base.event_type
+                            AND long.bin = base.bin
+    GROUP BY period, long.event_type, n_rows""")
 def drift_stability(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    psi = audit.population_stability(events, F.to_date("ts"), "event_type", "value",
+    psi = audit.population_stability(spoiled(spark, sf_dir), F.to_date("ts"), "event_type", "value",
                                      [10.0, 25.0, 50.0, 100.0])
     return _rounded(psi, 4, "psi")
 
 
-@query("""
-    WITH scored AS (
+@query(f"""
+    WITH {SPOILED_SQL},
+    scored AS (
         SELECT event_id, event_type, value,
-               (value - avg(value) OVER w) / nullif(stddev_samp(value) OVER w, 0) AS z
-        FROM events WINDOW w AS (PARTITION BY event_type))
+               (v - avg(v) OVER w) / nullif(stddev_samp(v) OVER w, 0) AS z
+        FROM spoiled WINDOW w AS (PARTITION BY event_type))
     SELECT event_id, event_type, value, round(z, 4) AS z_score,
            coalesce(abs(z) > 3, false) AS is_anomaly
     FROM scored""")
 def anomaly_flags(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    events = spoiled(spark, sf_dir).select("event_id", "event_type", "value")
     return _rounded(audit.anomaly_flags(events, "event_type", "value"), 4, "z_score")
 
 
-BARS_SQL = """
-    SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_rows,
-           arg_min(value, (ts, event_id)) AS first_value,
-           arg_max(value, (ts, event_id)) AS last_value,
-           min(value) AS low_value, max(value) AS high_value
-    FROM events GROUP BY ALL"""
+BARS_SQL = f"""
+    WITH {SPOILED_SQL},
+    bars AS (
+        SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_rows,
+               arg_min(v, (ts, event_id)) FILTER (WHERE v IS NOT NULL) AS first_value,
+               arg_max(v, (ts, event_id)) FILTER (WHERE v IS NOT NULL) AS last_value,
+               min(v) AS low_value, max(v) AS high_value
+        FROM spoiled GROUP BY ALL)
+    SELECT * FROM bars"""
 
 
 @query(BARS_SQL)
 def hourly_snapshot(spark, sf_dir):
-    return rollup.hourly_bars(table(spark, sf_dir, "events"), "ts", "event_type", "value",
+    return rollup.hourly_bars(spoiled(spark, sf_dir), "ts", "event_type", "value",
                               time_order(F.col("ts"), F.col("event_id")))
 
 
-@query(f"""
-    SELECT * FROM ({BARS_SQL})
-    WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)""")
+@query(f"{BARS_SQL} WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM spoiled)")
 def hourly_snapshot_stream(spark, sf_dir):
-    """On a stream, the bars that the watermark has closed.
-
-    The files come in no order of time, so they are one batch: with several, rows behind
-    the watermark of an earlier batch would be dropped.
-    """
-    bars = rollup.hourly_bars(event_stream(spark, sf_dir), "ts", "event_type", "value",
-                              time_order(F.col("ts"), F.col("event_id")), late="2 hours")
+    """By a stream, a file to a batch, rows in no order of time; the bars that are closed."""
     path = work_dir(spark, "bars")
-    start_append(bars, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{path}/rows")
+    spoiled(spark, sf_dir).repartition(6).write.parquet(f"{path}/in")
+    stored = spark.read.parquet(f"{path}/in")
+    stream = parquet_stream(spark, f"{path}/in", stored.schema, max_files=1)
+    rollup.start_bars(stream, f"{path}/rows", f"{path}/checkpoint", "ts", "event_type", "value",
+                      time_order(F.col("ts"), F.col("event_id"))).awaitTermination()
+    last = F.lit(stored.agg(F.max("ts")).first()[0]).cast("timestamp_ntz")
+    return rollup.closed_bars(rollup.read_bars(spark, f"{path}/rows", "event_type"), last,
+                              timedelta(hours=2))

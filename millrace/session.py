@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,12 +34,6 @@ def build_session(app_name: str = "millrace", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Zone-less timestamps are stored in UTC, so casts must happen in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -48,7 +43,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="millrace-"))
     return spark.sparkContext.getCheckpointDir()

@@ -48,14 +48,21 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def record_metrics(spark: SparkSession, path: str, run_id: str, step: str,
-                   metrics: Mapping[str, float]) -> None:
-    """What a step of a run has to report, beside the data: one row per figure.
+                   metrics: Mapping[str, float | str | DataFrame]) -> None:
+    """What a step of a run has to report, beside the data: one row per figure or text.
 
-    Recording a step again, as a retry does, replaces its figures.
+    A list, such as the distinct values of a column or the first rows of a table, is a frame
+    of one text column and becomes a row for each of its texts, without passing through the
+    driver. Recording a step again, as a retry does, replaces what it reported.
     """
-    figures = spark.createDataFrame([(name, float(value)) for name, value in metrics.items()],
-                                    "metric string, value double")
-    replace_slice(figures.coalesce(1), path, {RUN: run_id, "step": step})
+    single = [(name, None, value) if isinstance(value, str) else (name, float(value), None)
+              for name, value in metrics.items() if not isinstance(value, DataFrame)]
+    rows = spark.createDataFrame(single, "metric string, value double, text string").coalesce(1)
+    for name, texts in metrics.items():
+        if isinstance(texts, DataFrame):
+            rows = rows.union(texts.select(F.lit(name), F.lit(None).cast("double"),
+                                           F.col(texts.columns[0]).cast("string")))
+    replace_slice(rows, path, {RUN: run_id, "step": step})
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:

@@ -1,33 +1,90 @@
-"""Hourly price bars, over a table or over a stream with a watermark."""
+"""Hourly price bars, over a table, or kept up by a stream in any number of batches."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Callable
+from datetime import timedelta
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
-def bar_columns(value: str, order: Column) -> list[Column]:
-    return [
-        F.count("*").alias("n_rows"),
-        F.min_by(value, order).alias("first_value"),
-        F.max_by(value, order).alias("last_value"),
-        F.min(value).alias("low_value"),
-        F.max(value).alias("high_value"),
-    ]
+from millrace.functions.messages import utc
+from millrace.functions.missing import column, present
+from millrace.sinks.files import create_empty, replace_slice
+
+STREAM, BATCH = "stream_id", "batch_id"
+START = "window_start"
+BAR = ["n_rows", "first_value", "last_value", "low_value", "high_value"]
+
+
+def _partial(df: DataFrame, time: str, key: str, value: str, order: Column, width: str) -> DataFrame:
+    """Bars with the orders of their first and last value, so that bars can be merged."""
+    at = column(time)
+    if isinstance(df.schema[time].dataType, T.TimestampType):
+        at = utc(at)
+    v = present(df, value)
+    # A missing value is a row of the bar, but neither its first nor its last value.
+    placed = F.when(v.isNotNull(), order)
+    bars = df.groupBy(F.window(at, width).alias("w"), column(key)).agg(
+        F.count("*").alias("n_rows"), F.min_by(v, placed).alias("first_value"),
+        F.max_by(v, placed).alias("last_value"), F.min(v).alias("low_value"),
+        F.max(v).alias("high_value"), F.min(placed).alias("first_at"), F.max(placed).alias("last_at"))
+    return bars.select(F.col("w.start").alias(START), column(key), *BAR, "first_at", "last_at")
 
 
 def hourly_bars(df: DataFrame, time: str, key: str, value: str, order: Column,
-                late: str | None = None, width: str = "1 hour") -> DataFrame:
+                width: str = "1 hour") -> DataFrame:
     """Per key and time window: row count, first, last, least and greatest value.
 
     ``order`` decides which row is first and last. All of it is partial aggregation, so a
     key that holds most rows costs one row per task and window in the shuffle. One number,
-    such as ``time_order``, aggregates by hash; a struct would be sorted. On a stream
-    ``late`` is the watermark: a bar is final and leaves the state once that much later
-    data has been seen.
+    such as ``time_order``, aggregates by hash; a struct would be sorted. Windows are those
+    of UTC. NULL and NaN values count as rows and in nothing else; NULL keys are a group,
+    and rows without a time are in no window.
     """
-    if late is not None:
-        # Watermarks want an instant; in a UTC session it reads the same.
-        df = df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
-    bars = df.groupBy(F.window(time, width).alias("w"), key).agg(*bar_columns(value, order))
-    return bars.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), key,
-                       "n_rows", "first_value", "last_value", "low_value", "high_value")
+    return _partial(df, time, key, value, order, width).drop("first_at", "last_at")
+
+
+def bar_writer(path: str, time: str, key: str, value: str, order: Column,
+               width: str = "1 hour") -> Callable[[DataFrame, int], None]:
+    """Callback that aggregates a micro-batch and writes its bars as the slice of the batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stream_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if stream_id is None:
+            raise RuntimeError("the batch does not belong to a running stream")
+        replace_slice(_partial(batch, time, key, value, order, width), path,
+                      {STREAM: stream_id, BATCH: batch_id})
+    return write
+
+
+def start_bars(rows: DataFrame, path: str, checkpoint: str, time: str, key: str, value: str,
+               order: Column, width: str = "1 hour", interval: str | None = None) -> StreamingQuery:
+    """Bars of a stream, in the table at ``path``.
+
+    Each micro-batch adds the bars of its own rows, and ``read_bars`` merges them. So the
+    result does not depend on how a backlog is cut into batches or in what order its rows
+    come, no row is dropped as late, and the stream keeps no state.
+    """
+    sample = _partial(rows.sparkSession.createDataFrame([], rows.schema), time, key, value, order, width)
+    create_empty(rows.sparkSession, path, T.StructType([
+        *sample.schema.fields, T.StructField(STREAM, T.StringType()), T.StructField(BATCH, T.LongType())]),
+        [STREAM, BATCH])
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return (rows.writeStream.foreachBatch(bar_writer(path, time, key, value, order, width))
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+
+
+def read_bars(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The bars of all rows so far: one aggregation over the few rows that batches left."""
+    return (spark.read.parquet(path).groupBy(START, column(key))
+            .agg(F.sum("n_rows").alias("n_rows"),
+                 F.min_by("first_value", "first_at").alias("first_value"),
+                 F.max_by("last_value", "last_at").alias("last_value"),
+                 F.min("low_value").alias("low_value"), F.max("high_value").alias("high_value")))
+
+
+def closed_bars(bars: DataFrame, last_time: Column, late: timedelta,
+                width: timedelta = timedelta(hours=1)) -> DataFrame:
+    """The bars that end at least ``late`` before the last time seen, which a row may still
+    change if it comes later than that."""
+    return bars.where(F.col(START) + F.lit(width) <= last_time - F.lit(late))

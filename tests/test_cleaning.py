@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from millrace.contracts import ALPHA, BETAS
 from millrace.operators import cleaning
-from millrace.operators.sampling import ONE_PASS_DRAWS, sample_rows
+from millrace.operators.sampling import BUCKET_ROWS, sample_rows, side_of
 from millrace.sources.synthetic import ROW_KEY, generate_linear, pollute
 
 NAN = float("nan")
@@ -80,7 +80,7 @@ def test_more_features_than_one_digest_holds(spark):
     assert len(set(df.first()[1:7])) == 6
 
 
-@pytest.mark.parametrize("n", [1, ONE_PASS_DRAWS, ONE_PASS_DRAWS + 1, 100])
+@pytest.mark.parametrize("n", [1, 4, 5, 100])
 def test_sample_has_exactly_n_rows_and_is_reproducible(spark, n):
     df = spark.range(1000).withColumn("v", F.col("id") * 2)
     one = rows(sample_rows(df, "id", n, seed=3))
@@ -108,5 +108,20 @@ def test_large_sample_is_even(spark):
 
 def test_small_sample_is_even(spark):
     drawn = [row["id"] for seed in range(40) for row in
-             sample_rows(spark.range(4), "id", ONE_PASS_DRAWS, seed).collect()]
+             sample_rows(spark.range(4), "id", 4, seed).collect()]
     assert all(20 <= drawn.count(i) <= 62 for i in range(4))
+
+
+def test_a_smaller_sample_is_the_start_of_a_larger_one(spark):
+    df = spark.range(5000)
+    assert rows(sample_rows(df, "id", 4)) == rows(sample_rows(df, "id", 300).where("draw < 4"))
+
+
+def test_rows_without_a_key_are_refused(spark):
+    df = spark.createDataFrame([(1,), (None,), (3,)], "id int")
+    with pytest.raises(ValueError, match="1 rows have no id"):
+        sample_rows(df, "id", 2)
+
+
+def test_buckets_grow_with_the_table():
+    assert [side_of(n) for n in (0, 1, BUCKET_ROWS, BUCKET_ROWS * 4, BUCKET_ROWS * 5)] == [1, 1, 1, 2, 4]

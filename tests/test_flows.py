@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from millrace.contracts import BETAS, feature_names
-from millrace.operators import audit, capture, change, profiling, quality
+from millrace.operators import audit, capture, change, profiling, quality, regression
 from millrace.plans import jobs
 from millrace.sources.synthetic import ROW_KEY, generate_linear, pollute
 
@@ -31,19 +31,23 @@ def test_clean_and_append(spark, raw, folder):
 def test_steps_report_their_figures(spark, raw, folder):
     def recorded(run_id):
         table = spark.read.parquet(f"{folder}/metrics").where(F.col("run_id") == run_id)
-        return {(r["step"], r["metric"]): r["value"] for r in table.collect()}
+        return {(r["step"], r["metric"]): r["value"] for r in table.where("text IS NULL").collect()}
 
     jobs.etl_job(raw, f"{folder}/t", "r", f"{folder}/metrics")
     assert recorded("r") == {("clean", "rows_before"): 108, ("clean", "rows_after_cleaning"): 100,
                              ("clean", "dropped_rows"): 8, ("clean", "num_cols"): 5}
     jobs.training_job(jobs.run_slice(spark, f"{folder}/t", "r"), f"{folder}/registry", AT,
-                      metrics=f"{folder}/metrics")
+                      metrics=f"{folder}/metrics", folder=f"{folder}/models")
     fit = recorded("20260102_030405")
     assert fit["fit", "num_training_rows"] == 100 and fit["fit", "rmse"] < 1e-9
     assert round(fit["fit", "coefficient_x_3"], 6) == 1000 and round(fit["fit", "intercept"], 6) == 2.2
     change.create_cursors(spark, f"{folder}/cursors")
     jobs.snapshot_job(spark, "t", lambda: spark.range(5), f"{folder}/cursors", f"{folder}/s", ["id"],
-                      f"{folder}/metrics")
+                      f"{folder}/metrics", ["id"], "id")
+    texts = spark.read.parquet(f"{folder}/metrics").where("run_id = 't_ingest_5' AND text IS NOT NULL")
+    assert rows(texts.select("metric", "text")) == sorted(
+        [("source", "t")] + [("head", '{"id":%d}' % k) for k in range(5)]
+        + [("distinct_values", str(k)) for k in range(5)], key=repr)
     assert recorded("t_ingest_5") == {("snapshot", "row_count"): 5, ("snapshot", "num_cols"): 1}
 
 
@@ -60,12 +64,18 @@ def test_uncleaned_data_is_not_published(spark, raw, folder):
 def test_train_and_register(spark, raw, folder):
     jobs.etl_job(raw, f"{folder}/t", "r")
     table = jobs.run_slice(spark, f"{folder}/t", "r")
-    model = jobs.training_job(table, f"{folder}/registry", AT, artifact=f"{folder}/model")
+    model = jobs.training_job(table, f"{folder}/registry", AT, folder=f"{folder}/models")
     assert [round(c, 6) for c in model.coefficients] == list(BETAS)
     record = spark.read.parquet(f"{folder}/registry").first()
-    assert record["model_path"] == "./saved_models/linear_model_20260102_030405.pkl"
+    assert record["model_path"] == f"{folder}/models/linear_model_20260102_030405.parquet"
+    assert regression.LinearModel.load(spark, record["model_path"]) == model
     assert record["rmse"] < 1e-9 and record["features"] == '["x_1","x_2","x_3","x_4"]'
-    assert spark.read.parquet(f"{folder}/model").first()["rows"] == 100
+    assert model.rows == 100
+
+
+def test_only_the_declared_columns_are_written(spark, raw, folder):
+    with pytest.raises(quality.ContractBroken):
+        jobs.etl_job(raw.withColumn("more", F.lit(1)), folder, "r")
 
 
 @pytest.mark.parametrize("spoil", [
@@ -144,6 +154,28 @@ def test_latest_changes(spark):
     assert rows(capture.latest_changes(changes, "key", ["seq"])) == [(1, "b", 3, "U"), (3, "f", 2, "I")]
 
 
+def test_invalid_changes_change_nothing(spark):
+    base = spark.createDataFrame([(1, "old"), (None, "none"), (3, "old")], "key int, value string")
+    changes = spark.createDataFrame(
+        [(1, "x", 1, None), (None, "new", 1, "U"), (3, "y", 1, "Z"), (3, "z", 0, "U")], CHANGES)
+    assert rows(capture.apply_changes(base, changes, "key", ["seq"])) == [
+        (1, "old"), (3, "z"), (None, "none")]
+    assert rows(capture.latest_changes(changes, "key", ["seq"])) == [(3, "z", 0, "U")]
+    assert capture.invalid_changes(changes, "key").count() == 3
+
+
+def test_one_nan_spoils_no_statistics(spark):
+    values = [("a", 1.0 + i % 2) for i in range(20)] + [("a", float("nan")), ("a", None)]
+    values += [(None, 1.0 + i % 2) for i in range(30)] + [(None, 1000.0)]
+    df = spark.createDataFrame([(1, *v) for v in values], "p int, k string, v double")
+    flagged = audit.anomaly_flags(df, "k", "v").where("is_anomaly")
+    assert [tuple(r) for r in flagged.select("k", "v").collect()] == [(None, 1000.0)]
+    stats = {r["k"]: r for r in audit.drift_stats(df, F.col("p"), "k", "v").collect()}
+    assert (stats["a"]["n_rows"], stats["a"]["mean"]) == (22, 1.5)
+    psi = {r["k"]: r for r in audit.population_stability(df, F.col("p"), "k", "v", [1.5]).collect()}
+    assert psi["a"]["n_rows"] == 20 and psi["a"]["psi"] == 0
+
+
 def test_apply_changes(spark):
     base = spark.createDataFrame([(1, "old"), (2, "old"), (3, "old")], "key int, value string")
     changes = spark.createDataFrame(

@@ -97,3 +97,21 @@ def test_round_trip(spark):
 def test_unreadable_time_is_null(spark):
     df = spark.createDataFrame([("x",), ("",), (None,)], "t string")
     assert rows(df.select(parse_time(F.col("t")))) == [(None,)] * 3
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_times_mean_the_same_in_any_session_zone(spark, zone):
+    texts = ["2026-01-01T00:00:00+00:00", "2026-01-01T02:00:00.5+02:00", "2026-07-01 00:00:00Z",
+             "12:00:00", "T07:30", "2026-01-01", "2026-01-01T00:00:00", "2026-02-30T00:00:00Z"]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        time = parse_time(F.col("t"))
+        got = [tuple(r) for r in df.select(time, iso_utc(time)).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got[:3] == [(dt.datetime(2026, 1, 1), "2026-01-01T00:00:00.000000+00:00"),
+                       (dt.datetime(2026, 1, 1, 0, 0, 0, 500_000), "2026-01-01T00:00:00.500000+00:00"),
+                       (dt.datetime(2026, 7, 1), "2026-07-01T00:00:00.000000+00:00")]
+    assert got[3:] == [(None, None)] * 5

@@ -50,8 +50,9 @@ def test_collinear_features_get_the_shortest_solution(spark):
     assert regression.rmse(frame(spark, x, y), model).first()["rmse"] < 1e-8
 
 
-def test_many_features_go_through_spark_ml(spark):
-    betas = [float(i) for i in range(1, regression.MAX_MOMENT_FEATURES + 3)]
+@pytest.mark.parametrize("n", [2, 8, 20])
+def test_any_number_of_features(spark, n):
+    betas = [float(i) for i in range(1, n + 1)]
     df = generate_linear(spark, 300, betas, alpha=4.0)
     model = regression.fit_linear(df)
     assert len(model.features) == len(betas)
@@ -59,9 +60,20 @@ def test_many_features_go_through_spark_ml(spark):
     assert abs(model.intercept - 4.0) < 1e-6
 
 
-@pytest.mark.parametrize("limit", [0, regression.MAX_MOMENT_FEATURES])
-def test_both_ways_refuse_missing_values_and_empty_tables(spark, monkeypatch, limit):
-    monkeypatch.setattr(regression, "MAX_MOMENT_FEATURES", limit)
+@pytest.mark.parametrize("copies", [2, 5, 6, 9])
+def test_copies_share_a_weight_whatever_their_number(spark, copies):
+    rng = np.random.default_rng(6)
+    a = rng.normal(size=300)
+    model = regression.fit_linear(frame(spark, np.column_stack([a] * copies), 6 * a + 1))
+    assert np.allclose(model.coefficients, 6 / copies, atol=1e-9) and abs(model.intercept - 1) < 1e-9
+
+
+def test_one_row(spark):
+    model = regression.fit_linear(spark.createDataFrame([(3.0, 5.0)], "x_1 double, y double"))
+    assert model.coefficients == (0.0,) and model.intercept == 5.0
+
+
+def test_missing_values_and_empty_tables_are_refused(spark):
     df = spark.createDataFrame([(1.0, 1.0), (float("nan"), 2.0), (None, 3.0)], "x_1 double, y double")
     with pytest.raises(ValueError, match="2 rows"):
         regression.fit_linear(df)
@@ -89,4 +101,4 @@ def test_registry_row(spark, zone):
     model = regression.LinearModel(("x_1", "x_2"), (2.0, 3.0), 1.0, 3)
     errors = spark.range(1).select(F.lit(0.5).alias("rmse"))
     row = regression.registry_row(errors, model, "./m/", dt.datetime(2026, 1, 2, 3, 4, 5, 6, zone))
-    assert tuple(row.first()) == ("./m/linear_model_20260102_030405.pkl", 0.5, '["x_1","x_2"]')
+    assert tuple(row.first()) == ("./m/linear_model_20260102_030405.parquet", 0.5, '["x_1","x_2"]')

@@ -164,25 +164,32 @@ def test_kafka_options():
     assert (more["maxOffsetsPerTrigger"], more["minPartitions"], more["x"]) == ("10", "4", "y")
 
 
-def test_streamed_bars_close_at_the_watermark(spark, folder):
-    schema = "ts timestamp_ntz, id bigint, key string, value double"
-
-    def add(*events):
-        data = [(dt.datetime(2026, 1, 1, hour, minute), i, "a", value)
-                for hour, minute, i, value in events]
-        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-
-    def run():
-        source = parquet_stream(spark, f"{folder}/in", spark.createDataFrame([], schema).schema)
-        bars = rollup.hourly_bars(source, "ts", "key", "value", F.col("id"), late="1 hour")
-        start_append(bars, f"{folder}/out", f"{folder}/c").awaitTermination()
-        return rows(spark.read.parquet(f"{folder}/out"))
-
-    first = (dt.datetime(2026, 1, 1, 0), "a", 2, 5.0, 7.0, 5.0, 7.0)
-    add((0, 10, 1, 5.0), (0, 50, 2, 7.0), (1, 30, 3, 1.0))
-    assert run() == []  # one hour after the first bar has not been seen yet
-    add((2, 0, 4, 2.0))
-    assert run() == [first]
-    add((0, 55, 5, 9.0), (4, 0, 6, 3.0))  # the first one is too late for its bar
-    assert run() == [first, (dt.datetime(2026, 1, 1, 1), "a", 1, 1.0, 1.0, 1.0, 1.0),
-                     (dt.datetime(2026, 1, 1, 2), "a", 1, 2.0, 2.0, 2.0, 2.0)]
+@pytest.mark.parametrize("files", [1, 4, 16])
+def test_streamed_bars_do_not_depend_on_batches(spark, folder, files):
+    """Rows in no order of time, some very late, some without a value or a key."""
+    data = [(dt.datetime(2026, 1, 1, (i * 7) % 24, i % 60), i, "ab"[i % 2] if i % 11 else None,
+             None if i % 13 == 0 else float("nan") if i % 17 == 0 else float(i * 37 % 101))
+            for i in range(200)]
+    table = spark.createDataFrame(data, "ts timestamp_ntz, id bigint, key string, value double")
+    table.repartition(files).write.parquet(f"{folder}/in")
+    source = parquet_stream(spark, f"{folder}/in", table.schema, max_files=1)
+    for _ in range(2):  # started again, it finds nothing new
+        rollup.start_bars(source, f"{folder}/out", f"{folder}/c", "ts", "key", "value",
+                          F.col("id")).awaitTermination()
+    bars = rollup.read_bars(spark, f"{folder}/out", "key")
+    assert rows(bars) == rows(rollup.hourly_bars(table, "ts", "key", "value", F.col("id")))
+    closed = rollup.closed_bars(bars, F.lit(dt.datetime(2026, 1, 1, 23, 59)).cast("timestamp_ntz"),
+                                dt.timedelta(hours=2))
+    assert {row["window_start"].hour for row in closed.collect()} == set(range(21))
+
+
+def test_bars_are_of_utc_in_any_session_zone(spark):
+    table = spark.createDataFrame([(1, 5.0)], "id bigint, value double").select(
+        "*", F.lit("k").alias("key"), F.timestamp_seconds(F.lit(1_767_225_600)).alias("ts"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        bar = rollup.hourly_bars(table, "ts", "key", "value", F.col("id")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert bar["window_start"] == AT
