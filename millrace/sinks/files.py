@@ -13,18 +13,16 @@ RUN = "run_id"
 RUN_NAME = re.compile(r"[A-Za-z0-9._-]+")
 
 
-def replace_slice(df: DataFrame, path: str, slice_of: Mapping[str, object],
-                  within: Sequence[str] = ()) -> None:
+def replace_slice(df: DataFrame, path: str, slice_of: Mapping[str, object]) -> None:
     """Write the rows as one slice of a partitioned table, in place of that slice.
 
     ``slice_of`` names the slice, such as a run or a micro-batch; writing it again
-    replaces it and leaves all others alone. ``within`` are columns that partition the
-    table above the slice. The write is one job, committed as a whole.
+    replaces it and leaves all others alone. The write is one job, committed as a whole.
     """
     named = df.withColumns({name: F.lit(value) for name, value in slice_of.items()})
     (named.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*within, *slice_of)
+     .partitionBy(*slice_of)
      .parquet(path))
 
 

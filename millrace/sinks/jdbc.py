@@ -60,10 +60,11 @@ def append_table(df: DataFrame, options: Mapping[str, str], staging: str,
     """Append a table all or none: parallel tasks fill staging, one statement publishes it.
 
     Overwriting the staging table makes a retry start from nothing. ``connections``
-    bounds what the database has to bear, whatever the number of partitions.
+    bounds what the database has to bear; the rows are dealt out for it, so that the work
+    before is done by as many tasks as ever.
     """
     run = run or one_transaction(df.sparkSession, options)
-    (df.write.format("jdbc").mode("overwrite")
+    (df.repartition(connections).write.format("jdbc").mode("overwrite")
      .options(**{**options, "dbtable": staging, "truncate": "true",
                  "numPartitions": str(connections), "batchsize": str(batch_size)})
      .save())

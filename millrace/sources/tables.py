@@ -43,12 +43,12 @@ def jdbc_options(url: str, table: str, *, user: str | None = None, password: str
     return options | dict(extra or {})
 
 
-def scan_jdbc(spark: SparkSession, options: Mapping[str, str], split: Split | None = None,
+def scan_jdbc(spark: SparkSession, options: Mapping[str, str], split: Split | None,
               columns: Sequence[str] | None = None) -> DataFrame:
     """A database table; filters, projections and counts are done by the database.
 
-    Without a split the whole table comes through one connection, which suits small
-    tables only.
+    ``split=None`` has to be asked for: the whole table then comes through one connection,
+    which suits small tables only.
     """
     every = {**options, **(split.options() if split else {}), "pushDownAggregate": "true"}
     df = spark.read.format("jdbc").options(**every).load()

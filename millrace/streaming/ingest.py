@@ -62,7 +62,7 @@ def batch_writer(path: str, on_batch: Callable[[BatchReport], None] | None = Non
         seen = Observation()
         rows = rows.observe(seen, F.count("*").alias("rows_in"),
                             F.count_if(F.col(KIND) == ACCEPTED).alias("rows_accepted"))
-        replace_slice(rows, path, {STREAM: stream_id, BATCH: batch_id}, within=[KIND])
+        replace_slice(rows, path, {STREAM: stream_id, BATCH: batch_id})
         counts = seen.get
         report = BatchReport(batch_id, counts["rows_in"], counts["rows_accepted"],
                              counts["rows_in"] - counts["rows_accepted"])
@@ -98,7 +98,7 @@ def start_ingest(messages: DataFrame, path: str, checkpoint: str, *, value: str
                  interval: str | None = INTERVAL, rebalance: bool = False,
                  on_batch: Callable[[BatchReport], None] | None = None) -> StreamingQuery:
     """Parse a message stream into the table at ``path``, created if absent."""
-    create_empty(messages.sparkSession, path, SINK_SCHEMA, [KIND, STREAM, BATCH])
+    create_empty(messages.sparkSession, path, SINK_SCHEMA, [STREAM, BATCH])
     return start_stream(messages, batch_writer(path, on_batch, rebalance), checkpoint, value,
                         interval)
 
@@ -108,7 +108,8 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_accepted(spark: SparkSession, path: str) -> DataFrame:
-    """Accepted rows; the kind is a partition, so rejects are not even opened."""
+    """Accepted rows. The kind is a column: a replay replaces both kinds of its batch, and
+    no row has to be sorted by kind before it is written."""
     return read_sink(spark, path).where(F.col(KIND) == ACCEPTED).select(*PRICE_ROW.names)
 
 

@@ -131,6 +131,10 @@ class FakeFrame:
     def __init__(self):
         self.write = Recorder()
 
+    def repartition(self, n):
+        assert n == 8
+        return self
+
 
 def test_database_tables():
     assert jdbc.create_statement("registry", TABLES[REGISTRY_TABLE]) == (

@@ -132,7 +132,7 @@ def test_an_empty_batch_writes_nothing(spark, folder):
         ingest.batch_writer(f"{folder}/out")(empty, 0)
     finally:
         spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
-    assert not [name for name in os.listdir(f"{folder}/out") if name.startswith("kind")]
+    assert not [name for name in os.listdir(f"{folder}/out") if name.startswith("stream_id")]
 
 
 def test_a_validated_stream_is_enriched(stream, spark):
