@@ -1,6 +0,0 @@
-from millrace.functions.messages import decoded, iso_utc, message_json, parse_time
-from millrace.functions.missing import any_missing, is_missing, none_missing
-from millrace.functions.numbers import linear, time_order, uniforms
-
-__all__ = ["any_missing", "decoded", "is_missing", "iso_utc", "linear", "message_json",
-           "none_missing", "parse_time", "time_order", "uniforms"]
