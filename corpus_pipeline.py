@@ -35,9 +35,11 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def distinct_contents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that hang together as near duplicates, the one with the least id."""
-    kept = staged(ngram_join.near_duplicates(docs).filter("doc_id <=> class_id")
-                  .select(F.col("doc_id").alias("kept_id")).distinct(), "near-kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    ids = ngram_join.near_duplicates(docs).groupBy(F.col("doc_id").alias("gone_id")).agg(
+        F.bool_or(F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("stays"))
+    # Those that go are the fewer, so that the texts are shuffled only if even they are many.
+    gone = staged(ids.filter("NOT stays").select("gone_id"), "near-gone")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
