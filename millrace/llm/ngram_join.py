@@ -295,8 +295,10 @@ def components(edges: DataFrame) -> DataFrame:
         return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     def star(edges: DataFrame, large: bool) -> DataFrame:
-        least = edges.groupBy("u").agg(F.min("v").alias("m")).select(
-            F.col("u"), F.least("u", "m").alias("m"))
+        # Staged, so that the join below shuffles both sides itself and Spark can split a
+        # node with very many neighbours.
+        least = staged(edges.groupBy("u").agg(F.min("v").alias("m")).select(
+            F.col("u"), F.least("u", "m").alias("m")), "component-least")
         with_least = edges.join(least, "u")
         if large:
             return with_least.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
