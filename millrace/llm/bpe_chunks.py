@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow import only, schema_of, text_slices
-from millrace.llm.encoder import Decoder, Encoder, encoder
+from millrace.llm.encoder import Decoder, Encoder, decoder_of, encoder
 
 # Bytes that the rolling hash covers, its base, and the bits that are zero at a cut.
 WINDOW = 32
@@ -272,8 +272,19 @@ def piece_arrays(pieces: list[Piece]) -> list[pa.Array]:
     return [*(pa.array(c, type=pa.binary()) for c in columns[:3]), pa.array(columns[3], type=pa.bool_())]
 
 
+def _results(ids: list[bytes], decoder: Decoder | None) -> list[pa.Array]:
+    """The ids as a column, and with a decoder their texts as another."""
+    out = [pa.array(ids, type=pa.binary())]
+    if decoder is not None:
+        texts = [decoder.decode(np.frombuffer(x, "<u4")) for x in ids]
+        out.append(pa.array(texts, type=pa.binary()).cast(pa.string()))
+    return out
+
+
 def _alone(docs: DataFrame, tokenizer: str, words, schema: T.StructType) -> DataFrame:
     """The ids of the documents that hold no chunk which may be shared."""
+    decoded = "text" in schema.names
+
     def work(doc_ids, data, offsets, got, hit):
         enc = encoder(tokenizer)
         rows = np.flatnonzero(~_per_text(hit, got))
@@ -282,7 +293,7 @@ def _alone(docs: DataFrame, tokenizer: str, words, schema: T.StructType) -> Data
         pieces = encode_chunks(enc, data, got.starts[mine], got.ends[mine])
         bounds = np.append(0, np.cumsum(got.counts[rows])).tolist()
         ids = join_pieces(enc, [pieces[a:b] for a, b in zip(bounds, bounds[1:])]) if len(rows) else []
-        yield doc_ids.take(pa.array(rows)), pa.array(ids, type=pa.binary())
+        yield doc_ids.take(pa.array(rows)), *_results(ids, decoder_of(tokenizer) if decoded else None)
     return _mapped(docs, work, schema, words)
 
 
@@ -321,9 +332,12 @@ def _together(docs: DataFrame, tokenizer: str, words, schema: T.StructType) -> D
     grouped = (own.union(found).groupBy("doc_id", "text_hash")
                .agg(F.collect_list(F.struct("part", *columns)).alias("pieces")))
 
+    decoded, names = "text" in schema.names, schema.names
+
     def assemble(batches):
         for batch in batches:
             enc = encoder(tokenizer)
+            decoder = decoder_of(tokenizer) if decoded else None
             for n in range(0, len(batch), 64):
                 some = batch.slice(n, 64)
                 documents, copies = [], []
@@ -335,23 +349,27 @@ def _together(docs: DataFrame, tokenizer: str, words, schema: T.StructType) -> D
                 ids = join_pieces(enc, documents)
                 take = pa.array(np.repeat(np.arange(len(ids)), copies))
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id").take(take), pa.array(ids, type=pa.binary()).take(take)],
-                    names=["doc_id", "ids"])
+                    [some.column("doc_id").take(take)]
+                    + [column.take(take) for column in _results(ids, decoder)], names=names)
 
     return grouped.select("doc_id", "pieces").mapInArrow(assemble, schema)
 
 
-def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataFrame:
     """doc_id and ids of every row, as the tokenizers library encodes the text without
     special tokens of its own; ids are little-endian unsigned 32-bit integers.
 
+    With ``decoded``, also the ``text`` that the ids decode to, as ``decode`` gives it, made
+    by the same worker.
+
     Equal for any division into chunks. A NULL or empty text has no ids. Repeated rows and
     NULL ids give a row each. Other columns are ignored. An empty table gives no rows.
     """
     if not encoder(tokenizer).by_pieces:
         raise ValueError("joins are repaired at white space, which this tokenizer may span")
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
-                           T.StructField("ids", T.BinaryType())])
+                           T.StructField("ids", T.BinaryType())]
+                          + [T.StructField("text", T.StringType())] * decoded)
     words = docs.sparkSession.sparkContext.broadcast(shared_filter(docs))
     return _alone(docs, tokenizer, words, schema).union(_together(docs, tokenizer, words, schema))
 
@@ -359,7 +377,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """The rows with a column ``text``: the ids decoded, special tokens included."""
     def run(batches):
-        decoder = Decoder(tokenizer)
+        decoder = decoder_of(tokenizer)
         for batch in batches:
             texts = [decoder.decode(np.frombuffer(ids.as_py() or b"", "<u4"))
                      for ids in batch.column("ids")]

@@ -243,6 +243,15 @@ class Decoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+_DECODERS: dict[str, Decoder] = {}
+
+
+def decoder_of(path: str) -> Decoder:
+    """The worker's decoder for this file."""
+    if path not in _DECODERS:
+        _DECODERS.clear()
+        _DECODERS[path] = Decoder(path)
+    return _DECODERS[path]
 
 
 def encoder(path: str) -> Encoder:

@@ -51,8 +51,7 @@ def op1_fingerprint(spark, sf_dir):
 
 @query()
 def op2_bpe_chunks(spark, sf_dir):
-    encoded = bpe_chunks.encode(table(spark, sf_dir, "documents"), TOKENIZER)
-    return bpe_chunks.decode(encoded, TOKENIZER).select(
+    return bpe_chunks.encode(table(spark, sf_dir, "documents"), TOKENIZER, decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 

@@ -59,6 +59,8 @@ def test_encoding(odd, empty, library):
         ids = library.encode(text or "", add_special_tokens=False).ids
         want[doc, np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)] += 1
     assert Counter((r["doc_id"], bytes(r["ids"]), r["text"]) for r in rows) == want
+    both = bpe_chunks.encode(odd, PATH, decoded=True).collect()
+    assert Counter((r["doc_id"], bytes(r["ids"]), r["text"]) for r in both) == want
     assert bpe_chunks.encode(empty, PATH).count() == 0
 
 
