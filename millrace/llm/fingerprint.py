@@ -161,18 +161,27 @@ def with_edited(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"),
                        F.coalesce("text", F.lit("")).alias("body"))
-    following = (rows.join(neighbours(rows), "id").select(
-        F.col("previous_id").alias("id"),
-        F.struct(F.substring("body", F.lit(1), F.col("wanted").cast("int")).alias("prefix"),
-                 fingerprint(F.col("body")).alias("samples")).alias("following"))
-        .groupBy("id").agg(F.min("following").alias("following")))
+    made = rows.join(neighbours(rows), "id").select(
+        "id", "previous_id", F.xxhash64("body").alias("hash"),
+        F.substring("body", F.lit(1), F.col("wanted").cast("int")).alias("prefix"),
+        fingerprint(F.col("body")).alias("samples"))
+    # A text's samples are computed once, and sent to its own row and to the previous one.
+    own, following = F.struct("hash", "samples"), F.struct("prefix", "samples")
+    def row(to: str, mine: bool) -> Column:
+        return F.struct(F.col(to).alias("id"), F.when(F.lit(mine), own).alias("own"),
+                        F.when(F.lit(not mine), following).alias("following"))
+
+    sent = made.select(F.inline(F.array(row("id", True), row("previous_id", False))))
+    sent = sent.groupBy("id").agg(F.min("own").alias("own"), F.min("following").alias("following"))
     n = F.char_length("body")
     half = F.floor(n / 2).cast("int")
-    return (rows.join(following, "id")
-            .select("id", "body", n.cast("long").alias("n_chars"),
+    # Rows that share an id have but one row of samples, which may be another text's.
+    samples = F.when(F.col("own.hash") == F.xxhash64("body"), F.col("own.samples")).otherwise(
+        fingerprint(F.col("body")))
+    return (rows.join(sent, "id")
+            .select("id", n.cast("long").alias("n_chars"), samples.alias("samples"),
                     F.concat(F.substring("body", F.lit(1), n - half),
                              F.substring("following.prefix", F.lit(1), half)).alias("edited"),
                     F.col("following.samples").alias("next_samples"))
             .select(F.nullif("id", F.lit(NO_ID)).cast(kind).alias("doc_id"), "n_chars", "edited",
-                    fingerprint(F.col("body")).alias("samples"),
-                    fingerprint(F.col("edited")).alias("edited_samples"), "next_samples"))
+                    "samples", fingerprint(F.col("edited")).alias("edited_samples"), "next_samples"))
