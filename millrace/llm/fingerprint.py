@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from millrace.sinks.files import staged
 
 SHINGLE = 5
-# Samples of a fingerprint. Each is drawn from the terms that a hash gives to its bin.
+# Samples of a fingerprint. Each is drawn from the slices of terms that a hash gives to its bin.
 BINS = 128
 SIGN_BITS, VALUE_BITS = 16, 38
 BIN_SHIFT = SIGN_BITS + VALUE_BITS
@@ -46,13 +46,14 @@ def _bits(word: Column, shift: int) -> Column:
     return F.shiftrightunsigned(word, shift).bitwiseAND(F.lit((1 << 24) - 1)) + 0.5
 
 
-def _draw(term: Column, weight: Column) -> Column:
-    """The bin of a term, its value and its sign, packed so that the least value comes first.
+def _draw(term: Column) -> Column:
+    """The bin of a term of weight 1, its value and its sign, packed so that the least value
+    comes first.
 
-    With r and c from Gamma(2, 1) and b uniform, all from the term alone:
-    t = floor(ln(weight) / r + b), value = ln c - r (t - b + 1), sign = hash of (term, t).
-    The term with the least value wins its bin. Two texts agree there with a probability
-    equal to the generalised Jaccard similarity of the weights in the bin.
+    With r and c from Gamma(2, 1) and b uniform, all from the term alone, the draw of weight w
+    has t = floor(ln(w) / r + b), value = ln c - r (t - b + 1) and sign = hash of (term, t);
+    ln(1) makes t = 0. The term with the least value wins its bin. Two texts agree there with
+    a probability equal to the Jaccard similarity of the terms in the bin.
 
     The term is itself a hash: its low bits give the bin, others r, a further hash the rest.
     """
@@ -60,31 +61,34 @@ def _draw(term: Column, weight: Column) -> Column:
     r = F.lit(LOG_SCALE) - F.log(_bits(term, 40) * _bits(term, 16))
     c = F.lit(LOG_SCALE) - F.log(_bits(more, 40) * _bits(more, 16))
     b = (more.bitwiseAND(F.lit(0xFFFF)) + 0.5) / 65536.0
+    # The value lies between -120 and 8: 38 bits hold it to a part in 2**30.
+    scaled = ((F.log(c) - r * (F.lit(1.0) - b) + 128.0) * float(1 << 30)).cast("long")
+    sign = F.xxhash64(term, F.lit(0).cast("long")).bitwiseAND(F.lit((1 << SIGN_BITS) - 1))
+    return (F.shiftleft(term.bitwiseAND(F.lit(BINS - 1)), BIN_SHIFT)
+            + F.shiftleft(scaled, SIGN_BITS) + sign)
 
-    def packed(t: Column, least: Column) -> Column:
-        # The value lies between -120 and 8: 38 bits hold it to a part in 2**30.
-        scaled = ((F.log(c) - r * least + 128.0) * float(1 << 30)).cast("long")
-        sign = F.xxhash64(term, t).bitwiseAND(F.lit((1 << SIGN_BITS) - 1))
-        return (F.shiftleft(term.bitwiseAND(F.lit(BINS - 1)), BIN_SHIFT)
-                + F.shiftleft(scaled, SIGN_BITS) + sign)
 
-    t = F.floor(F.log(weight.cast("double")) / r + b)
-    # A weight of one, that of most terms, has the logarithm 0 and so t = 0.
-    return (F.when(weight == 1, packed(F.lit(0).cast("long"), F.lit(1.0) - b))
-            .otherwise(packed(t, t - b + 1)))
+def slices(s: Column) -> Column:
+    """The terms of sorted shingles, with a term of its own for each further occurrence.
+
+    A shingle that occurs w times has w slices of weight 1: itself, and hashes of it with 1 to
+    w - 1. The shared slices of two texts are the minima of their weights, and all slices the
+    maxima, so the Jaccard similarity of the slices is the generalised one of the weights.
+    """
+    at = F.sequence(F.lit(0), F.size(s) - 1)
+    firsts = F.filter(at, lambda i: (i == 0) | (F.get(s, i - 1) != F.get(s, i)))
+    again = F.filter(at, lambda i: (i > 0) & (F.get(s, i - 1) == F.get(s, i)))
+    # Up to the k-th repeat, at i, there are i - k firsts; the last of them began its run.
+    return bound(firsts, lambda f: F.when(F.size(f) == F.size(s), s).otherwise(F.concat(
+        F.transform(f, lambda i: F.get(s, i)),
+        F.transform(again, lambda i, k: F.xxhash64(i - F.get(f, i - k - 1), F.get(s, i))))))
 
 
 def fingerprint(text: Column) -> Column:
     """The samples of a text, for each bin that has a term: bin and sign in one number.
 
-    The terms are the distinct shingles, weighted by how often they occur.
+    The terms are the slices of the shingles, which are weighted by how often they occur.
     """
-    def drawn(s: Column) -> Column:
-        last = F.size(s) - 1
-        ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (F.get(s, i) != F.get(s, i + 1)))
-        return bound(ends, lambda e: F.transform(e, lambda at, k: _draw(
-            F.get(s, at), at - F.when(k == 0, F.lit(-1)).otherwise(F.get(e, k - 1)))))
-
     def least(packed: Column) -> Column:
         first = F.filter(packed, lambda x, i: (i == 0) | (
             F.shiftright(F.get(packed, i - 1), BIN_SHIFT) != F.shiftright(x, BIN_SHIFT)))
@@ -93,7 +97,8 @@ def fingerprint(text: Column) -> Column:
             + x.bitwiseAND(F.lit((1 << SIGN_BITS) - 1))).cast("int"))
 
     return bound(shingles(text), lambda s: F.when(
-        F.size(s) > 0, bound(F.sort_array(drawn(s)), least)).otherwise(F.array().cast("array<int>")))
+        F.size(s) > 0, bound(F.sort_array(F.transform(slices(s), _draw)), least))
+        .otherwise(F.array().cast("array<int>")))
 
 
 def text_of(fingerprint_column: Column) -> Column:

@@ -62,6 +62,22 @@ def test_op1(spark, documents):
     assert np.abs(off_next).max() < 0.1
 
 
+def test_op1_repeats(spark):
+    """Texts in which shingles repeat, each on its own against its own likeness."""
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").orderBy("doc_id").collect()
+    texts = [(r["doc_id"], r["text"] or "") for r in rows]
+    got = {r["doc_id"]: r["near_edited"] for r in QUERIES["op1_fingerprint"](spark, folder).collect()}
+    off = {}
+    for k, (doc, text) in enumerate(texts):
+        own, half = shingles(text), len(text) // 2
+        if 700 <= len(text) <= 20_000 and max(own.values(), default=0) > 3:
+            edited = text[:len(text) - half] + texts[(k + 1) % len(texts)][1][:half]
+            off[doc] = abs(got[doc] - alike(own, shingles(edited)))
+    assert len(off) > 50 and {413, 534, 730, 856} <= set(off)
+    assert max(off.values()) < 0.2 and np.mean(list(off.values())) < 0.05
+
+
 def test_op2(spark, documents, library):
     got = collected(QUERIES["op2_bpe_chunks"](spark, TABLES), "doc_id")
     for row, (doc, text) in zip(got, documents, strict=True):
