@@ -75,7 +75,8 @@ def sketches(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         bands = words.mix(bands * np.uint64(3) + least[k::ROWS], 11)
     bands = words.mix(bands + np.arange(BANDS, dtype=np.uint64)[:, None], 12)
     out[full, :BANDS * 8] = np.ascontiguousarray(bands.T).view(np.uint8).reshape(len(full), -1)
-    out[full, BANDS * 8:] = (least >> np.uint64(30)).astype(np.uint8).T
+    # The low byte: a minimum's high bits are the smaller, the more shingles there are.
+    out[full, BANDS * 8:] = (least & np.uint64(0xFF)).astype(np.uint8).T
     return out
 
 

@@ -163,6 +163,16 @@ def test_line_dedup(spark, empty):
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_unrelated_sketches_disagree():
+    """However many shingles there are, values of unrelated sets agree by chance alone."""
+    rng = np.random.default_rng(3)
+    for n in (100, 5_000, 60_000):
+        values = np.concatenate([np.sort(rng.integers(0, 1 << 63, n, dtype=np.uint64)) for _ in range(4)])
+        taken = ngram_join.sketches(values, np.arange(5) * n)[:, ngram_join.BANDS * 8:]
+        agree = [(taken[a] == taken[b]).mean() for a in range(4) for b in range(a)]
+        assert np.mean(agree) < 0.03
+
+
 def test_language(spark, odd, empty):
     taught = spark.createDataFrame(
         [(k, " ".join(["der und die"] * 9) if k % 2 else " ".join(["the and of"] * 9), "de" if k % 2 else "en")
