@@ -9,14 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow import only, text_slices
+from millrace.sinks.files import staged
 
 # Bytes of a window, sizes of the filters, filters of each size, numbers that a byte becomes.
 LENGTH = 256
 WIDTHS = (2, 3, 4, 5)
 FILTERS = 8
 EMBEDDING = 8
-# Documents of each language that the network is fitted on, about, and languages at most.
-FIT_DOCS, FIT_LANGUAGES, FIT_WINDOWS = 1_000, 256, 4
+# Documents of each language that the network is fitted on, about: fewer of each beyond so many
+# languages, down to the least number. Windows of a document.
+FIT_DOCS, FIT_LANGUAGES, FIT_LEAST, FIT_WINDOWS = 1_000, 256, 32, 4
 STEPS, BATCH, RATE = 800, 128, 5e-3
 # Windows that are evaluated at a time, few enough for the processor's cache.
 AT_ONCE = 16
@@ -166,19 +168,22 @@ def train(docs: DataFrame, per_language: int = FIT_DOCS, label: str = "lang") ->
     """A network for the values of ``label``, from a sample of about ``per_language``
     documents of each, chosen by a hash of the id, and some windows of each document.
 
-    At most ``FIT_LANGUAGES`` values are learned, the most frequent ones. Rows without a
-    label, an id or a text teach nothing; without any row that does, there is no network.
+    Every value is learned. Beyond ``FIT_LANGUAGES`` values, documents of each are fewer, and
+    steps of the fit more, in proportion. Rows without a label, an id or a text teach nothing;
+    without any row that does, there is no network.
     """
     known = docs.select("doc_id", "text", F.col(label).alias("language")).filter(
         "language IS NOT NULL AND text != '' AND doc_id IS NOT NULL")
-    counts = {row[0]: row[1] for row in known.groupBy("language").count()
-              .orderBy(F.desc("count"), "language").limit(FIT_LANGUAGES).collect()}
-    if not counts:
+    counts = staged(known.groupBy("language").agg(F.count(F.lit(1)).alias("n")), "language-counts")
+    found = counts.count()
+    if not found:
         return None
     scale = 1 << 20
-    bound = F.create_map(*[F.lit(x) for name, n in counts.items()
-                           for x in (name, min(scale, -(-scale * per_language // n)))])
-    sample = (known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < bound[F.col("language")])
+    many = max(1, found / FIT_LANGUAGES)
+    each = max(min(FIT_LEAST, per_language), int(per_language / many))
+    bound = counts.select("language", F.least(F.lit(scale), F.ceil(F.lit(scale * each) / F.col("n"))).alias("bound"))
+    sample = (known.join(bound, "language")
+              .filter(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.col("bound"))
               .select(F.col("doc_id").cast("string").alias("doc"), "language", "text"))
 
     def run(batches):
@@ -204,7 +209,7 @@ def train(docs: DataFrame, per_language: int = FIT_DOCS, label: str = "lang") ->
         return None
     place = {name: k for k, name in enumerate(languages)}
     batch = np.frombuffer(b"".join(x.as_py() for x in got["window"]), np.uint8).reshape(-1, LENGTH)
-    return fit(batch, np.array([place[name] for name in names]), languages)
+    return fit(batch, np.array([place[name] for name in names]), languages, int(STEPS * many))
 
 
 def identified(net: Network | None, data: np.ndarray,

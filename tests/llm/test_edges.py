@@ -173,6 +173,19 @@ def test_unrelated_sketches_disagree():
         assert np.mean(agree) < 0.03
 
 
+def test_every_label_is_learned(spark):
+    """More labels than are fitted in full: the rare ones are learned and told too."""
+    names = [f"l{k:03d}" for k in range(300)]
+    rows = [(k * 4 + j, f"{chr(0x4E00 + 61 * k)}{chr(0x4E01 + 61 * k)} " * 20, name)
+            for k, name in enumerate(names) for j in range(4 if k < 256 else 2)]
+    taught = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    network = language.train(taught)
+    assert network.languages == names
+    told = {r["doc_id"]: r["lang_pred"] for r in language.identify(taught, network).collect()}
+    rare = [told[doc] == name for doc, _, name in rows if name >= "l256"]
+    assert np.mean(rare) > 0.9
+
+
 def test_language(spark, odd, empty):
     taught = spark.createDataFrame(
         [(k, " ".join(["der und die"] * 9) if k % 2 else " ".join(["the and of"] * 9), "de" if k % 2 else "en")
