@@ -252,6 +252,13 @@ def identify(docs: DataFrame, network: Network | None) -> DataFrame:
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
+def floor(network: Network | None, certainty: float) -> float:
+    """The score that lies so far, from 0 to 1, between an even guess among the languages of
+    the network and 1."""
+    guess = 1 / len(network.languages) if network else 0.0
+    return guess + certainty * (1 - guess)
+
+
 def accepted(docs: DataFrame, network: Network | None, least: float) -> DataFrame:
     """The rows of ``docs``, with all their columns, in a language told with a score of at
     least ``least``. Where nothing was learned, all rows stay."""

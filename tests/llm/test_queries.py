@@ -205,3 +205,37 @@ def test_pipeline(spark, documents):
     pieces = corpus_pipeline.STAGES[4][1](spark, docs, TABLES)
     assert {r["doc_id"] for r in pieces.collect()} == set(before)
     assert corpus_pipeline.run(spark, TABLES).count() == pieces.count()
+
+
+def test_pipeline_language(spark):
+    """The stage keeps exactly the rows that identify tells with the certainty asked for."""
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(5)
+    odd = [(10**6 + k, "".join(chr(c) for c in rng.integers(0x430, 0x450, 1_000)), None) for k in range(50)]
+    docs = docs.union(spark.createDataFrame(odd + [(10**7, "12 34 !?", None)], docs.schema)).cache()
+    network = corpus_pipeline.language_network(docs)
+    told = corpus_pipeline.language.identify(docs, network).collect()
+    least = 1 / 4 + (1 - 1 / 4) / 3
+    want = {r["doc_id"] for r in told if r["lang_pred"] != "und" and r["score"] >= least}
+    got = {r["doc_id"] for r in corpus_pipeline.known_language(spark, docs, TABLES).collect()}
+    assert len(network.languages) == 4 and got == want
+    foreign = {doc for doc, _, _ in odd}
+    loose = {r["doc_id"] for r in told if r["score"] >= 0.3}
+    assert len(got & foreign) < len(loose & foreign) and 10**7 not in got
+    assert got - foreign == {r["doc_id"] for r in told} - foreign - {10**7}
+
+
+def test_pipeline_packing(spark, documents, library):
+    """The pieces of the last stage cover each document that reaches it."""
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    of = defaultdict(list)
+    for row in corpus_pipeline.packed(spark, docs, TABLES).collect():
+        of[row["doc_id"]].append(row)
+    assert set(of) == {doc for doc, _ in documents}
+    for doc, text in documents:
+        ids, at = library.encode(text, add_special_tokens=False).ids + [1], 0
+        for row in sorted(of[doc], key=lambda r: r["start"]):
+            part = np.array(ids[at:at + row["length"]], "<u4").tobytes()
+            assert (row["start"], bytes(row["ids"])) == (at, part)
+            at += row["length"]
+        assert at == len(ids)
