@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import ODD
+from odd_rows import ODD
 from pyspark.sql import functions as F
 
 from millrace.llm import (bpe_chunks, exact_dedup, fingerprint, html_text, language, line_dedup,
