@@ -23,7 +23,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def folder(tmp_path):
     return str(tmp_path)
-
-
-def rows(df):
-    return sorted((tuple(row) for row in df.collect()), key=repr)

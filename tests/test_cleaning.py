@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from millrace.contracts import ALPHA, BETAS
 from millrace.operators import cleaning
 from millrace.operators.sampling import BUCKET_ROWS, sample_rows, side_of

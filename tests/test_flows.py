@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from millrace.contracts import BETAS, feature_names
 from millrace.operators import audit, capture, change, profiling, quality, regression
 from millrace.plans import jobs

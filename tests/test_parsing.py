@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from millrace.functions.messages import iso_utc, message_json, parse_time
 from millrace.operators import parsing
 

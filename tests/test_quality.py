@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 from millrace.contracts import FEATURE_CONTRACT, Column, contract_of, required_columns
 from millrace.operators import quality
-from conftest import rows
+from frames import rows
 
 NAN = float("nan")
 FEATURES = "x_1 double, x_2 double, x_3 double, x_4 double, y double"

@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from millrace import session
 from millrace.contracts import FEATURES_TABLE, PRICES_TABLE, REGISTRY_TABLE, TABLES
 from millrace.sinks import catalog, files, jdbc, kafka

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from millrace.operators import audit, parsing
 from millrace.sources.streams import (json_lines_stream, kafka_source_options, parquet_stream)
 from millrace.streaming import ingest, rollup
