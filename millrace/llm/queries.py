@@ -8,7 +8,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from millrace.llm import (bpe_chunks, exact_dedup, fingerprint, html_text, language, line_dedup,
+from millrace.llm import (bpe_chunks, decontaminate, exact_dedup, fingerprint, html_text, language, line_dedup,
                           ngram_join, packing, quality, warc)
 from millrace.sinks.files import staged
 
@@ -182,3 +182,36 @@ def op9_exact_dedup(spark, sf_dir):
 @query()
 def op10_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+ASCII_LOWER = f"'{line_dedup.UPPER}', '{line_dedup.LOWER}'"
+
+
+@query(f"""
+    WITH items AS (
+        SELECT item_id, regexp_extract_all(translate(text, {ASCII_LOWER}), '{decontaminate.WORD}') AS w
+        FROM benchmark WHERE text IS NOT NULL),
+    windows AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS n, list_slice(w, p, p + least(len(w), 10) - 1) AS part
+        FROM items, LATERAL (SELECT unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p) WHERE len(w) > 0),
+    docs AS (
+        SELECT doc_id, coalesce(regexp_extract_all(translate(text, {ASCII_LOWER}), '{decontaminate.WORD}'),
+                                []) AS w FROM documents),
+    places AS (
+        SELECT doc_id, p, n, list_slice(w, p, p + n - 1) AS part
+        FROM docs, (SELECT DISTINCT n FROM windows),
+             LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS p)),
+    found AS (SELECT doc_id, p, places.n, item_id FROM places JOIN windows USING (part)),
+    hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+            FROM found, LATERAL (SELECT unnest(range(p, p + n)) AS place) GROUP BY doc_id),
+    named AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+        FROM (SELECT DISTINCT doc_id, coalesce(item_id::VARCHAR, '') AS item FROM found) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+    FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""")
+def op12_decontaminate(spark, sf_dir):
+    marked = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
