@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm import (bpe_chunks, decontaminate, exact_dedup, fingerprint, html_text, language, line_dedup,
-                          ngram_join, packing, quality, warc)
+                          ngram_join, packing, quality, structure_repair, warc)
 from millrace.sinks.files import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -215,3 +215,106 @@ def op12_decontaminate(spark, sf_dir):
     return marked.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a short ASCII text: each byte, then seven zeros, by one step a bit."""
+    bits = f"flatten(list_transform(string_split({text}, ''), lambda c: [unicode(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "xor(xor(crc, bit) >> 1, (xor(crc, bit) & 1) * 3988292384)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda crc, bit: {step}), 4294967295)"
+
+
+# What befalls a turn, by the remainder of a checksum of its conversation and number.
+DAMAGE_TURNS = 20
+DROPPED, EMPTIED, UNENDED, REPEATED, REROLED = range(5)
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """The turns after the damage that their conversation and number ask for."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = turns.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")],
+                        (F.crc32(key.cast("binary")) % DAMAGE_TURNS).alias("damage")).filter(F.col("damage") != DROPPED)
+    damage = F.col("damage")
+    text = (F.when(damage == EMPTIED, "").when(damage == UNENDED, F.regexp_replace("text", "[.!?]", ""))
+            .otherwise(F.col("text")))
+    return rows.select(
+        "conv_id", "turn", F.when(damage == REROLED, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"), F.explode(F.sequence(F.lit(1), F.when(damage == REPEATED, 2).otherwise(1)))).drop("col")
+
+
+def _dp_sql() -> dict[str, str]:
+    """The steps of the repair in SQL. Each state holds a struct of cost, audit and lines, of
+    which the least one by cost and audit is kept."""
+    def then(state: str, cost: str, letter: str, line: str = "", when: str = "true") -> str:
+        out = f"list_append({state}.lines, {line})" if line else f"{state}.lines"
+        return (f"CASE WHEN {state} IS NOT NULL AND {when} THEN "
+                f"{{'cost': {state}.cost + {cost}, 'audit': {state}.audit || '{letter}', 'lines': {out}}} END")
+
+    def least(*cells: str) -> str:
+        return f"list_min([{', '.join(cells)}])"
+
+    def inserted(source: str) -> str:
+        user = [then(f"c{k}", "5", "I", "'user:'") for k in (0, 1, 3)]
+        return (f"SELECT * REPLACE ({least('c2', *user)} AS c2, "
+                f"{least('c3', then('c2', '5', 'I', chr(39) + 'assistant:' + chr(39)))} AS c3) FROM ({source})")
+
+    def kept(state: str, initial: str) -> str:
+        return then(state, "cut", "K", "role || ':' || text", f"NOT gone AND initial = '{initial}'")
+
+    def reroled(state: str, role: str) -> str:
+        return then(state, "1 + cut", "R", f"'{role}:' || text", "NOT gone")
+
+    deleted = [then(f"c{k}", "2", "D") for k in range(4)]
+    user = [cell for k in (0, 1, 3) for cell in (kept(f"c{k}", "u"), reroled(f"c{k}", "user"))]
+    edited = {"c0": deleted[0], "c1": least(deleted[1], kept("c0", "s")), "c2": least(deleted[2], *user),
+              "c3": least(deleted[3], kept("c2", "a"), reroled("c2", "assistant"))}
+    cells = ", ".join(f"{cell} AS {name}" for name, cell in edited.items())
+    step = "SELECT conv, nth, c0, c1, c2, c3, initial, gone, cut, role, text FROM dp JOIN faults USING (conv, nth)"
+    return {"step": f"SELECT conv, nth + 1 AS nth, {cells} FROM ({inserted(inserted(step))})",
+            "ended": inserted(inserted("SELECT * FROM dp"))}
+
+
+_DP = _dp_sql()
+_CELL = "STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[])"
+
+
+@query(f"""
+    WITH RECURSIVE damage AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS d
+        FROM conversations),
+    hurt AS (
+        SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+               CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM damage, range(2) AS copy (c) WHERE d <> 0 AND (c = 0 OR d = 3)),
+    convs AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+    placed AS (
+        SELECT conv, turn, role, text, substr(role, 1, 1) AS initial,
+               row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, digest) - 1 AS nth,
+               regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+        FROM (SELECT *, md5(octet_length(encode(role)) || ':' || role || text) AS digest FROM hurt) AS h
+             JOIN convs ON h.conv_id IS NOT DISTINCT FROM convs.conv_id),
+    repeated AS (SELECT *, nth > min(nth) OVER (PARTITION BY conv, role, text) AS again FROM placed),
+    faults AS (
+        SELECT *, last = '' OR again AS gone,
+               CASE WHEN last <> '' AND NOT again AND last NOT IN ('.', '!', '?') THEN 5 ELSE 0 END AS cut,
+               lag(initial) OVER (PARTITION BY conv ORDER BY nth) AS before FROM repeated),
+    counts AS (
+        SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (WHERE last = '') AS blank, count(*) FILTER (WHERE last <> '' AND again) AS duplicate,
+               count(*) FILTER (WHERE cut > 0) AS truncated, count(*) AS n,
+               count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+        FROM faults GROUP BY conv),
+    dp AS (
+        SELECT conv, 0::BIGINT AS nth, {{'cost': 0, 'audit': '', 'lines': []}}::{_CELL} AS c0, NULL::{_CELL} AS c1,
+               NULL::{_CELL} AS c2, NULL::{_CELL} AS c3 FROM convs
+        UNION ALL {_DP['step']}),
+    best AS (
+        SELECT conv, nth, list_min([c0, c3]) AS best FROM ({_DP['ended']}))
+    SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost,
+           best.audit AS audit, sha256(array_to_string(best.lines, chr(10))) AS repaired_sha256
+    FROM convs LEFT JOIN counts USING (conv) JOIN best USING (conv) WHERE nth = coalesce(n, 0)""")
+def op13_structure_repair(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return structure_repair.repair_report(damaged(turns), turns)
