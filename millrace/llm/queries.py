@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from millrace.llm import (bpe_chunks, decontaminate, exact_dedup, fingerprint, html_text, language, line_dedup,
-                          ngram_join, packing, quality, structure_repair, warc)
+                          ngram_join, packing, prefix_trie, quality, structure_repair, warc)
 from millrace.sinks.files import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -318,3 +318,58 @@ _CELL = "STRUCT(cost BIGINT, audit VARCHAR, lines VARCHAR[])"
 def op13_structure_repair(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     return structure_repair.repair_report(damaged(turns), turns)
+
+
+# A conversation begins with so many turns of the first one of its hundred, by its checksum.
+SHARED_TURNS, SHARED_AMONG = 6, 100
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns of every conversation behind the first ones of its hundred's, and all ids."""
+    own = staged(prefix_trie.ordered_turns(turns), "ordered-turns")
+    taken = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % SHARED_TURNS).alias("taken")
+    ids = staged(own.select("conv_id").distinct().select("conv_id", taken), "conversation-ids")
+    first = own.filter((F.col("conv_id") % SHARED_AMONG == 0) & (F.col("nth") < SHARED_TURNS)).withColumnRenamed(
+        "conv_id", "base")
+    begun = (ids.withColumn("base", F.col("conv_id") - F.col("conv_id") % SHARED_AMONG).join(first, "base")
+             .filter("nth < taken").select("conv_id", "nth", "digest", "length"))
+    rest = own.filter(F.col("nth") >= taken)
+    return begun.unionByName(rest), ids
+
+
+@query(f"""
+    WITH original AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+                   PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(
+                       octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS nth
+        FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT conv_id, {crc32_sql('conv_id::VARCHAR')} % 6 AS h FROM (SELECT DISTINCT conv_id FROM original)),
+    turns AS (
+        SELECT c.conv_id, 0 AS part, nth, role, text
+        FROM convs AS c JOIN original AS o ON o.conv_id = c.conv_id - c.conv_id % 100 AND nth <= h
+        UNION ALL SELECT conv_id, 1, nth, role, text FROM original JOIN convs USING (conv_id) WHERE nth > h),
+    lists AS (
+        SELECT conv_id, coalesce(said, []) AS said FROM convs LEFT JOIN (
+            SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY part, nth) AS said
+            FROM turns GROUP BY conv_id) USING (conv_id)),
+    paths AS (
+        SELECT conv_id, d AS depth, sha256(list_slice(said, 1, d)::VARCHAR || d) AS name, d = len(said) AS ends,
+               CASE WHEN d > 0 THEN length(said[d].text) ELSE 0 END AS last
+        FROM lists, LATERAL (SELECT unnest(range(0, len(said) + 1)) AS d)),
+    nodes AS (
+        SELECT name, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n, any_value(last) AS last,
+               sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+        FROM paths GROUP BY name),
+    parents AS (
+        SELECT nodes.*, up.name AS parent FROM nodes
+               LEFT JOIN paths AS up ON up.conv_id = nodes.conv_id AND up.depth = nodes.depth - 1),
+    children AS (SELECT parent AS name, count(*) AS n_children FROM parents WHERE parent IS NOT NULL GROUP BY parent),
+    counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (name)),
+    sums AS (
+        SELECT up.name, sum((n - 1) * counted.last) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+        FROM counted JOIN paths AS up ON up.conv_id = counted.conv_id AND up.depth <= counted.depth GROUP BY up.name)
+    SELECT node.conv_id, node.depth, up.conv_id AS parent_conv_id, node.n AS n_convs, counted.n_children,
+           leaves AS n_leaves, saved::BIGINT AS saved_tokens, node.ends_sha256
+    FROM parents AS node JOIN counted USING (name) JOIN sums USING (name) LEFT JOIN nodes AS up ON up.name = node.parent""")
+def op11_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(*rebuilt(table(spark, sf_dir, "conversations")))
