@@ -63,7 +63,7 @@ def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
 
 def text_key(text: Column) -> Column:
     """What stands for a text: equal texts have the same passages."""
-    return F.sha2(F.coalesce(text, F.lit("")), 256)
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
 def occurrences(docs: DataFrame, windows: DataFrame,
@@ -146,14 +146,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     """
     found = staged(passages(docs, benchmark, size, broadcast_bytes), "passages").withColumnsRenamed(
         {"text_key": "__key", "spans": "__spans", "n_hit": "__hit", "items": "__items"})
-    n_words = F.coalesce(F.size(F.regexp_extract_all("text", F.lit(WORD_ANY_CASE), F.lit(0))), F.lit(0))
-    joined = docs.join(found, text_key(docs["text"]) == found["__key"], "left")
+    counted = F.size(F.regexp_extract_all("text", F.lit(WORD_ANY_CASE), F.lit(0)))
+    # Before the join, so that texts which nobody asks for are not shuffled.
+    keyed = docs.withColumns({"__own": text_key(F.col("text")), "n_words": F.when(
+        F.col("text").isNull(), 0).otherwise(counted).cast("long")})
+    joined = keyed.join(found, F.col("__own") == F.col("__key"), "left")
     return joined.withColumns({
-        "n_words": F.when(F.col("text").isNull(), 0).otherwise(n_words).cast("long"),
         "n_hit": F.coalesce("__hit", F.lit(0).cast("long")),
         "spans": F.coalesce("__spans", F.array().cast("array<struct<start:int,end:int>>")),
         "items": F.coalesce("__items", F.array().cast("array<string>")),
-        "contaminated": F.col("__key").isNotNull()}).drop("__key", "__spans", "__hit", "__items")
+        "contaminated": F.col("__key").isNotNull()}).drop("__own", "__key", "__spans", "__hit", "__items")
 
 
 def without_documents(docs: DataFrame, benchmark: DataFrame, share: float = 0.0,
