@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from functools import reduce, wraps
 from operator import add
 
@@ -101,8 +101,8 @@ def schema_report(df: DataFrame, contract: Contract) -> DataFrame:
               .select("c.*", "total_rows", "passed", "reason"))
 
 
-def require_schema(df: DataFrame, contract: Contract) -> DataFrame:
-    """``df`` itself, or CheckFailed before anything downstream is even planned."""
+def require_types(df: DataFrame, contract: Contract) -> DataFrame:
+    """``df`` itself, or CheckFailed for a missing column or a wrong type; reads no row."""
     rows = compare_schema(df.schema, contract)
     report = {
         "missing_columns": [name for name, _, _, status in rows if status == "missing"],
@@ -112,11 +112,32 @@ def require_schema(df: DataFrame, contract: Contract) -> DataFrame:
     }
     if report["missing_columns"] or report["wrong_type_columns"]:
         raise CheckFailed("schema", report)
-    if df.isEmpty():
+    return df
+
+
+def require_schema(df: DataFrame, contract: Contract) -> DataFrame:
+    """``df`` itself, or CheckFailed before anything downstream is even planned."""
+    if require_types(df, contract).isEmpty():
         raise CheckFailed("schema", {"reason": EMPTY})
     return df
 
 
+def null_report(rows: int, nulls: Mapping[str, int], fail_on_empty: bool = True) -> dict:
+    """The row of ``null_check`` from counts that are known already."""
+    empty, total = rows == 0, sum(nulls.values())
+    return {"passed": total == 0 and not (empty and fail_on_empty),
+            "reason": EMPTY if empty and fail_on_empty else None, "total_rows": rows,
+            "total_nulls": total, "nulls_by_column": dict(nulls), "columns_checked": list(nulls)}
+
+
+def require_counts(rows: int, nulls: Mapping[str, int], fail_on_empty: bool = True) -> dict:
+    """The report of counts that pass the null check, else CheckFailed."""
+    report = null_report(rows, nulls, fail_on_empty)
+    if not report["passed"]:
+        raise CheckFailed("null check", report)
+    return report
+
+
 def require(df: DataFrame, report: DataFrame, name: str = "check") -> DataFrame:
     """Blocking gate: run the one-row check now, and return ``df`` only if it passed."""
     outcome = report.first()

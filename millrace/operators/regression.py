@@ -1,4 +1,4 @@
-"""Ordinary least squares with an intercept, from means and correlations."""
+"""Ordinary least squares with an intercept, from means and centred products."""
 
 from __future__ import annotations
 
@@ -7,14 +7,13 @@ from dataclasses import dataclass
 from datetime import datetime
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.contracts import (FEATURE_PREFIX, MODEL_NAME, MODEL_STAMP_FORMAT, MODEL_SUFFIX,
                                 TARGET)
-from millrace.functions.missing import any_missing, column
+from millrace.functions.missing import column
 from millrace.functions.numbers import linear
+from millrace.operators.moments import Moments, moments
 
 PREDICTION = "prediction"
 # Share of a unit variance below which a direction counts as collinear.
@@ -58,29 +57,23 @@ def fit_linear(df: DataFrame, features: Sequence[str] | None = None,
                target: str = TARGET) -> LinearModel:
     """Least squares of the target on the features, however many there are.
 
-    Counts, means and spreads come from one aggregation, correlations of all pairs from
-    Spark's, which adds up centred products in blocks; what reaches the driver is a matrix
-    of feature count squared. Collinear features get the least-norm solution. A missing
-    value is an error, as is an empty table.
+    The table is read once, or three times if it is wide; what reaches the driver is a matrix
+    of feature count squared. Collinear features get the least-norm solution. A missing value
+    is an error, as is an empty table.
     """
     features = list(feature_columns(df) if features is None else features)
     if not features:
         raise ValueError("no feature columns")
-    names = [*features, target]
-    values = [column(name).cast("double") for name in names]
-    found = df.agg(
-        F.count("*").alias("rows"), F.count_if(any_missing(df, names)).alias("missing"),
-        F.array(*[F.avg(v) for v in values]).alias("means"),
-        F.array(*[F.stddev_pop(v) for v in values]).alias("spreads")).first()
-    _refuse(found["rows"], found["missing"])
-    means, spread = np.array(found["means"]), np.array(found["spreads"])
-    correlation = np.eye(len(names))
-    if found["rows"] > 1:
-        vectors = df.select(array_to_vector(F.array(*values)).alias("v"))
-        correlation = Correlation.corr(vectors, "v").first()[0].toArray()
-    # A column that never varies correlates with nothing.
-    covariance = np.nan_to_num(correlation) * np.outer(spread, spread)
-    return _solve(features, covariance, means, found["rows"])
+    return fit_moments(moments(df, [*features, target]), features, target)
+
+
+def fit_moments(found: Moments, features: Sequence[str] | None = None,
+                target: str = TARGET) -> LinearModel:
+    """The same from moments of the table, of all but the target unless features are named."""
+    features = [name for name in found.names if name != target] if features is None else list(features)
+    at = [found.names.index(name) for name in [*features, target]]
+    _refuse(found.rows, found.incomplete if any(found.nulls[i] for i in at) else 0)
+    return _solve(features, found.products[np.ix_(at, at)] / found.rows, found.means[at], found.rows)
 
 
 def _solve(features: Sequence[str], covariance: np.ndarray, means: np.ndarray,

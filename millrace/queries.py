@@ -16,7 +16,7 @@ from millrace.operators import audit, capture, change, cleaning, parsing, profil
 from millrace.operators import regression, sampling
 from millrace.plans import jobs
 from millrace.session import work_dir
-from millrace.sinks import catalog
+from millrace.sinks import catalog, slices
 from millrace.sinks.files import append_run, staged
 from millrace.sources.streams import parquet_stream
 from millrace.sources.synthetic import ROW_KEY, linear_rows, pollute
@@ -563,12 +563,15 @@ THREE_SQL = """
         FROM det)"""
 
 
-@query(f"""
+MULTI_SQL = f"""
     WITH {DIRTY_SQL}, {THREE_SQL}
     SELECT 'x_1' AS term, round(b1, 4) AS coefficient FROM s
     UNION ALL SELECT 'x_2', round(b2, 4) FROM s
     UNION ALL SELECT 'x_3', round(b3, 4) FROM s
-    UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2 - b3 * m3, 4) FROM s""")
+    UNION ALL SELECT 'intercept', round(my - b1 * m1 - b2 * m2 - b3 * m3, 4) FROM s"""
+
+
+@query(MULTI_SQL)
 def ols_fit_multi(spark, sf_dir):
     model = regression.fit_linear(cleaning.clean(dirty(spark, sf_dir)))
     return _rounded(model.terms(spark), 4, "coefficient")
@@ -592,6 +595,20 @@ def ols_fit_wide(spark, sf_dir):
     return _rounded(regression.fit_linear(wide).terms(spark), 4, "coefficient")
 
 
+@query(MULTI_SQL)
+def ols_fit_merged(spark, sf_dir):
+    """The same fit from the moments of three runs; the second is kept twice, as by a retry."""
+    path, names = work_dir(spark, "moments"), ["x_1", "x_2", "x_3", "y"]
+    rows = dirty(spark, sf_dir)
+    # Equal rows are in the same run, as each run is cleaned on its own.
+    part = F.pmod(F.xxhash64(*[F.nanvl(F.col(name), F.lit(None)) for name in names]), F.lit(3))
+    for run in (0, 1, 2):
+        jobs.etl_job(rows.where(part == run), f"{path}/features", f"run-{run}", declared=DIRTY_ROW)
+    for run in (0, 1, 1, 2):
+        jobs.moments_job(spark, f"{path}/features", f"{path}/moments", f"run-{run}", names)
+    return _rounded(jobs.fit_runs(spark, f"{path}/moments").terms(spark), 4, "coefficient")
+
+
 @query(f"""
     WITH {FEATURES_SQL}, {SINGLE_SQL}
     SELECT x_1, y, round(slope * x_1 + intercept, 4) AS prediction FROM features, model""")
@@ -728,6 +745,23 @@ def snapshot_metrics(spark, sf_dir):
     return spark.read.parquet(f"{path}/metrics").select("metric", "value", shown.alias("text"))
 
 
+@query(f"""
+    WITH {DIRTY_SQL},
+    n AS (SELECT (SELECT count(*) FROM features) AS clean)
+    SELECT 'clean' AS table_name, true AS passed, clean AS rows_published, clean AS rows_visible FROM n
+    UNION ALL SELECT 'dirty', false, 0, 0 FROM n""")
+def blocked_publish_once(spark, sf_dir):
+    """The same by one pass, each table twice, as by a retry; what readers see of each."""
+    path, names = work_dir(spark, "published"), ["x_1", "x_2", "x_3", "y"]
+    frames = {"clean": features(spark, sf_dir), "dirty": dirty(spark, sf_dir)}
+    outcomes = [(name, *jobs.published_once(df, path, name, names))
+                for _ in range(2) for name, df in frames.items()][2:]
+    shown = slices.read_slices(spark, path, DIRTY_ROW).groupBy("slice").agg(F.count("*").alias("n"))
+    told = spark.createDataFrame(outcomes, "table_name string, passed boolean, rows_published bigint")
+    return (told.join(shown, F.col("table_name") == F.col("slice"), "left")
+            .select("table_name", "passed", "rows_published", F.coalesce("n", F.lit(0)).alias("rows_visible")))
+
+
 # --- Change capture, staged validation and audits ------------------------------------
 
 def spoiled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -781,19 +815,34 @@ def cdc_invalid(spark, sf_dir):
     return capture.invalid_changes(_changes(spark, sf_dir), "c_custkey")
 
 
-@query(f"""
+APPLIED_SQL = f"""
     WITH {CHANGES_SQL},
     base AS (SELECT CASE WHEN c_custkey % 41 <> 0 THEN c_custkey END AS c_custkey, c_acctbal FROM customer)
     SELECT c_custkey, c_acctbal FROM latest WHERE op <> 'D'
     UNION ALL
     SELECT c_custkey, c_acctbal FROM base
-    WHERE c_custkey IS NULL OR c_custkey NOT IN (SELECT c_custkey FROM latest)""")
+    WHERE c_custkey IS NULL OR c_custkey NOT IN (SELECT c_custkey FROM latest)"""
+
+
+@query(APPLIED_SQL)
 def cdc_apply(spark, sf_dir):
     key = F.when(F.col("c_custkey") % 41 != 0, F.col("c_custkey")).alias("c_custkey")
     base = table(spark, sf_dir, "customer").select(key, "c_acctbal")
     return capture.apply_changes(base, _changes(spark, sf_dir), "c_custkey", ["ts", "event_id"])
 
 
+@query(APPLIED_SQL)
+def cdc_apply_buckets(spark, sf_dir):
+    """Kept as buckets, of which only those that have changes are rewritten; applied twice."""
+    path = work_dir(spark, "buckets")
+    key = F.when(F.col("c_custkey") % 41 != 0, F.col("c_custkey")).alias("c_custkey")
+    base = table(spark, sf_dir, "customer").select(key, "c_acctbal")
+    capture.write_buckets(base, path, "c_custkey", 16)
+    for _ in range(2):
+        capture.apply_to_buckets(spark, path, base.schema, _changes(spark, sf_dir), "c_custkey", ["ts", "event_id"])
+    return capture.read_buckets(spark, path, base.schema).drop("slice")
+
+
 @query(ACCEPTED_SQL)
 def split_valid(spark, sf_dir):
     return parsing.accepted(parsing.sort_messages(messages(spark, sf_dir)))
@@ -831,6 +880,69 @@ def reconcile_counts(spark, sf_dir):
     return audit.reconcile_counts(raw, clean, ["coin", "day"])
 
 
+# Orders as two systems have them: some rows are missing, changed, there twice or new, and
+# every seventh has no key.
+ORDERS_SQL = """
+    orders_left AS (
+        SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey, o_totalprice FROM orders),
+    orders_right AS (
+        SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey,
+               o_totalprice + CASE WHEN o_orderkey % 1009 = 5 THEN 1 ELSE 0 END AS o_totalprice
+        FROM orders, range(2) AS t (n) WHERE o_orderkey % 1013 <> 9 AND (n = 0 OR o_orderkey % 1019 = 4)
+        UNION ALL SELECT -o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 1021 = 6)"""
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    n = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    key = F.when(n % 7 != 0, n).alias("o_orderkey")
+    times = F.sequence(F.lit(1), F.when(n % 1019 == 4, 2).otherwise(1))
+    price = F.col("o_totalprice") + F.when(n % 1009 == 5, 1).otherwise(0)
+    right = (orders.where(n % 1013 != 9).select(key, "o_custkey", price.alias("o_totalprice"), F.explode(times))
+             .drop("col").unionByName(orders.where(n % 1021 == 6).withColumn("o_orderkey", -n)))
+    return orders.select(key, "o_custkey", "o_totalprice"), right
+
+
+@query(f"""
+    WITH {ORDERS_SQL},
+    counts AS (
+        SELECT o_orderkey, sum(l) AS l, sum(r) AS r FROM (
+            SELECT *, 1 AS l, 0 AS r FROM orders_left UNION ALL SELECT *, 0, 1 FROM orders_right)
+        GROUP BY o_orderkey, o_custkey, o_totalprice)
+    SELECT o_orderkey, CASE WHEN sum(greatest(r - l, 0)) = 0 THEN 'missing' WHEN sum(greatest(l - r, 0)) = 0 THEN 'extra'
+                            ELSE 'changed' END AS status,
+           sum(greatest(l - r, 0))::BIGINT AS left_only, sum(greatest(r - l, 0))::BIGINT AS right_only
+    FROM counts WHERE l <> r GROUP BY o_orderkey""")
+def reconcile_rows(spark, sf_dir):
+    """Both tables are kept as buckets by key, so that only those that differ are compared."""
+    path, sides = work_dir(spark, "reconcile"), []
+    for name, df in zip(("left", "right"), _orders(spark, sf_dir)):
+        capture.write_buckets(df, f"{path}/{name}", "o_orderkey", 64)
+        sides.append(capture.read_buckets(spark, f"{path}/{name}", df.schema))
+    return audit.reconcile_rows(*sides, "o_orderkey", bucket="slice")
+
+
+@query("""
+    WITH facts AS (
+        SELECT event_id, CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS k,
+               CASE WHEN event_id % 41 <> 0 THEN ts END AS seen FROM events),
+    known AS (
+        SELECT k, date_trunc('minute', ts) AS since, max((value, event_id)) AS d
+        FROM (SELECT *, CASE WHEN event_id % 9 = 0 THEN -1 WHEN event_id % 8 <> 0 THEN user_id END AS k FROM events)
+        WHERE event_type = 'purchase' AND k IS NOT NULL GROUP BY ALL)
+    SELECT event_id, facts.k, seen, known.d[1] AS level, known.d[2] AS level_id
+    FROM facts ASOF LEFT JOIN known ON facts.k = known.k AND seen >= since""")
+def enrich_as_of(spark, sf_dir):
+    """Events beside the last purchase of their user; a third of them has one user."""
+    events, n = table(spark, sf_dir, "events"), F.col("event_id")
+    facts = events.select("event_id", F.when(n % 37 != 0, F.when(n % 3 == 0, -1).otherwise(F.col("user_id"))).alias("k"),
+                          F.when(n % 41 != 0, F.col("ts")).alias("seen"))
+    known = events.where("event_type = 'purchase'").select(
+        F.when(n % 9 == 0, -1).otherwise(F.when(n % 8 != 0, F.col("user_id"))).alias("k"),
+        F.date_trunc("minute", "ts").alias("since"), F.col("value").alias("level"), n.alias("level_id"))
+    return audit.enrich_as_of(facts, known, "k", "seen", "since", ["level", "level_id"])
+
+
 @query(f"""
     WITH {SPOILED_SQL},
     stats AS (

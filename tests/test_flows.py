@@ -82,7 +82,7 @@ def test_only_the_declared_columns_are_written(spark, raw, folder):
     lambda df: df, lambda df: df.limit(0), lambda df: df.drop("x_2"),
     lambda df: df.na.drop().withColumn("y", F.col("y").cast("int"))])
 def test_no_training_on_a_table_that_fails_its_checks(spark, raw, folder, monkeypatch, spoil):
-    monkeypatch.setattr(jobs, "fit_linear", lambda *_: pytest.fail("fitted"))
+    monkeypatch.setattr(jobs, "fit_moments", lambda *_: pytest.fail("fitted"))
     with pytest.raises(quality.CheckFailed):
         jobs.training_job(spoil(raw), folder, AT)
 
