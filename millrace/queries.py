@@ -13,15 +13,15 @@ from millrace.contracts import (ALPHA, BETAS, COPIED_ROWS, FEATURES_TABLE, NULL_
 from millrace.functions.messages import iso_utc, message_json
 from millrace.functions.numbers import time_order
 from millrace.operators import audit, capture, change, cleaning, parsing, profiling, quality
-from millrace.operators import regression, sampling
+from millrace.operators import fields, regression, sampling, sketches
 from millrace.plans import jobs
 from millrace.session import work_dir
 from millrace.sinks import catalog, slices
-from millrace.sinks.files import append_run, staged
+from millrace.sinks.files import append_run, read_runs, staged
 from millrace.sources.streams import parquet_stream
 from millrace.sources.synthetic import ROW_KEY, linear_rows, pollute
 from millrace.sources.tables import scan_parquet
-from millrace.streaming import ingest, rollup
+from millrace.streaming import anomalies, dedup, ingest, rollup
 from millrace.streaming.append import start_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1006,6 +1006,201 @@ def anomaly_flags(spark, sf_dir):
     return _rounded(audit.anomaly_flags(events, "event_type", "value"), 4, "z_score")
 
 
+def in_time_order(df: DataFrame, path: str, time: str, parts: int = 4) -> DataFrame:
+    """The rows as a stream of so many files, one after the other by time; one to a batch.
+
+    Rows without a time are in the first one.
+    """
+    spread = df.agg(F.min(time), F.max(time)).first()
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    low, high = (F.unix_micros(F.lit(v).cast("timestamp")) for v in spread)
+    part = F.coalesce(F.floor((micros - low) * parts / (high - low + 1)), F.lit(0))
+    for k in range(parts):
+        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return parquet_stream(df.sparkSession, path, df.schema, max_files=1)
+
+
+@query(f"""
+    WITH {SPOILED_SQL},
+    days AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day FROM spoiled),
+    before AS (
+        SELECT days.event_type, days.day, avg(v) AS mean, stddev_samp(v) AS spread
+        FROM days JOIN spoiled AS s ON s.event_type IS NOT DISTINCT FROM days.event_type AND CAST(s.ts AS DATE) < days.day
+        GROUP BY ALL),
+    scored AS (
+        SELECT s.*, (v - mean) / nullif(spread, 0) AS z FROM spoiled AS s
+        LEFT JOIN before ON s.event_type IS NOT DISTINCT FROM before.event_type AND CAST(s.ts AS DATE) = before.day)
+    SELECT event_id, event_type, value, round(z, 4) AS z_score, coalesce(abs(z) > 3, false) AS is_anomaly FROM scored""")
+def anomaly_stream(spark, sf_dir):
+    """Scored in four batches against the days before, of which only moments are kept."""
+    path = work_dir(spark, "anomalies")
+    stream = in_time_order(spoiled(spark, sf_dir), f"{path}/in", "ts")
+    anomalies.start_anomalies(stream, f"{path}/out", f"{path}/checkpoint", "ts", "event_type", "value").awaitTermination()
+    out = anomalies.read_scored(spark, f"{path}/out", stream.schema).select("event_id", "event_type", "value", "z_score", "is_anomaly")
+    return _rounded(out, 4, "z_score")
+
+
+def _resent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in four deliveries, with the delivery of each: some are sent twice in one, some
+    again in the next, some of the first again in the last, and a few only there, too late."""
+    events, n = table(spark, sf_dir, "events"), F.col("event_id")
+    spread = events.agg(F.min("ts"), F.max("ts")).first()
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = (F.unix_micros(F.lit(v).cast("timestamp")) for v in spread)
+    own = F.floor((micros - low) * 4 / (high - low + 1)).cast("int")
+    held = (own == 0) & (n % 13 == 1)
+    sent = F.when(held, F.array(F.lit(3))).otherwise(F.concat(
+        F.array(own), F.when(n % 5 == 0, F.array(own)).otherwise(F.array().cast("array<int>")),
+        F.when((n % 7 == 0) & (own < 3), F.array(own + 1)).otherwise(F.array().cast("array<int>")),
+        F.when((n % 11 == 0) & (own == 0), F.array(F.lit(3))).otherwise(F.array().cast("array<int>"))))
+    return events.select("*", F.explode(sent).alias("delivery"))
+
+
+RESENT_SQL = """
+    placed AS (
+        SELECT *, floor((epoch_us(ts) - lo) * 4.0 / (hi - lo + 1))::INTEGER AS own
+        FROM events, (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events)),
+    marked AS (SELECT *, own = 0 AND event_id % 13 = 1 AS held FROM placed)"""
+
+
+def _deduplicated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dedup.DedupReport]:
+    path, rows = work_dir(spark, "dedup"), staged(_resent(spark, sf_dir), "resent")
+    for k in range(4):
+        rows.where(F.col("delivery") == k).drop("delivery").coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = parquet_stream(spark, f"{path}/in", rows.drop("delivery").schema, max_files=1)
+    run = dedup.start_dedup(stream, f"{path}/out", f"{path}/checkpoint", "event_id", "ts", "1 hour")
+    run.awaitTermination()
+    return scan_parquet(spark, f"{path}/out"), dedup.dedup_report(run.recentProgress)
+
+
+@query(f"""
+    WITH {RESENT_SQL}
+    SELECT event_id, ts, user_id, event_type, value, props FROM marked WHERE NOT held""")
+def stream_dedup(spark, sf_dir):
+    """Four batches with repeats in them and across them, and late rows, which are left out."""
+    return _deduplicated(spark, sf_dir)[0]
+
+
+@query(f"""
+    WITH {RESENT_SQL},
+    n AS (SELECT count(*) FILTER (WHERE NOT held) AS kept, count(*) FILTER (WHERE held OR (own = 0 AND event_id % 11 = 0)) AS late,
+                 count(*) FILTER (WHERE NOT held AND event_id % 5 = 0)
+                 + count(*) FILTER (WHERE NOT held AND event_id % 7 = 0 AND own < 3) AS repeated FROM marked)
+    SELECT kept + late + repeated AS rows_in, kept AS rows_kept, repeated AS rows_repeated, late AS rows_late,
+           0::BIGINT AS rows_untimed FROM n""")
+def stream_dedup_report(spark, sf_dir):
+    report = _deduplicated(spark, sf_dir)[1]
+    names = ["rows_in", "rows_kept", "rows_repeated", "rows_late", "rows_untimed"]
+    return spark.createDataFrame([tuple(getattr(report, name) for name in names)],
+                                 ", ".join(f"{name} bigint" for name in names))
+
+
+@query(f"""
+    WITH {SPOILED_SQL},
+    placed AS (
+        SELECT event_type, date_trunc('month', ts) + INTERVAL 10 DAY * least(2, (day(ts) - 1) // 10) AS period, v FROM spoiled),
+    known AS (
+        SELECT *, row_number() OVER (PARTITION BY event_type, period ORDER BY v) AS r,
+               count(*) OVER (PARTITION BY event_type, period) AS n, min(period) OVER (PARTITION BY event_type) AS base
+        FROM placed WHERE v IS NOT NULL),
+    edges AS (
+        SELECT event_type, i, min(v) AS edge FROM known, range(1, 10) AS cut (i)
+        WHERE period = base AND r >= ceil(round(n * i / 10, 6)) GROUP BY ALL),
+    groups AS (SELECT DISTINCT event_type, period, n, base FROM known),
+    ranks AS (
+        SELECT g.event_type, g.period, g.n, g.base, e.i,
+               (count(*) FILTER (WHERE k.v <= e.edge) * {sketches.RANK_STEPS} // g.n) / {sketches.RANK_STEPS}.0 AS rank
+        FROM groups AS g JOIN edges AS e ON e.event_type IS NOT DISTINCT FROM g.event_type
+        JOIN known AS k ON k.event_type IS NOT DISTINCT FROM g.event_type AND k.period = g.period
+        GROUP BY g.event_type, g.period, g.n, g.base, e.i
+        UNION ALL SELECT event_type, period, n, base, 10, 1.0 FROM groups),
+    shares AS (
+        SELECT event_type, period, n, base, i, greatest(rank - coalesce(lag(rank) OVER (
+            PARTITION BY event_type, period ORDER BY i), 0), 1e-4)::DOUBLE AS share FROM ranks)
+    SELECT s.period, s.event_type AS key, s.n AS n_values, round(sum((s.share - r.share) * ln(s.share / r.share)), 6) AS psi
+    FROM shares AS s JOIN shares AS r ON r.event_type IS NOT DISTINCT FROM s.event_type AND r.period = r.base AND r.i = s.i
+    GROUP BY ALL""")
+def drift_quantiles(spark, sf_dir):
+    """Ten days against the first ten, by bins from the sketches of three runs. The sketches
+    are exact on the tables that this is compared on, as their size exceeds the groups."""
+    path, rows = work_dir(spark, "quantiles"), spoiled(spark, sf_dir)
+    third = F.least(F.lit(2), F.floor((F.day("ts") - 1) / 10)).cast("int")
+    period = (F.date_trunc("month", "ts") + F.make_dt_interval(days=third * 10)).cast("timestamp_ntz")
+    for run in range(3):
+        part = rows.where(F.col("event_id") % 3 == run)
+        append_run(sketches.quantile_sketches(part, period, "event_type", "value", 65535), path, f"run-{run}")
+    found = sketches.quantile_stability(sketches.merged_quantiles(read_runs(spark, path)))
+    return _rounded(found.select("period", "key", "n_values", "psi"), 6, "psi")
+
+
+@query(f"""
+    WITH {SPOILED_SQL}
+    SELECT 'event_type' AS column_name, count(*) AS n_rows, count(*) - count(event_type) AS n_missing,
+           count(DISTINCT event_type) AS n_distinct, string_agg(DISTINCT event_type, ',' ORDER BY event_type) AS listed,
+           true AS within FROM spoiled
+    UNION ALL SELECT 'user_id', count(*), 0, NULL, NULL, true FROM spoiled
+    UNION ALL SELECT 'value', count(*), count(*) - count(v), NULL, NULL, true FROM spoiled
+    UNION ALL SELECT 'event_id', count(*), 0, NULL, NULL, true FROM spoiled""")
+def distinct_sketch(spark, sf_dir):
+    """Columns of few and of many values, over three runs; estimates against exact counts."""
+    path, names = work_dir(spark, "distinct"), ["event_type", "user_id", "value", "event_id"]
+    rows = spoiled(spark, sf_dir)
+    for run in range(3):
+        append_run(sketches.distinct_sketches(rows.where(F.col("event_id") % 3 == run), names, listed=10), path, f"run-{run}")
+    merged = sketches.merged_distincts(read_runs(spark, path), listed=10)
+    exact = rows.agg(*[F.count_distinct(F.nanvl(F.col(c), F.lit(None)) if c == "value" else F.col(c)).alias(c)
+                       for c in names])
+    true = exact.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("truth")) for c in names])))
+    near = F.abs(F.col("n_distinct") - F.col("truth")) <= F.ceil(F.col("truth") * sketches.DISTINCT_ERROR)
+    return merged.join(true, F.col("column_name") == F.col("name")).select(
+        "column_name", "n_rows", "n_missing", F.when(F.col("values").isNotNull(), F.col("n_distinct")).alias("n_distinct"),
+        F.array_join("values", ",").alias("listed"), near.alias("within"))
+
+
+# Messages whose fields change by the hour, beside what is expected of them.
+FIELD_CONTRACT = {"coin": Column("string"), "usd": Column("float"), "eur": Column("float"), "volume": Column("int")}
+
+FIELD_MESSAGE = {
+    "coin": "',\"coin\":\"' || event_type || '\"'",
+    "usd": "',\"usd\":' || CASE WHEN h % 6 = 5 AND event_id % 10 = 0 THEN '\"x\"' WHEN event_id % 2 = 0 "
+           "THEN event_id || '' ELSE event_id || '.5' END",
+    "eur": "CASE WHEN h % 8 <> 3 THEN ',\"eur\":' || event_id || '.25' ELSE '' END",
+    "venue": "CASE WHEN h % 12 = 7 THEN ',\"venue\":{\"id\":1}' ELSE '' END",
+    "note": "CASE WHEN event_id % 50 = 0 THEN ',\"note\":null' ELSE '' END",
+}
+FIELD_TEXT = ("CASE WHEN event_id % 97 = 0 THEN '#' ELSE '{' || substr(" + " || ".join(FIELD_MESSAGE.values()) + ", 2) || '}' END")
+
+
+@query(f"""
+    WITH texts AS (
+        SELECT date_trunc('hour', ts) AS period, {FIELD_TEXT} AS text FROM (SELECT *, hour(ts)::BIGINT AS h FROM events)),
+    objects AS (SELECT period, text::JSON AS doc FROM texts WHERE json_valid(text)),
+    parts AS (SELECT period, field, json_type(doc, '$.' || field) AS t
+              FROM objects, LATERAL (SELECT unnest(json_keys(doc)) AS field)),
+    found AS (
+        SELECT period, field, count(*) AS n, list_distinct(list(CASE
+            WHEN t IN ('UBIGINT', 'BIGINT') THEN 'int' WHEN t = 'DOUBLE' THEN 'float' WHEN t = 'VARCHAR' THEN 'string'
+            ELSE lower(t) END)) AS kinds FROM parts GROUP BY ALL),
+    typed AS (
+        SELECT period, field, n, CASE WHEN len(kinds) = 1 THEN kinds[1]
+            WHEN len(list_filter(kinds, lambda k: k NOT IN ('int', 'float'))) = 0 THEN 'float' ELSE 'mixed' END AS observed
+        FROM found),
+    expected AS (
+        SELECT period, field, expected FROM (SELECT DISTINCT period FROM texts),
+               (VALUES ('coin', 'string'), ('usd', 'float'), ('eur', 'float'), ('volume', 'int')) AS c (field, expected))
+    SELECT coalesce(typed.period, expected.period) AS period, coalesce(typed.field, expected.field) AS field, expected, observed,
+           coalesce(n, 0) AS n_messages,
+           CASE WHEN expected IS NULL THEN 'new' WHEN observed IS NULL THEN 'vanished'
+                WHEN observed IN (expected, 'null') OR (expected = 'float' AND observed = 'int') THEN 'ok'
+                ELSE 'retyped' END AS status
+    FROM typed FULL JOIN expected ON typed.period = expected.period AND typed.field = expected.field""")
+def message_drift(spark, sf_dir):
+    texts = table(spark, sf_dir, "events").withColumn("h", F.hour("ts").cast("bigint")).select(
+        "ts", F.expr(FIELD_TEXT).alias("value"))
+    found = fields.message_fields(texts, "value", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    return fields.field_drift(found, FIELD_CONTRACT)
+
+
 BARS_SQL = f"""
     WITH {SPOILED_SQL},
     bars AS (
