@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm import words
-from millrace.llm.arrow import only, text_slices
+from millrace.llm.arrow import text_slices
 from millrace.sinks.files import staged
 
 SHINGLE = 5
@@ -87,25 +87,29 @@ def set_keys(values: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
             for a, b in zip(bounds.tolist(), bounds[1:].tolist())]
 
 
-def _hashed(docs: DataFrame, with_sketch: bool) -> DataFrame:
-    """doc_id, key and n_shingles of every row, and its sketch."""
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, digest of the text, and text. Id and digest together name a text."""
+    text = F.coalesce(docs["text"], F.lit(""))
+    return docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("digest"), text.alias("text"))
+
+
+def _hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, digest, key, n_shingles and sketch of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, end, data, offsets in text_slices(batch):
                 values, bounds = words.shingles(data, offsets, SHINGLE)
-                columns = [batch.column("doc_id").slice(first, end - first),
-                           pa.array(set_keys(values, bounds), type=pa.binary()),
-                           pa.array(np.diff(bounds).astype(np.int32))]
-                if with_sketch:
-                    columns.append(pa.array([row.tobytes() for row in sketches(values, bounds)],
-                                            type=pa.binary()))
                 yield pa.RecordBatch.from_arrays(
-                    columns, names=["doc_id", "key", "n_shingles", "sketch"][:len(columns)])
+                    [*[batch.column(c).slice(first, end - first) for c in ("doc_id", "digest")],
+                     pa.array(set_keys(values, bounds), type=pa.binary()),
+                     pa.array(np.diff(bounds).astype(np.int32)),
+                     pa.array([row.tobytes() for row in sketches(values, bounds)], type=pa.binary())],
+                    names=["doc_id", "digest", "key", "n_shingles", "sketch"])
 
-    return only(docs, "doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, key binary, n_shingles int" + ", sketch binary" * with_sketch)
+    return _texts(docs).mapInArrow(
+        run, f"doc_id {kind}, digest binary, key binary, n_shingles int, sketch binary")
 
 
 # --- Buckets and blocks ----------------------------------------------------------------
@@ -171,6 +175,11 @@ def surviving(sketch: np.ndarray, block: np.ndarray, band: int, low: int, high:
     return np.stack([one, two], axis=1)[here & ~earlier].astype("<u4")
 
 
+def _rep(kind: str) -> str:
+    """What stands for a class: the least id, one without an id last, and its text."""
+    return f"struct<absent:boolean,doc_id:{kind},digest:binary>"
+
+
 def _candidates(pairs: DataFrame, kind: str, threshold: float) -> DataFrame:
     """Of each block pair, the members in a pair that stays, and those pairs."""
     least = least_agreements(threshold)
@@ -196,7 +205,7 @@ def _candidates(pairs: DataFrame, kind: str, threshold: float) -> DataFrame:
                     names=["task", "nth", "key", "rep", "size", "pairs"])
 
     return pairs.mapInArrow(
-        run, f"task string, nth int, key binary, rep {kind}, size long, pairs binary")
+        run, f"task string, nth int, key binary, rep {_rep(kind)}, size long, pairs binary")
 
 
 # --- Verification ----------------------------------------------------------------------
@@ -240,12 +249,24 @@ def roots(n: int, pairs: np.ndarray) -> np.ndarray:
     return np.array([find(x) for x in range(n)])
 
 
-def _links(candidates: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+def _one_text_each(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(text_id, text_digest, text), once for each id and digest.
+
+    Only rows that are repeated, as the hashes of all rows have told, are reduced to one; each
+    task does so before it sends them.
+    """
+    texts = _texts(docs).withColumnsRenamed({"doc_id": "text_id", "digest": "text_digest"})
+    same = (texts["text_id"].eqNullSafe(repeated["doc_id"]) & (texts["text_digest"] == repeated["digest"]))
+    return texts.join(repeated, same, "left_anti").union(
+        texts.join(repeated, same, "left_semi").dropDuplicates(["text_id", "text_digest"]))
+
+
+def _links(candidates: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Of each class in each block pair: (key, links, peer): documents it is linked to, and
     a class that it hangs together with."""
-    text = docs.select(F.col("doc_id").alias("text_id"), "text")
-    # Ids may repeat with other texts; the text whose shingles have the key is the one.
-    tasks = (candidates.join(text, F.col("rep").eqNullSafe(F.col("text_id")))
+    # By id and digest, as rows without an id and rows that share one are no single text.
+    same = candidates["rep.doc_id"].eqNullSafe(texts["text_id"]) & (candidates["rep.digest"] == texts["text_digest"])
+    tasks = (candidates.join(texts, same)
              .groupBy("task").agg(F.collect_list(F.struct("nth", "key", "size", "text", "pairs"))
                                   .alias("members")).select("members"))
 
@@ -323,45 +344,77 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id, copy_of and n_links of every row.
-
-    Words are runs of letters and digits in lower case; a document's shingles are its
-    distinct runs of five words, or all its words if it has fewer. Documents are linked when
-    the Jaccard similarity of their shingles is at least ``threshold``. ``n_links`` counts
-    the other documents that a document is linked to, ``class_id`` is the least id of all
-    documents that hang together over links, ``copy_of`` the least id of those with the same
-    shingles.
-
-    A NULL or empty text, or one without words, has no shingles and no links, and is a class
-    of its own. Repeated rows count as documents and are linked. NULL ids are linked like
-    others, and less than them only where all ids of a class are NULL. Other columns are
-    ignored. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Every row's doc_id, digest, key, class, copy_of and n_links, where class and copy_of are
+    the rows that stand for the group and for those with the same shingles; and the (doc_id,
+    digest) of rows that are there several times."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = staged(_hashed(docs, False), "ngram-rows")
-    sizes = rows.filter("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"))
-    sketched = _hashed(docs, True).filter("key IS NOT NULL")
+    # Each text is hashed once; its row of 350 bytes is read from here on.
+    rows = staged(_hashed(docs), "ngram-rows")
+    repeated = staged(rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                      .select("doc_id", "digest"), "ngram-repeated")
+    own = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "digest")
     # Sketches of copies are equal: one of each task that read some is shuffled.
-    classes = staged(
-        sketched.groupBy("key").agg(F.min("sketch").alias("sketch"), F.min("n_shingles").alias("n_shingles"))
-        .join(sizes, "key"), "ngram-classes")
+    classes = staged(rows.filter("key IS NOT NULL").groupBy("key").agg(
+        F.min("sketch").alias("sketch"), F.min("n_shingles").alias("n_shingles"), F.min(own).alias("rep"),
+        F.count(F.lit(1)).alias("size")), "ngram-classes")
     candidates = staged(_candidates(_block_pairs(classes), kind, threshold), "ngram-candidates")
-    links = staged(_links(candidates, docs, threshold), "ngram-links")
+    links = staged(_links(candidates, _one_text_each(docs, repeated), threshold), "ngram-links")
     numbered = components(links.select(F.col("key").alias("u"), F.col("peer").alias("v")))
     numbered = staged(numbered, "ngram-components")
     least = (numbered.join(classes.select(F.col("key").alias("node"), "rep"), "node")
-             .groupBy("label").agg(F.min("rep").alias("class_id")))
+             .groupBy("label").agg(F.min("rep").alias("class")))
     of_class = (links.groupBy("key").agg(F.sum("links").alias("links"))
                 .join(numbered.withColumnRenamed("node", "key"), "key").join(least, "label")
-                .select("key", "links", "class_id"))
+                .select("key", "links", "class"))
     known = staged(
         classes.select("key", "rep", "size").join(of_class, "key", "left")
         .filter("links IS NOT NULL OR size > 1")
-        .select("key", F.col("rep").alias("copy_of"), F.coalesce("class_id", "rep").alias("class_id"),
+        .select("key", F.col("rep").alias("copy_of"), F.coalesce("class", "rep").alias("class"),
                 (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "ngram-known")
-    return (rows.join(known, "key", "left")
-            .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-                    F.coalesce("copy_of", "doc_id").alias("copy_of"),
-                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return rows.join(known, "key", "left").select(
+        "doc_id", "digest", "key", F.coalesce("class", own).alias("class"), F.coalesce("copy_of", own).alias("copy_of"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links")), repeated
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id, copy_of and n_links of every row.
+
+    Words are runs of letters and digits in lower case; a document's shingles are its
+    distinct runs of five words, or all its words if it has fewer. Documents are linked when
+    the Jaccard similarity of their shingles is at least ``threshold``. ``n_links`` counts
+    the other documents that a document is linked to, ``class_id`` is the least id of all
+    documents that hang together over links, ``copy_of`` the least id of those with the same
+    shingles.
+
+    A NULL or empty text, or one without words, has no shingles and no links, and is a class
+    of its own. Repeated rows count as documents and are linked. Rows that share an id, and
+    those without one, are told apart by their texts; a class id is NULL only where all ids of
+    the class are. Other columns are ignored. An empty table gives no rows.
+    """
+    found = _grouped(docs, threshold)[0]
+    return found.select("doc_id", F.col("class.doc_id").alias("class_id"), F.col("copy_of.doc_id").alias("copy_of"),
+                        "n_links")
+
+
+def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The table with one row of each group of near duplicates, all columns as they came.
+
+    The row with the least id stays, one without an id only where no row of the group has
+    one; of several with that id, the one whose text has the least digest, and of equal rows
+    one. Rows without a word are no near duplicates of anything and stay.
+    """
+    found, repeated = _grouped(docs, threshold)
+    own = F.struct(F.col("doc_id").isNull().alias("absent"), "doc_id", "digest")
+    # Those that go are the fewer, so that the texts are shuffled only if even they are many.
+    gone = staged(found.filter(F.col("key").isNotNull() & (F.col("class") != own))
+                  .select(F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")).distinct(), "near-gone")
+    wordless = found.filter("key IS NULL").select(F.col("doc_id").alias("of_id"), F.col("digest").alias("of_digest"))
+    again = staged(repeated.join(wordless, F.col("doc_id").eqNullSafe(F.col("of_id"))
+                                 & (F.col("digest") == F.col("of_digest")), "left_anti"), "near-again")
+    named = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("__id"),
+                        F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("__digest"))
+    left = named.join(gone, F.col("__id").eqNullSafe(F.col("gone_id")) & (F.col("__digest") == F.col("gone_digest")),
+                      "left_anti")
+    same = F.col("__id").eqNullSafe(again["doc_id"]) & (F.col("__digest") == again["digest"])
+    return left.join(again, same, "left_anti").select("__row.*").union(
+        left.join(again, same, "left_semi").dropDuplicates(["__id", "__digest"]).select("__row.*"))
