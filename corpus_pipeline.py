@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import exact_dedup, language, ngram_join, packing, quality
 from millrace.llm.queries import TOKENIZER, language_network, quality_model, table
@@ -38,12 +38,9 @@ def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_contents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that hang together as near duplicates, the one with the least id."""
-    ids = ngram_join.near_duplicates(docs).groupBy(F.col("doc_id").alias("gone_id")).agg(
-        F.bool_or(F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("stays"))
-    # Those that go are the fewer, so that the texts are shuffled only if even they are many.
-    gone = staged(ids.filter("NOT stays").select("gone_id"), "near-gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """Of documents that hang together as near duplicates, the one with the least id; rows that
+    share an id or have none are told apart by their texts. Rows without a word stay."""
+    return ngram_join.without_near_duplicates(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
