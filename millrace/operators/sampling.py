@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from hashlib import md5
+from itertools import accumulate
 from math import ceil, log2, sqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -12,6 +15,8 @@ from millrace.sinks.files import staged
 DRAW = "draw"
 # Rows of a bucket, about; a draw looks at the rows of one bucket.
 BUCKET_ROWS = 256
+# Draws and buckets up to which the driver places the draws; beyond, tables do.
+FEW_DRAWS, FEW_BUCKETS = 1_000, 1 << 16
 
 
 def _number(text: Column, digits: int) -> Column:
@@ -49,10 +54,12 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     buckets by a digest of their key; the draw goes to the bucket that has its position, and
     takes the row there with the least digest of draw and key. So each row is equally likely,
     a rerun draws the same rows, and the first draws are those of a smaller sample. An empty
-    input gives no rows. A NULL key is an error; keys must not occur twice.
+    input gives no rows. A NULL key is an error, and so is one that occurs twice and is drawn.
 
-    The buckets are as many as the rows ask for. Their sizes are added up in a square, one
-    row of it and then one column, so that no task handles more than its side.
+    The buckets are as many as the rows ask for. For few draws from a table of some million
+    rows their sizes go to the driver, which places the draws. Otherwise sizes are added up in
+    a square, one row of it and then one column, so that no task handles more than its side.
+    Either way all rows give their keys, and only those of the buckets drawn are looked at.
     """
     if n < 0:
         raise ValueError("a sample cannot have a negative size")
@@ -66,21 +73,62 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     side = side_of(total["rows"])
     bucket = _number(_text(str(seed), F.col("__key")), 8) % (side * side)
     placed = keys.select("__key", bucket.alias("bucket"))
-    sizes = staged(placed.groupBy("bucket").agg(F.count("*").alias("n")).select(
-        F.floor(F.col("bucket") / side).alias("high"), (F.col("bucket") % side).alias("low"), "n"),
-        "sample-buckets")
-    tops = _cumulative(sizes.groupBy("high").agg(F.sum("n").alias("n")), "high", None)
-    inside = _cumulative(sizes, "low", "high")
-    position = _number(_text(str(seed), F.col(DRAW), "position"), 15) % total["rows"]
-    draws = (df.sparkSession.range(n).select(F.col("id").cast("int").alias(DRAW))
-             .withColumn("position", position).withColumn("tops", tops.scalar())
-             .withColumn("top", _reached(F.col("tops"), F.col("position")))
-             .select(DRAW, F.col("top.high").alias("high"),
-                     (F.col("position") - F.col("top.end") + F.col("top.n")).alias("position"))
-             .join(inside, "high")
-             .select(DRAW, (F.col("high") * side + _reached(F.col("parts"), F.col("position"))["low"])
-                     .alias("bucket")))
+    sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"))
+    if n <= FEW_DRAWS and side * side <= FEW_BUCKETS:
+        draws = _placed_here(sizes, n, seed, total["rows"])
+        near = F.broadcast(df.sparkSession.createDataFrame(draws, f"{DRAW} int, bucket bigint"))
+        # The buckets as constants, so that the keys of others go no further.
+        placed = placed.where(F.col("bucket").isin(sorted({bucket for _, bucket in draws})))
+        chosen = _chosen(placed, near, seed).collect()
+        _refuse_repeated(max(row["times"] for row in chosen), key)
+        wanted = df.where(column(key).isin(sorted({row["__key"] for row in chosen})))
+        kept = F.broadcast(df.sparkSession.createDataFrame(
+            [(row[DRAW], row["__key"]) for row in chosen], _types(df, key)))
+    else:
+        chosen = staged(_chosen(placed, staged(_placed(sizes, df, side, n, seed, total["rows"]), "sample-draws"),
+                                seed), "sample-keys")
+        _refuse_repeated(chosen.agg(F.max("times")).first()[0], key)
+        wanted, kept = df, chosen.drop("times")
+    return (wanted.join(kept, column(key) == F.col("__key"))
+            .select(DRAW, *[column(c) for c in df.columns]))
+
+
+def _types(df: DataFrame, key: str) -> str:
+    return f"{DRAW} int, __key {df.select(column(key).alias('k')).schema['k'].dataType.simpleString()}"
+
+
+def _placed_here(sizes: DataFrame, n: int, seed: int, rows: int) -> list[tuple[int, int]]:
+    """The draws with the bucket of each, by the sizes of all buckets."""
+    buckets = sorted((row["bucket"], row["n"]) for row in sizes.collect())
+    ends = list(accumulate(count for _, count in buckets))
+    positions = [int(md5(f"{seed}:{draw}:position".encode()).hexdigest()[:15], 16) % rows for draw in range(n)]
+    return [(draw, buckets[bisect_right(ends, position)][0]) for draw, position in enumerate(positions)]
+
+
+def _placed(sizes: DataFrame, df: DataFrame, side: int, n: int, seed: int, rows: int) -> DataFrame:
+    """The same as tables, for any number of draws and buckets."""
+    square = staged(sizes.select(F.floor(F.col("bucket") / side).alias("high"),
+                                 (F.col("bucket") % side).alias("low"), "n"), "sample-buckets")
+    tops = _cumulative(square.groupBy("high").agg(F.sum("n").alias("n")), "high", None)
+    inside = _cumulative(square, "low", "high")
+    position = _number(_text(str(seed), F.col(DRAW), "position"), 15) % rows
+    return (df.sparkSession.range(n).select(F.col("id").cast("int").alias(DRAW))
+            .withColumn("position", position).withColumn("tops", tops.scalar())
+            .withColumn("top", _reached(F.col("tops"), F.col("position")))
+            .select(DRAW, F.col("top.high").alias("high"),
+                    (F.col("position") - F.col("top.end") + F.col("top.n")).alias("position"))
+            .join(inside, "high")
+            .select(DRAW, (F.col("high") * side + _reached(F.col("parts"), F.col("position"))["low"])
+                    .alias("bucket")))
+
+
+def _chosen(placed: DataFrame, draws: DataFrame, seed: int) -> DataFrame:
+    """The key of each draw, and how often it occurs."""
     rank = F.struct(F.md5(_text(str(seed), F.col(DRAW), F.col("__key")).cast("binary")), "__key")
-    chosen = staged(placed.join(staged(draws, "sample-draws"), "bucket")
-                    .groupBy(DRAW).agg(F.min_by("__key", rank).alias("__key")), "sample-keys")
-    return (df.join(chosen, column(key) == F.col("__key")).select(DRAW, *[column(c) for c in df.columns]))
+    return (placed.groupBy("__key", "bucket").agg(F.count("*").alias("times")).join(draws, "bucket")
+            .groupBy(DRAW).agg(F.min_by("__key", rank).alias("__key"), F.min_by("times", rank).alias("times")))
+
+
+def _refuse_repeated(times: int | None, key: str) -> None:
+    if times and times > 1:
+        raise ValueError(f"{key} does not identify a row")

@@ -6,10 +6,11 @@ from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.contracts import (ALPHA, BETAS, COPIED_ROWS, FEATURES_TABLE, NULL_ROWS, PRICE_ROW,
-                                PRICES_TABLE, REGISTRY_TABLE, TABLES, Column)
+                                PRICES_TABLE, REGISTRY_TABLE, TABLES, Column, contract_of, required_columns)
 from millrace.functions.messages import iso_utc, message_json
 from millrace.functions.numbers import time_order
 from millrace.operators import audit, capture, change, cleaning, parsing, profiling, quality
@@ -21,7 +22,7 @@ from millrace.sinks.files import append_run, read_runs, staged
 from millrace.sources.streams import parquet_stream
 from millrace.sources.synthetic import ROW_KEY, linear_rows, pollute
 from millrace.sources.tables import scan_parquet
-from millrace.streaming import anomalies, dedup, ingest, rollup
+from millrace.streaming import anomalies, dedup, ingest, managed, rollup
 from millrace.streaming.append import start_append
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -172,6 +173,52 @@ def stream_ingest(spark, sf_dir):
     return ingest.read_accepted(spark, _ingested(spark, sf_dir))
 
 
+def _managed(spark: SparkSession, sf_dir: str) -> str:
+    """Events in four batches into the managed table, compacted after two of them and again."""
+    path, batches = work_dir(spark, "managed"), []
+    stream = in_time_order(table(spark, sf_dir, "events"), f"{path}/in", "ts")
+
+    def poll(source: DataFrame) -> None:
+        managed.start_managed(as_messages(source), f"{path}/rows", f"{path}/checkpoint", interval=None,
+                              on_batch=batches.append).awaitTermination()
+        managed.compact(spark, f"{path}/rows")
+    poll(stream)
+    in_time_order(table(spark, sf_dir, "events").where("event_id % 4 = 0"), f"{path}/in", "ts", 2)
+    poll(stream)
+    return f"{path}/rows"
+
+
+SENT_TWICE_SQL = f"""
+    {SENT_SQL},
+    twice AS (SELECT * FROM sent UNION ALL SELECT * FROM sent WHERE event_id % 4 = 0)"""
+
+
+@query(f"""
+    WITH {SENT_TWICE_SQL}
+    SELECT coin, usd, eur, ts AS event_timestamp, true AS has_insert_time FROM twice WHERE k NOT IN ('0', '1', '2')""")
+def stream_managed(spark, sf_dir):
+    """Six batches in a table with keys and insert times, compacted twice."""
+    return managed.read_managed(spark, _managed(spark, sf_dir)).select(
+        *PRICE_ROW.names, F.col("inserted_at").isNotNull().alias("has_insert_time"))
+
+
+@query(f"""
+    WITH {SENT_TWICE_SQL},
+    n AS (SELECT count(*) AS rows_in, count(*) FILTER (WHERE k NOT IN ('0', '1', '2')) AS kept FROM twice)
+    SELECT kept AS rows_accepted, kept AS distinct_ids, true AS in_order, rows_in, rows_in - kept AS rows_rejected, 2 AS compactions
+    FROM n""")
+def stream_managed_ids(spark, sf_dir):
+    """Keys occur once, and ascend from batch to batch, as rows of a later time are in a later one."""
+    path = _managed(spark, sf_dir)
+    rows = managed.read_managed(spark, path)
+    ids = rows.agg(F.count("*").alias("rows_accepted"), F.count_distinct("id").alias("distinct_ids"),
+                   (F.min("id") >= 0).alias("in_order"))
+    log = managed.managed_batches(spark, path).agg(
+        F.sum("rows_in").alias("rows_in"), F.sum(F.col("rows_in") - F.col("rows_accepted")).alias("rows_rejected"),
+        F.count_if(F.col("last_batch") > F.col("first_batch")).cast("int").alias("compactions"))
+    return ids.select("*", *[log.select(c).scalar().alias(c) for c in ("rows_in", "rows_rejected", "compactions")])
+
+
 REJECTED_SQL = f"""
     WITH {SENT_SQL}
     SELECT event_id, CASE WHEN k = '2' THEN coin END AS coin,
@@ -432,6 +479,52 @@ def gate_closed(spark, sf_dir):
     return through.agg(F.count("*").alias("rows_passed"))
 
 
+@query(f"""
+    WITH {FEATURES_SQL}
+    SELECT 'x_1' AS column_name, false AS is_error, count(*) AS total_rows FROM features
+    UNION ALL SELECT 'absent', true, count(*) FROM features""")
+def null_check_missing_column(spark, sf_dir):
+    """A null check of a column that is not there is an error, not a failed check."""
+    rows, outcomes = features(spark, sf_dir), []
+    for name in ("x_1", "absent"):
+        try:
+            quality.null_check(rows, [name])
+            outcomes.append((name, False))
+        except AnalysisException:
+            outcomes.append((name, True))
+    told = spark.createDataFrame(outcomes, "column_name string, is_error boolean")
+    return told.withColumn("total_rows", rows.agg(F.count("*")).scalar())
+
+
+# Contracts of two environments, as a file of settings has them.
+CONTRACTS = {
+    "strict": {"x_1": {"type": "float", "nullable": False}, "x_2": {"type": "float", "nullable": False}},
+    "loose": {"x_1": {"type": "float", "nullable": True}, "x_3": {"type": "int"}, "z": {"type": "string", "nullable": True}},
+}
+
+
+@query(f"""
+    WITH {DIRTY_SQL},
+    n AS (SELECT count(*) AS total_rows, count(*) FILTER (WHERE x_1 IS NULL) AS x_1,
+                 count(*) FILTER (WHERE x_2 IS NULL OR isnan(x_2)) AS x_2, count(*) FILTER (WHERE x_3 IS NULL) AS x_3 FROM dirty)
+    SELECT c.*, n.total_rows, CASE WHEN environment = 'strict' THEN x_1 + x_2 ELSE x_3 END AS required_nulls
+    FROM n, (VALUES ('strict', 'x_1', 'float', 'ok', true), ('strict', 'x_2', 'float', 'ok', true),
+                    ('strict', 'x_3', NULL, 'extra', true), ('strict', 'y', NULL, 'extra', true),
+                    ('loose', 'x_1', 'float', 'ok', false), ('loose', 'x_2', NULL, 'extra', false),
+                    ('loose', 'x_3', 'int', 'wrong_type', false), ('loose', 'y', NULL, 'extra', false),
+                    ('loose', 'z', 'string', 'missing', false)) AS c (environment, column_name, expected, status, passed)""")
+def contract_from_data(spark, sf_dir):
+    """Contracts read from plain data; the nulls of the columns that each requires."""
+    rows, reports = dirty(spark, sf_dir), []
+    for name, spec in CONTRACTS.items():
+        contract = contract_of(spec)
+        nulls = quality.null_check(rows, required_columns(contract)).select("total_nulls").scalar()
+        reports.append(quality.schema_report(rows, contract).select(
+            F.lit(name).alias("environment"), "column_name", "expected", "status", "passed", "total_rows",
+            nulls.alias("required_nulls")))
+    return reduce(DataFrame.unionByName, reports)
+
+
 # --- Profiles, metrics, change detection ---------------------------------------------
 
 @query("SELECT * FROM events ORDER BY ts, event_id LIMIT 10")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from frames import rows
 from millrace.contracts import ALPHA, BETAS
 from millrace.operators import cleaning
+from millrace.operators import sampling
 from millrace.operators.sampling import BUCKET_ROWS, sample_rows, side_of
 from millrace.sources.synthetic import ROW_KEY, generate_linear, pollute
 
@@ -123,5 +124,26 @@ def test_rows_without_a_key_are_refused(spark):
         sample_rows(df, "id", 2)
 
 
+@pytest.mark.parametrize("key", ["id", "name"])
+def test_both_ways_draw_the_same_rows(spark, monkeypatch, key):
+    df = spark.range(3000).withColumn("name", F.concat(F.lit("n"), "id"))
+    few = rows(sample_rows(df, key, 40))
+    monkeypatch.setattr(sampling, "FEW_DRAWS", 0)
+    assert rows(sample_rows(df, key, 40)) == few and len(few) == 40
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_a_repeated_key_is_refused(spark, monkeypatch, few):
+    monkeypatch.setattr(sampling, "FEW_DRAWS", few)
+    with pytest.raises(ValueError, match="does not identify"):
+        sample_rows(spark.range(10).union(spark.range(10)), "id", 5).count()
+
+
+def test_few_draws_read_their_rows_only(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plan = sample_rows(df, "event_id", 3)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(event_id" in plan and "BroadcastHashJoin" in plan and "Exchange hash" not in plan
+
+
 def test_buckets_grow_with_the_table():
     assert [side_of(n) for n in (0, 1, BUCKET_ROWS, BUCKET_ROWS * 4, BUCKET_ROWS * 5)] == [1, 1, 1, 2, 4]
