@@ -21,6 +21,7 @@ from millrace.operators.regression import (LinearModel, feature_columns, fit_mom
                                            rmse)
 from millrace.sinks import catalog, slices
 from millrace.sinks.files import RUN, append_run, read_runs, record_metrics, write_snapshot
+from millrace.streaming import managed
 
 log = logging.getLogger(__name__)
 
@@ -143,6 +144,30 @@ def read_latest_snapshot(spark: SparkSession, source: str, cursors: str) -> Data
     return None if row is None else spark.read.parquet(row["snapshot"])
 
 
+def snapshot_managed(spark: SparkSession, source: str, path: str, cursors: str) -> str | None:
+    """If a managed table has more rows than its cursor, a snapshot of it; its name, else None.
+
+    Nothing is copied and no row is read: the log knows how many there are, and a snapshot is
+    the place in the log up to which it is read, as what is written stays as it is.
+    """
+    number, rows = managed.snapshot_state(spark, path)
+    counts = spark.createDataFrame([(source, rows)], "source string, current_count bigint")
+    state = new_rows_since(counts, read_cursors(spark, cursors)).first()
+    if not state["fires"]:
+        return None
+    name = f"{path}@{number}"
+    commit_cursor(spark, cursors, source, state["new_cursor"], state["run_key"], name)
+    return name
+
+
+def read_managed_snapshot(spark: SparkSession, source: str, cursors: str) -> DataFrame | None:
+    row = read_cursors(spark, cursors).where(F.col("source") == source).first()
+    if row is None:
+        return None
+    path, _, number = row["snapshot"].rpartition("@")
+    return managed.read_managed(spark, path, int(number))
+
+
 def training_job(table: DataFrame, registry: str, trained_at: datetime, *,
                  contract: Contract = FEATURE_CONTRACT, target: str = TARGET,
                  folder: str = MODEL_FOLDER, metrics: str | None = None,

@@ -593,6 +593,17 @@ def snapshot_increment(spark, sf_dir):
     return scan_parquet(spark, f"{path}/rows")
 
 
+@query(f"""
+    WITH {SENT_TWICE_SQL}
+    SELECT coin, usd, eur, ts AS event_timestamp FROM twice WHERE k NOT IN ('0', '1', '2')""")
+def snapshot_managed(spark, sf_dir):
+    """A snapshot that is a place in the log of a managed table; nothing is copied."""
+    path, cursors = _managed(spark, sf_dir), work_dir(spark, "cursors")
+    change.create_cursors(spark, cursors)
+    jobs.snapshot_managed(spark, PRICES_TABLE, path, cursors)
+    return jobs.read_managed_snapshot(spark, PRICES_TABLE, cursors).select(*PRICE_ROW.names)
+
+
 @query("""
     WITH state AS (
         SELECT 'customer' AS source, (SELECT count(*) + 1 FROM customer) AS last_count,
@@ -1313,13 +1324,16 @@ def hourly_snapshot(spark, sf_dir):
 
 @query(f"{BARS_SQL} WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM spoiled)")
 def hourly_snapshot_stream(spark, sf_dir):
-    """By a stream, a file to a batch, rows in no order of time; the bars that are closed."""
+    """By a stream, a file to a batch, rows in no order of time, merged after six batches but
+    the last; the bars that are closed."""
     path = work_dir(spark, "bars")
     spoiled(spark, sf_dir).repartition(6).write.parquet(f"{path}/in")
     stored = spark.read.parquet(f"{path}/in")
     stream = parquet_stream(spark, f"{path}/in", stored.schema, max_files=1)
     rollup.start_bars(stream, f"{path}/rows", f"{path}/checkpoint", "ts", "event_type", "value",
                       time_order(F.col("ts"), F.col("event_id"))).awaitTermination()
+    kept = rollup.bar_schema(spark, stored.schema, "ts", "event_type", "value", time_order(F.col("ts"), F.col("event_id")))
+    rollup.compact_bars(spark, f"{path}/rows", "event_type", kept)
     last = F.lit(stored.agg(F.max("ts")).first()[0]).cast("timestamp_ntz")
-    return rollup.closed_bars(rollup.read_bars(spark, f"{path}/rows", "event_type"), last,
+    return rollup.closed_bars(rollup.read_bars(spark, f"{path}/rows", "event_type", kept), last,
                               timedelta(hours=2))

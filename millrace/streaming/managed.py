@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.contracts import MESSAGE_KEY, PRICE_ROW
 from millrace.operators.parsing import RAW, REASON
-from millrace.sinks.slices import ATTEMPT, SLICE, attempt_path, new_attempt
+from millrace.sinks import batches
+from millrace.sinks.slices import SLICE, attempt_path, new_attempt
 from millrace.streaming.ingest import INTERVAL, BatchReport, start_stream
 
 log = logging.getLogger(__name__)
@@ -26,35 +27,11 @@ STORED = T.StructType([
     T.StructField(ID, T.LongType()), *PRICE_ROW.fields, T.StructField(RAW, T.StringType()),
     T.StructField(REASON, T.StringType()), T.StructField(INSERTED, T.TimestampNTZType()),
     T.StructField(TASK, T.IntegerType()), T.StructField(PLACE, T.LongType())])
-# One row for each micro-batch, and one for each compaction, which covers a range of them.
-# ``first_ids`` has the first id of each task; what a compaction holds has its ids.
-LOG = ("slice string, attempt string, number bigint, stream_id string, first_batch bigint, last_batch bigint, "
-       "rows_in bigint, rows_accepted bigint, first_ids array<bigint>, next_id bigint")
 
 
 def create_managed(spark: SparkSession, path: str) -> None:
     """Make sure that the table can be read before its first row arrives."""
-    spark.createDataFrame([], LOG).write.mode("append").parquet(f"{path}/log")
-
-
-def _shown(spark: SparkSession, path: str) -> tuple[list[Row], int, int]:
-    """The entries that readers see, and the number and the id that come next.
-
-    Of entries for the same batches the last one counts, and one for more of them hides those
-    for less. There are as many as compactions, and as batches since the last one.
-    """
-    entries = spark.read.schema(LOG).parquet(f"{path}/log").orderBy("number").collect()
-    shown: dict[str, list[Row]] = {}
-    for entry in entries:
-        own = shown.setdefault(entry["stream_id"], [])
-        own[:] = [e for e in own if not entry["first_batch"] <= e["first_batch"] <= entry["last_batch"]]
-        own.append(entry)
-    flat = sorted((e for own in shown.values() for e in own), key=lambda e: e["number"])
-    return flat, 1 + max((e["number"] for e in entries), default=-1), max((e["next_id"] for e in entries), default=0)
-
-
-def _commit(spark: SparkSession, path: str, entry: tuple) -> None:
-    spark.createDataFrame([entry], LOG).coalesce(1).write.mode("append").parquet(f"{path}/log")
+    batches.create_log(spark, path)
 
 
 def managed_writer(path: str, on_batch: Callable[[BatchReport], None] | None = None
@@ -84,7 +61,8 @@ def managed_writer(path: str, on_batch: Callable[[BatchReport], None] | None = N
         tasks = spark.read.schema(STORED).parquet(folder).groupBy(TASK).agg(
             F.max(PLACE).alias("last"), F.count("*").alias("n"),
             F.count_if(F.col(REASON).isNull()).alias("accepted")).collect()
-        _, number, next_id = _shown(spark, path)
+        known = batches.entries(spark, path)
+        next_id = max((e["next_id"] for e in known), default=0)
         sizes = {row[TASK]: row["last"] + 1 for row in tasks}
         first_ids = []
         for task in range(max(sizes, default=-1) + 1):
@@ -93,8 +71,8 @@ def managed_writer(path: str, on_batch: Callable[[BatchReport], None] | None = N
         report = BatchReport(batch_id, sum(r["n"] for r in tasks), sum(r["accepted"] for r in tasks),
                              sum(r["n"] - r["accepted"] for r in tasks))
         if tasks:
-            _commit(spark, path, (name, attempt, number, stream_id, batch_id, batch_id, report.rows_in,
-                                  report.rows_accepted, first_ids, next_id))
+            batches.commit_batch(spark, path, known, name, attempt, stream_id, (batch_id, batch_id), report.rows_in,
+                                 report.rows_accepted, first_ids, next_id)
         log.info("%s", report)
         if on_batch:
             on_batch(report)
@@ -110,11 +88,7 @@ def start_managed(messages: DataFrame, path: str, checkpoint: str, *, value: str
 
 
 def _with_ids(spark: SparkSession, path: str, entries: list[Row]) -> DataFrame:
-    full = T.StructType([*STORED.fields, T.StructField(ATTEMPT, T.StringType()), T.StructField(SLICE, T.StringType())])
-    if not entries:
-        return spark.createDataFrame([], STORED).drop(TASK, PLACE)
-    folders = [f"{attempt_path(path, e[ATTEMPT])}/{SLICE}={e[SLICE]}" for e in entries]
-    rows = spark.read.schema(full).option("basePath", f"{path}/data").parquet(*folders)
+    rows = batches.read_entries(spark, path, STORED, entries)
     firsts = spark.createDataFrame([(e[SLICE], e["first_ids"]) for e in entries if e["first_ids"] is not None],
                                    "slice string, first_ids array<bigint>")
     # One number for each task of each batch since the last compaction.
@@ -125,22 +99,32 @@ def _with_ids(spark: SparkSession, path: str, entries: list[Row]) -> DataFrame:
     return found.withColumn(ID, made).select(*[n for n in STORED.names if n not in (TASK, PLACE)])
 
 
-def read_managed(spark: SparkSession, path: str) -> DataFrame:
-    """The accepted rows: id, the columns of a price, inserted_at."""
-    return _with_ids(spark, path, _shown(spark, path)[0]).where(F.col(REASON).isNull()).select(
+def _seen(spark: SparkSession, path: str, upto: int | None = None) -> list[Row]:
+    return batches.shown(batches.entries(spark, path, upto))
+
+
+def read_managed(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """The accepted rows: id, the columns of a price, inserted_at; or those that there were
+    when the log ended at ``upto``, whatever was written or compacted since."""
+    return _with_ids(spark, path, _seen(spark, path, upto)).where(F.col(REASON).isNull()).select(
         ID, *PRICE_ROW.names, INSERTED)
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    return _with_ids(spark, path, _shown(spark, path)[0]).where(F.col(REASON).isNotNull()).select(
+    return _with_ids(spark, path, _seen(spark, path)).where(F.col(REASON).isNotNull()).select(
         MESSAGE_KEY, RAW, REASON, INSERTED)
 
 
+def snapshot_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(number of the log's last entry, accepted rows), without reading a row."""
+    seen = _seen(spark, path)
+    return max((e["number"] for e in seen), default=-1), sum(e["rows_accepted"] for e in seen)
+
+
 def managed_batches(spark: SparkSession, path: str) -> DataFrame:
     """What the log shows: one row per micro-batch or range of compacted ones, with its rows."""
-    entries = _shown(spark, path)[0]
     names = ["stream_id", "first_batch", "last_batch", "rows_in", "rows_accepted"]
-    return spark.createDataFrame([tuple(e[n] for n in names) for e in entries],
+    return spark.createDataFrame([tuple(e[n] for n in names) for e in _seen(spark, path)],
                                  "stream_id string, first_batch bigint, last_batch bigint, rows_in bigint, "
                                  "rows_accepted bigint")
 
@@ -154,20 +138,10 @@ def compact(spark: SparkSession, path: str, keep: int = 1, least: int = 2) -> in
     the log puts them in the place of the slices, so a reader sees the one or the others, and
     an interrupted compaction changes nothing. From then on no reader lists the slices.
     """
-    entries, number, next_id = _shown(spark, path)
     gathered = 0
-    for stream_id in sorted({e["stream_id"] for e in entries}):
-        own = sorted((e for e in entries if e["stream_id"] == stream_id and e["first_ids"] is not None),
-                     key=lambda e: e["first_batch"])
-        own = own[:max(0, len(own) - keep)]
-        if len(own) < least:
-            continue
-        low, high, attempt = own[0]["first_batch"], own[-1]["last_batch"], new_attempt()
-        name = f"{stream_id}.{low}-{high}"
+    for stream_id, own in batches.gatherable(batches.entries(spark, path), keep, least):
         rows = _with_ids(spark, path, own).withColumns({
             TASK: F.lit(None).cast("int"), PLACE: F.lit(None).cast("bigint")}).select(*STORED.names)
-        rows.hint("rebalance").write.parquet(f"{attempt_path(path, attempt)}/{SLICE}={name}")
-        _commit(spark, path, (name, attempt, number, stream_id, low, high, sum(e["rows_in"] for e in own),
-                              sum(e["rows_accepted"] for e in own), None, next_id))
-        gathered, number = gathered + len(own), number + 1
+        batches.write_gathered(spark, path, rows, stream_id, own)
+        gathered += len(own)
     return gathered

@@ -6,6 +6,8 @@ import os
 import pytest
 
 from frames import rows
+from millrace.operators import change
+from millrace.plans import jobs
 from millrace.sources.streams import json_lines_stream
 from millrace.streaming import managed
 from millrace.streaming.ingest import BatchReport, start_stream
@@ -122,7 +124,7 @@ def test_an_interrupted_compaction_changes_nothing(inbox, spark, monkeypatch):
     inbox.run()
     ids = sorted(inbox.ids())
     with monkeypatch.context() as patch:
-        patch.setattr(managed, "_commit", lambda *_: 1 / 0)
+        patch.setattr(managed.batches, "commit_batch", lambda *_: 1 / 0)
         with pytest.raises(ZeroDivisionError):
             managed.compact(spark, inbox.path)
     assert inbox.coins() == ["a", "b", "c"] and sorted(inbox.ids()) == ids
@@ -145,3 +147,40 @@ def test_the_log_is_the_only_join(inbox, spark):
     inbox.run()
     plan = managed.read_managed(spark, inbox.path)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Join") == 1 and "BroadcastHashJoin" in plan and plan.count("FileScan") == 1
+
+
+def test_a_snapshot_is_a_place_in_the_log(inbox, spark):
+    inbox.run()
+    assert managed.snapshot_state(spark, inbox.path) == (-1, 0)
+    for coin in "abc":
+        inbox.send(GOOD % coin, "broken")
+    inbox.run()
+    number, count = managed.snapshot_state(spark, inbox.path)
+    ids = sorted(inbox.ids())
+    assert count == 3
+    inbox.send(GOOD % "d")
+    inbox.run()
+    managed.compact(spark, inbox.path)
+    assert managed.snapshot_state(spark, inbox.path)[1] == 4
+    then = managed.read_managed(spark, inbox.path, number)
+    assert sorted(r["id"] for r in then.collect()) == ids and len(inbox.ids()) == 4
+
+
+def test_snapshots_of_managed_tables_follow_growth(inbox, spark, folder):
+    change.create_cursors(spark, f"{folder}/cursors")
+
+    def poll():
+        return jobs.snapshot_managed(spark, "prices", inbox.path, f"{folder}/cursors")
+    inbox.run()
+    assert poll() is None
+    inbox.send(GOOD % "a", GOOD % "b")
+    inbox.run()
+    first = poll()
+    assert first and poll() is None
+    inbox.send(GOOD % "c")
+    inbox.run()
+    assert jobs.read_managed_snapshot(spark, "prices", f"{folder}/cursors").count() == 2
+    assert poll() not in (None, first)
+    managed.compact(spark, inbox.path)
+    assert jobs.read_managed_snapshot(spark, "prices", f"{folder}/cursors").count() == 3
+    assert jobs.read_managed_snapshot(spark, "other", f"{folder}/cursors") is None

@@ -164,8 +164,8 @@ def test_kafka_options():
     assert (more["maxOffsetsPerTrigger"], more["minPartitions"], more["x"]) == ("10", "4", "y")
 
 
-@pytest.mark.parametrize("files", [1, 4, 16])
-def test_streamed_bars_do_not_depend_on_batches(spark, folder, files):
+@pytest.mark.parametrize("files, compacted", [(1, False), (4, False), (16, False), (4, True)])
+def test_streamed_bars_do_not_depend_on_batches(spark, folder, files, compacted):
     """Rows in no order of time, some very late, some without a value or a key."""
     data = [(dt.datetime(2026, 1, 1, (i * 7) % 24, i % 60), i, "ab"[i % 2] if i % 11 else None,
              None if i % 13 == 0 else float("nan") if i % 17 == 0 else float(i * 37 % 101))
@@ -176,7 +176,10 @@ def test_streamed_bars_do_not_depend_on_batches(spark, folder, files):
     for _ in range(2):  # started again, it finds nothing new
         rollup.start_bars(source, f"{folder}/out", f"{folder}/c", "ts", "key", "value",
                           F.col("id")).awaitTermination()
-    bars = rollup.read_bars(spark, f"{folder}/out", "key")
+    kept = rollup.bar_schema(spark, table.schema, "ts", "key", "value", F.col("id"))
+    if compacted:
+        assert rollup.compact_bars(spark, f"{folder}/out", "key", kept) >= 2
+    bars = rollup.read_bars(spark, f"{folder}/out", "key", kept)
     assert rows(bars) == rows(rollup.hourly_bars(table, "ts", "key", "value", F.col("id")))
     closed = rollup.closed_bars(bars, F.lit(dt.datetime(2026, 1, 1, 23, 59)).cast("timestamp_ntz"),
                                 dt.timedelta(hours=2))
