@@ -15,9 +15,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow import only
 
-# Labelled pages that weights are learned from at most, those with the least hash of their
-# id, and the names that a weight is kept for at most, the most frequent ones.
-FIT_PAGES, FIT_NAMES = 2_000, 4_096
+# Labelled pages that weights are learned from at most, those with the least hash of their id.
+FIT_PAGES = 2_000
 # Greatest weight, the least that a tag takes away, and the most that a tag does which only
 # groups or lays out text.
 GREATEST, TAG_LEAST, PLAIN_MOST = 6.0, 0.05, 0.25
@@ -66,20 +65,43 @@ def parsed(tag: str) -> tuple[str, tuple[str, ...], bool]:
     return NAME.match(tag)[1].lower(), tuple(marks), tag.endswith("/>")
 
 
+class Around:
+    """The marks of the elements around a text: those that one element adds to its parents'.
+
+    A page's elements share their parents by reference, so that a depth of any number of
+    elements costs one step for each.
+    """
+
+    __slots__ = ("parent", "keys")
+
+    def __init__(self, parent: Around | None, keys: tuple[str, ...]):
+        self.parent, self.keys = parent, keys
+
+
 class Token(NamedTuple):
     """A tag, or the text up to the next one with the marks of the elements around it."""
     tag: str
     text: str
-    around: tuple[str, ...]
+    around: Around
 
 
 def tokens(page: str) -> list[Token]:
     """The tags and texts of a page; comments, scripts and styles are left out."""
     out: list[Token] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    around: tuple[str, ...] = ()
+    # Open elements: name, the marks that are new with it, and the marks around.
+    stack: list[tuple[str, Around]] = []
+    names: Counter = Counter()
+    marked: set[str] = set()
+    around = Around(None, ())
     at = 0
 
+    def leave() -> None:
+        nonlocal around
+        name, own = stack.pop()
+        names[name] -= 1
+        marked.difference_update(own.keys)
+        around = own.parent
+
     def text(upto: int) -> None:
         if upto > at and not page[at:upto].isspace():
             out.append(Token("", page[at:upto], around))
@@ -95,27 +117,27 @@ def tokens(page: str) -> list[Token]:
             out.append(Token("/" + name, "", around))
             if name in INLINE and name != "a":
                 continue
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    del stack[k:]
-                    break
-            else:
-                continue
+            if names[name]:
+                while stack[-1][0] != name:
+                    leave()
+                leave()
         else:
             out.append(Token(name, "", around))
             if name in VOID or closed or name in INLINE and name != "a" and not marks:
                 continue
             if name == "a":
                 keys = ("a",)
-            elif name in PLAIN or name == "header" and any(n in BODY for n, _ in stack):
+            elif name in PLAIN or name == "header" and any(names[n] for n in BODY):
                 keys = marks
             else:
                 keys = (*marks, name)
             while stack and name not in INLINE and stack[-1][0] == "a":
-                stack.pop()  # a link does not reach over blocks
+                leave()  # a link does not reach over blocks
             if keys or name not in ("p", "li"):
-                stack.append((name, keys))
-        around = tuple(dict.fromkeys(key for _, keys in stack for key in keys))
+                around = Around(around, tuple(key for key in dict.fromkeys(keys) if key not in marked))
+                marked.update(around.keys)
+                names[name] += 1
+                stack.append((name, around))
     text(len(page))
     return out
 
@@ -135,15 +157,31 @@ def counts(page_tokens: list[Token]) -> Counter:
     span = labelled(page_tokens)
     if span is None:
         return out
+    # Words of each element, in the order in which elements begin, so parents come first.
+    under: dict[Around, list[int]] = {}
     for k, token in enumerate(page_tokens):
         inside = span[0] <= k < span[1]
+        path, at = [], token.around
+        while at is not None and at not in under:
+            path.append(at)
+            at = at.parent
+        for element in reversed(path):
+            under[element] = [0, 0]
         if token.tag:
             out[f"<{token.tag}", inside] += 1
         else:
             n = len(token.text.split())
             out["word", inside] += n
-            for key in token.around:
-                out[f"in {key}", inside] += n
+            under[token.around][inside] += n
+    for element in reversed(under):
+        words = under[element]
+        if element.parent is not None:
+            for inside in (False, True):
+                under[element.parent][inside] += words[inside]
+        for key in element.keys:
+            for inside in (False, True):
+                if words[inside]:
+                    out[f"in {key}", inside] += words[inside]
     return out
 
 
@@ -163,16 +201,30 @@ class Weights:
             out[what] = max(-GREATEST, min(GREATEST, log((inside + 1) / (beyond + 1))))
         return Weights(out)
 
-    def word(self, around: tuple[str, ...]) -> float:
-        """Positive, unless an element around the word keeps no text."""
-        least = max(self.learned.get("word", 1.0), 1.0)
-        for key in around:
-            known = self.learned.get(f"in {key}")
-            if known is None:
-                aside = key in ASIDE or key.startswith(".") and ASIDE_MARK.search(key[1:])
-                known = -GREATEST if aside else least
-            # A link may stand in a text as well as in a menu.
-            least = min(least, max(known, 0.1) if key == "a" else known)
+    def plain_word(self) -> float:
+        """What a word with no marks around it scores."""
+        return max(self.learned.get("word", 1.0), 1.0)
+
+    def key(self, key: str) -> float:
+        """The most that a word scores with this mark around it; negative where the element
+        keeps no text."""
+        known = self.learned.get(f"in {key}")
+        if known is None:
+            aside = key in ASIDE or key.startswith(".") and ASIDE_MARK.search(key[1:])
+            known = -GREATEST if aside else self.plain_word()
+        # A link may stand in a text as well as in a menu.
+        return max(known, 0.1) if key == "a" else known
+
+    def word(self, around: Around, known: dict[Around, float]) -> float:
+        """The least by all marks around; ``known`` keeps what was found for elements."""
+        path, at = [], around
+        while at is not None and at not in known:
+            path.append(at)
+            at = at.parent
+        least = known[at] if at is not None else self.plain_word()
+        for element in reversed(path):
+            least = min([least, *[self.key(key) for key in element.keys]])
+            known[element] = least
         return least
 
     def tag(self, name: str) -> float:
@@ -203,9 +255,7 @@ def extract(page: str, weights: Weights) -> str:
                 of_tag[tag] = weights.tag(tag)
             scores.append(of_tag[tag])
         else:
-            if around not in of_word:
-                of_word[around] = weights.word(around)
-            one = of_word[around]
+            one = weights.word(around, of_word)
             # However long, what keeps no text counts as one interruption.
             scores.append(one * len(text.split()) if one > 0 else max(one, -INTERRUPTION))
     a, b = best_run(scores)
@@ -251,9 +301,9 @@ def train(pages: DataFrame, rows: int = FIT_PAGES) -> Weights:
                  pa.array([total[n, False] for n in names], type=pa.int64())],
                 names=["what", "inside", "beyond"])
 
-    counted = (sample.mapInArrow(run, "what string, inside long, beyond long").groupBy("what")
-               .agg(F.sum("inside").alias("inside"), F.sum("beyond").alias("beyond"))
-               .orderBy(F.desc(F.col("inside") + F.col("beyond")), "what").limit(FIT_NAMES))
+    # As many names as the sampled pages have.
+    counted = sample.mapInArrow(run, "what string, inside long, beyond long").groupBy("what").agg(
+        F.sum("inside").alias("inside"), F.sum("beyond").alias("beyond"))
     return Weights.of({row["what"]: (row["inside"], row["beyond"]) for row in counted.collect()})
 
 
