@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from millrace.sinks.files import staged
 
@@ -20,12 +20,12 @@ def _hex_number(digest: Column, start: int, digits: int) -> Column:
 
 
 def records(pages: DataFrame, per_file: int = RECORDS) -> DataFrame:
-    """page_id, file, offset, length and record of every row.
+    """page_id, file and record of every row.
 
     A record is a WARC/1.1 ``resource`` with the page's HTML as its block. Pages are dealt out
-    to files by a digest of their id, ``per_file`` to a file on average, and stand there in
-    the order of ids; ``offset`` is where a record begins. A NULL page or address is empty.
-    Rows that share an id are records of their own. Other columns are ignored.
+    to files by a digest of their id, ``per_file`` to a file on average; those without an id
+    by a digest of the record. A NULL page or address is empty. Rows that share an id are
+    records of their own. Other columns are ignored.
     """
     files = max(1, -(-pages.count() // per_file))
     name = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
@@ -38,26 +38,70 @@ def records(pages: DataFrame, per_file: int = RECORDS) -> DataFrame:
         F.lit(f"\r\nWARC-Date: {STAMP}\r\nWARC-Record-ID: <urn:uuid:"), uuid,
         F.lit(">\r\nContent-Type: text/html\r\nContent-Length: "),
         F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block, F.lit("\r\n\r\n"))
-    made = pages.select("page_id", (_hex_number(F.md5(name), 1, 8) % files).alias("file"),
-                        record.alias("record"))
-    in_file = Window.partitionBy("file").orderBy("page_id", "record")
-    length = F.octet_length("record").cast("long")
-    return made.select(
-        "page_id", "file",
-        (F.sum(length).over(in_file.rowsBetween(Window.unboundedPreceding, 0)) - length).alias("offset"),
-        length.alias("length"), "record")
+    dealt = F.md5(F.when(F.col("page_id").isNull(), F.col("record")).otherwise(name))
+    return pages.select("page_id", record.alias("record")).select(
+        "page_id", (_hex_number(dealt, 1, 8) % files).alias("file"), "record")
+
+
+def hashed(made: DataFrame) -> DataFrame:
+    """page_id, file, length and digest of each record; what is shuffled in place of records."""
+    return made.select("page_id", "file", F.octet_length("record").cast("long").alias("length"),
+                       F.sha2("record", 256).alias("digest"))
+
+
+def manifest(rows: DataFrame) -> DataFrame:
+    """The rows of ``hashed``, further columns among them, with the offset of each record.
+
+    Records stand in a file in the order of ids, and of digests where ids are equal.
+    """
+    in_file = Window.partitionBy("file").orderBy("page_id", "digest")
+    upto = F.sum("length").over(in_file.rowsBetween(Window.unboundedPreceding, 0))
+    return rows.withColumn("offset", upto - F.col("length"))
 
 
 def write_archive(made: DataFrame, path: str) -> None:
-    """The records as text files under ``path/file=…``, each record where its offset says."""
-    (made.repartition("file").sortWithinPartitions("file", "offset")
+    """The records as text files under ``path/file=…``, each where the manifest says."""
+    (made.withColumn("digest", F.sha2("record", 256)).repartition("file")
+     .sortWithinPartitions("file", "page_id", "digest")
      .select("file", F.expr("substring(record, 1, char_length(record) - 4)").alias("value"))
      .write.partitionBy("file").option("lineSep", "\r\n\r\n").text(path))
 
 
-def leaves(made: DataFrame) -> DataFrame:
+def leaves(rows: DataFrame) -> DataFrame:
     """file, offset, length and digest of each record: what a tree is made of."""
-    return made.select("file", "offset", "length", F.sha2("record", 256).alias("digest"))
+    return rows.select("file", "offset", "length", "digest")
+
+
+def stored_leaves(spark: SparkSession, path: str, known: DataFrame) -> DataFrame:
+    """The leaves of an archive as it is stored: the bytes found where the manifest says.
+
+    Each file is read once, by the task that gets it, and cut at the manifest's offsets. A
+    record of which no byte is left, or whose file is gone, is no leaf. Bytes beyond the last
+    record are a leaf of their own. A file holds less than 2 GB.
+    """
+    places = F.array_sort(F.collect_list(F.struct("offset", "length")))
+    per_file = known.groupBy("file").agg(places.alias("places"),
+                                         F.max(F.col("offset") + F.col("length")).alias("end"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(
+        F.regexp_extract("path", r"/file=(\d+)/", 1).cast("long").alias("stored"), "content")
+    every = F.concat("places", F.array(F.struct(
+        F.col("end").alias("offset"), (F.octet_length("content") - F.col("end")).alias("length"))))
+    cut = (per_file.join(found, F.col("file") == F.col("stored"))
+           .select("file", "content", F.explode(every).alias("at"))
+           .select("file", F.col("at.offset").alias("offset"), F.expr(
+               "substring(content, CAST(at.offset + 1 AS INT), CAST(greatest(at.length, 0) AS INT))").alias("bytes")))
+    return cut.filter(F.octet_length("bytes") > 0).select(
+        "file", "offset", F.octet_length("bytes").cast("long").alias("length"),
+        F.sha2("bytes", 256).alias("digest"))
+
+
+def audit_stored(known: DataFrame, path: str) -> DataFrame:
+    """file, offset and status of what is wrong with a stored archive; see ``audit``.
+
+    Bytes that were put in or taken out move all that follows in their file, so the records
+    behind them are ``changed`` as well; ``missing`` ones lie beyond the end of their file.
+    """
+    return audit(leaves(known), staged(stored_leaves(known.sparkSession, path, known), "stored-leaves"))
 
 
 def tree(records_of: DataFrame, levels: int) -> list[DataFrame]:

@@ -93,12 +93,14 @@ def test_cuts_depend_on_content_alone():
 
 def test_merkle_audit(spark):
     rows = [("f", k * 1000, f"record {k}") for k in range(500)] + [("g", 0, "only")]
-    original = warc.leaves(spark.createDataFrame(
-        [(f, o, len(r), r) for f, o, r in rows], "file string, offset long, length long, record string"))
+    schema = "file string, offset long, length long, record string"
+    digest = F.sha2("record", 256)
+    original = warc.leaves(spark.createDataFrame([(f, o, len(r), r) for f, o, r in rows], schema)
+                           .withColumn("digest", digest))
     hurt = [(f, o, r) for f, o, r in rows if o != 7000]
     hurt = [(f, o, "X" if o == 250_000 else r) for f, o, r in hurt] + [("f", 7500, "new"), ("h", 0, "file")]
-    replica = warc.leaves(spark.createDataFrame(
-        [(f, o, len(r), r) for f, o, r in hurt], "file string, offset long, length long, record string"))
+    replica = warc.leaves(spark.createDataFrame([(f, o, len(r), r) for f, o, r in hurt], schema)
+                          .withColumn("digest", digest))
     found = {(r["file"], r["offset"]): r["status"] for r in warc.audit(original, replica).collect()}
     assert found == {("f", 7000): "missing", ("f", 250_000): "changed", ("f", 7500): "extra",
                      ("h", 0): "extra"}
@@ -111,18 +113,25 @@ def test_warc_records(spark, folder):
         [(1, "http://a/", "<p>é</p>", 5), (2, None, None, 6), (None, "u", "x" * 100_000, 7), (1, "http://a/", "<p>é</p>", 8)],
         "page_id long, url string, html string, record int")
     made = warc.records(pages)
-    rows = sorted(made.collect(), key=lambda r: (r["file"], r["offset"]))
-    assert len(rows) == 4
+    texts = {hashlib.sha256(r["record"].encode()).hexdigest(): r["record"] for r in made.collect()}
+    rows = sorted(warc.manifest(warc.hashed(made)).collect(), key=lambda r: (r["file"], r["offset"]))
+    assert len(rows) == 4 and len(texts) == 3
     at = 0
     for row in rows:
-        assert row["offset"] == at and row["length"] == len(row["record"].encode())
+        assert row["offset"] == at and row["length"] == len(texts[row["digest"]].encode())
         at += row["length"]
     warc.write_archive(made, f"{folder}/out")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/out").collect()
-    assert b"".join(bytes(f["content"]) for f in files) == "".join(r["record"] for r in rows).encode()
+    assert b"".join(bytes(f["content"]) for f in files) == "".join(texts[r["digest"]] for r in rows).encode()
     assert warc.records(pages.limit(0)).count() == 0
 
 
+def test_pages_without_an_id_are_in_no_one_file(spark):
+    pages = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS page_id", "concat('http://', id) AS url", "'x' AS html")
+    sizes = [r["count"] for r in warc.records(pages, 100).groupBy("file").count().collect()]
+    assert len(sizes) == 30 and max(sizes) < 200
+
+
 def test_packing(odd, empty, library):
     rows = packing.pack(odd, PATH).collect()
     totals = Counter()
