@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow import only, text_slices
+from millrace.llm.words import mix, span_hashes
 
 HASH_BITS = 18
 # Labelled rows that the model is fitted on at most, those with the least hash of their id.
@@ -19,7 +20,6 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.1, 0.5
 THRESHOLD = 0.3
 
 SPACE, LETTER, DIGIT, SIGN = range(4)
-BASE = 0x5851F42D4C957F2D
 LOWER_CASE, CAPITALISED, UPPER_CASE, MIXED, NUMBER, REPEATED = range(1, 7)
 
 
@@ -37,26 +37,6 @@ def _tables():
 KIND, LOWER = _tables()
 
 
-def _mix(x: np.ndarray, salt: int) -> np.ndarray:
-    x = (x + np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(31)
-    return x * np.uint64(0x94D049BB133111EB)
-
-
-def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each word's lower-case bytes, wherever in the buffer it stands."""
-    size = len(data)
-    powers = np.full(size + 1, BASE, np.uint64)
-    powers[0] = 1
-    np.cumprod(powers, out=powers)
-    back = np.full(size + 1, pow(BASE, -1, 1 << 64), np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    sums = np.zeros(size + 1, np.uint64)
-    np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
-    return (sums[ends] - sums[starts]) * back[starts]
-
-
 @dataclass
 class Grams:
     """Buckets of the n-grams of some texts, those of a text together, and their bounds."""
@@ -84,7 +64,7 @@ def grams(data: np.ndarray, offsets: np.ndarray, bits: int = HASH_BITS) -> Grams
     kept = kind[starts] != SPACE
     starts, ends = starts[kept], ends[kept]
     kinds = kind[starts]
-    word = _mix(_word_hashes(data, starts, ends), 1)
+    word = mix(span_hashes(LOWER[data], starts, ends), 1)
     of = np.searchsorted(offsets, starts, side="right") - 1
 
     capital = (data >= 0x41) & (data <= 0x5A)
@@ -104,7 +84,7 @@ def grams(data: np.ndarray, offsets: np.ndarray, bits: int = HASH_BITS) -> Grams
     is_letter = np.flatnonzero(kinds == LETTER)
     again = (word[is_letter[1:]] == word[is_letter[:-1]]) & (of[is_letter[1:]] == of[is_letter[:-1]])
     shape[is_letter[1:][again]] = REPEATED
-    shape = _mix(shape, 2)
+    shape = mix(shape, 2)
 
     def before(values: np.ndarray, n: int) -> np.ndarray:
         out = np.zeros_like(values)
@@ -112,10 +92,10 @@ def grams(data: np.ndarray, offsets: np.ndarray, bits: int = HASH_BITS) -> Grams
         return out
 
     one, two = before(shape, 1), before(shape, 2)
-    pair = _mix(shape * np.uint64(3) + one, 5)
+    pair = mix(shape * np.uint64(3) + one, 5)
     columns = np.stack([
-        word, _mix(word * np.uint64(3) + before(word, 1), 3), _mix(shape, 4), pair,
-        _mix(pair * np.uint64(5) + two, 6)], axis=1)
+        word, mix(word * np.uint64(3) + before(word, 1), 3), mix(shape, 4), pair,
+        mix(pair * np.uint64(5) + two, 6)], axis=1)
     buckets = (columns >> np.uint64(64 - bits)).astype(np.int64).ravel()
     return Grams(buckets, np.searchsorted(starts, offsets) * columns.shape[1])
 
@@ -183,16 +163,19 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality",
           rows: int = FIT_ROWS) -> Model:
     """A model of ``label``, 0 or 1, from at most ``rows`` labelled documents.
 
-    The rows with the least hash of their id are taken, whatever else the tables hold. Rows
-    without a label or an id teach nothing. With no labelled row at all, every score is 0.5.
+    The labels with the least hash of their id are taken, whatever else the tables hold, and of
+    the documents that share an id the one whose text has the least digest. Repeated labels
+    count once; rows without a label or an id teach nothing. With no labelled row at all, every
+    score is 0.5.
     """
     chosen = (labels.select(F.col("doc_id").alias("labelled_id"), F.col(label).alias("label"))
-              .filter("labelled_id IS NOT NULL AND label IN (0, 1)")
+              .filter("labelled_id IS NOT NULL AND label IN (0, 1)").distinct()
               .orderBy(F.xxhash64("labelled_id"), "labelled_id", "label").limit(rows))
     # At most ``rows`` pairs of an id and a label, so small enough for every executor.
     texts = (docs.select("doc_id", "text")
              .join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
-             .select("doc_id", "text", F.col("label").cast("int").alias("label")))
+             .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.col("label").cast("int").alias("label"))
+             .groupBy("doc_id", "label").agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text")))
 
     def run(batches):
         for batch in batches:
