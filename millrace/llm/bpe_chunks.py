@@ -11,6 +11,7 @@ without white space extends the join to the next.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -21,6 +22,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from millrace.llm.arrow import only, schema_of, text_slices
 from millrace.llm.encoder import Decoder, Encoder, decoder_of, encoder
+from millrace.llm.words import powers
+from millrace.sinks.files import staged
 
 # Bytes that the rolling hash covers, its base, and the bits that are zero at a cut.
 WINDOW = 32
@@ -28,25 +31,19 @@ BASE = 0x5851F42D4C957F2D
 CUT_BITS = 10
 MIN_BYTES, MAX_BYTES = 256, 16_384
 # Bits of the filter that tells, in any task, whether a chunk may be shared. It is sent to
-# all executors, and its size, 8 MB, does not depend on the data. Where it is too small for
-# the chunks of a corpus, more chunks pass through the dictionary, with equal results.
+# all executors, and its size, 8 MB, does not depend on the data. With three bits a chunk it
+# takes one chunk in ten for a shared one at 14 million shared chunks, some 20 GB of text that
+# documents share, and one in two at 35 million; then more chunks pass through the dictionary,
+# with equal results. ``shared_filter`` logs how full it is.
 FILTER_BITS = 26
+# Copies of a repeated row that one task makes.
+COPIES_AT_ONCE = 1_000
+
+log = logging.getLogger(__name__)
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0D]] = True
 
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, size: int) -> np.ndarray:
-    known = _POWERS.get(base)
-    if known is None or len(known) < size:
-        factors = np.full(max(size, 1 << 20), base, np.uint64)
-        factors[0] = 1
-        known = _POWERS[base] = np.cumprod(factors)
-    return known[:size]
-
-
 def cuts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """For each text of the buffer, its cut positions, first and last byte included.
 
@@ -57,9 +54,9 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     found = np.zeros(0, np.int64)
     if size > WINDOW:
         sums = np.zeros(size + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(BASE, size), out=sums[1:])
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, size), out=sums[1:])
         rolled = sums[WINDOW:-1] - sums[:-1 - WINDOW]
-        rolled *= _powers(pow(BASE, -1, 1 << 64), size)[:len(rolled)]
+        rolled *= powers(pow(BASE, -1, 1 << 64), size)[:len(rolled)]
         found = np.flatnonzero((rolled >> np.uint64(64 - CUT_BITS)) == 0) + WINDOW
         found = found[(data[found] & 0xC0) != 0x80]  # a character stays whole
     out = []
@@ -138,6 +135,7 @@ def shared_filter(docs: DataFrame) -> np.ndarray:
              .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, at))").alias("bits"))).toArrow()
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
+    log.info("%.1f %% of the filter of shared chunks is set", 100 * np.bitwise_count(out).sum() / (64 * len(out)))
     return out
 
 
@@ -328,7 +326,7 @@ def _together(docs: DataFrame, tokenizer: str, words, schema: T.StructType) -> D
              .join(_dictionary(docs, tokenizer, words), ["h1", "h2"])
              .select("doc_id", "text_hash", "part", *columns))
     own = parts.filter("h1 IS NULL").select("doc_id", "text_hash", "part", *columns)
-    # Rows that repeat a document are pieces of one group, and as many rows again later.
+    # A group is the pieces of one document, as repeated rows are encoded elsewhere.
     grouped = (own.union(found).groupBy("doc_id", "text_hash")
                .agg(F.collect_list(F.struct("part", *columns)).alias("pieces")))
 
@@ -340,21 +338,53 @@ def _together(docs: DataFrame, tokenizer: str, words, schema: T.StructType) -> D
             decoder = decoder_of(tokenizer) if decoded else None
             for n in range(0, len(batch), 64):
                 some = batch.slice(n, 64)
-                documents, copies = [], []
+                documents = []
                 for pieces in some.column("pieces").to_pylist():
                     by_part = {p["part"]: Piece(p["ids"], p["head"], p["tail"], p["open"])
                                for p in pieces}
                     documents.append([by_part[k] for k in sorted(by_part)])
-                    copies.append(len(pieces) // len(by_part))
                 ids = join_pieces(enc, documents)
-                take = pa.array(np.repeat(np.arange(len(ids)), copies))
-                yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id").take(take)]
-                    + [column.take(take) for column in _results(ids, decoder)], names=names)
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), *_results(ids, decoder)], names=names)
 
     return grouped.select("doc_id", "pieces").mapInArrow(assemble, schema)
 
 
+def _repeated(docs: DataFrame) -> DataFrame:
+    """(same_id, same_text, copies) of rows that are there several times, by a digest."""
+    same = docs.select(F.col("doc_id").alias("same_id"), _digest().alias("same_text"))
+    return staged(same.groupBy("same_id", "same_text").agg(F.count(F.lit(1)).alias("copies"))
+                  .filter("copies > 1"), "bpe-repeated")
+
+
+def _digest():
+    return F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def _copied(docs: DataFrame, repeated: DataFrame, tokenizer: str, schema: T.StructType) -> DataFrame:
+    """The ids of repeated rows: each is encoded once, as a whole, and then multiplied by
+    several tasks, however often it is there."""
+    decoded = "text" in schema.names
+    same = docs["doc_id"].eqNullSafe(repeated["same_id"]) & (_digest() == repeated["same_text"])
+    once = docs.join(repeated, same).dropDuplicates(["same_id", "same_text"]).select("doc_id", "text", "copies")
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            enc = encoder(tokenizer)
+            for first, end, data, offsets in text_slices(batch):
+                ids, at = enc.encode(data, offsets)
+                each = [ids[a:b].astype("<u4").tobytes() for a, b in zip(at.tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(first, end - first),
+                     *_results(each, decoder_of(tokenizer) if decoded else None),
+                     batch.column("copies").slice(first, end - first)], names=[*schema.names, "copies"])
+
+    coded = once.mapInArrow(run, T.StructType([*schema.fields, T.StructField("copies", T.LongType())]))
+    parts = F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / COPIES_AT_ONCE)))
+    left = F.least(F.col("copies") - F.col("part") * COPIES_AT_ONCE, F.lit(COPIES_AT_ONCE))
+    return (coded.select(*schema.names, "copies", parts.alias("part")).repartition("doc_id", "part")
+            .select(*schema.names, F.explode(F.sequence(F.lit(1), left)).alias("copy")).select(*schema.names))
+
+
 def encode(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataFrame:
     """doc_id and ids of every row, as the tokenizers library encodes the text without
     special tokens of its own; ids are little-endian unsigned 32-bit integers.
@@ -370,8 +400,16 @@ def encode(docs: DataFrame, tokenizer: str, decoded: bool = False) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType),
                            T.StructField("ids", T.BinaryType())]
                           + [T.StructField("text", T.StringType())] * decoded)
-    words = docs.sparkSession.sparkContext.broadcast(shared_filter(docs))
-    return _alone(docs, tokenizer, words, schema).union(_together(docs, tokenizer, words, schema))
+    rows = only(docs, "doc_id", "text")
+    repeated = _repeated(rows)
+    copied = None
+    if not repeated.isEmpty():
+        copied = _copied(rows, repeated, tokenizer, schema)
+        rows = rows.join(repeated, rows["doc_id"].eqNullSafe(repeated["same_id"])
+                         & (_digest() == repeated["same_text"]), "left_anti")
+    words = docs.sparkSession.sparkContext.broadcast(shared_filter(rows))
+    coded = _alone(rows, tokenizer, words, schema).union(_together(rows, tokenizer, words, schema))
+    return coded if copied is None else coded.union(copied)
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:

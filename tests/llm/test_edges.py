@@ -64,6 +64,21 @@ def test_encoding(odd, empty, library):
     assert bpe_chunks.encode(empty, PATH).count() == 0
 
 
+def test_one_document_in_very_many_rows(spark, library, monkeypatch):
+    """Repeated rows, without an id and with one, beside rows that share text or id with them."""
+    monkeypatch.setattr(bpe_chunks, "COPIES_AT_ONCE", 7)
+    body = "the same words in many rows of one document, " * 40
+    docs = spark.range(900).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 5 ELSE id END AS doc_id",
+        f"CASE WHEN id % 9 = 2 THEN concat('{body}', id) WHEN id % 18 = 1 THEN NULL ELSE '{body}' END AS text")
+    want = Counter()
+    for row in docs.collect():
+        ids = library.encode(row["text"] or "", add_special_tokens=False).ids
+        want[row["doc_id"], np.array(ids, "<u4").tobytes(), library.decode(ids, skip_special_tokens=False)] += 1
+    got = bpe_chunks.encode(docs.repartition(6), PATH, decoded=True).collect()
+    assert Counter((r["doc_id"], bytes(r["ids"]), r["text"]) for r in got) == want and max(want.values()) == 300
+
+
 def test_chunks_join_as_whole_texts(library):
     """Cuts anywhere, also within words and beside signs, leave the ids as they are."""
     from millrace.llm.encoder import Encoder
