@@ -160,7 +160,7 @@ def with_edited(docs: DataFrame) -> DataFrame:
     of the first ones of the next document in ascending order of ids; after the last comes
     the first, and a single document is its own next. A NULL text is empty, and a NULL id
     lower than any other. Rows that share an id are each edited with the next id; of a next
-    document's rows, the one with the least text counts. Other columns are ignored. An empty
+    document's rows, the one with the least beginning counts. Other columns are ignored. An empty
     table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType
