@@ -16,7 +16,7 @@ from millrace.operators.cleaning import clean
 from millrace.operators.profiling import distinct_values, head_json
 from millrace.operators.moments import Moments, comoments, merged, moments
 from millrace.operators.quality import (CheckFailed, conforms, null_check, require, require_counts,
-                                        require_types)
+                                        require_types, returns)
 from millrace.operators.regression import (LinearModel, feature_columns, fit_moments, registry_row,
                                            rmse)
 from millrace.sinks import catalog, slices
@@ -58,6 +58,7 @@ def etl_job(raw: DataFrame, path: str, run_id: str, metrics: str | None = None,
     return report
 
 
+@returns(None)
 def etl_to_table(raw: DataFrame, name: str, declared: T.StructType = FEATURE_ROW) -> None:
     """Clean a table and append it to a catalog table, created if absent, whose key and
     insert time are filled in."""
@@ -65,6 +66,7 @@ def etl_to_table(raw: DataFrame, name: str, declared: T.StructType = FEATURE_ROW
     catalog.append_rows(conforms(clean(raw), declared), name)
 
 
+@returns(None)
 def publish_checked(df: DataFrame, path: str, run_id: str, names: Sequence[str],
                     fail_on_empty: bool = False) -> None:
     """Append a table only if its required columns hold no missing value.
@@ -96,6 +98,7 @@ def published_once(df: DataFrame, path: str, run_id: str, names: Sequence[str])
     return seen is not None, seen["rows"] if seen else 0
 
 
+@returns(None)
 def moments_job(spark: SparkSession, features: str, moments_path: str, run_id: str,
                 names: Sequence[str]) -> None:
     """Keep the moments of a run of the feature table; only the rows of that run are read."""

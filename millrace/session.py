@@ -15,7 +15,7 @@ DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
     # Job commit by rename: a failed append leaves no rows behind.
     "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
-    # Window state of long streams lives on disk, not on the executor heap.
+    # The keys that a stream remembers live on disk, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Call sites in error messages cost several JVM round trips per expression.
