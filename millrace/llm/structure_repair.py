@@ -14,7 +14,7 @@ from millrace.llm.arrow import schema_of
 from millrace.sinks.files import staged
 
 # What counts as blank, what ends a sentence, the roles that edits can give.
-BLANK = r"[\x20\x09-\x0D]"
+BLANKS = " \t\n\x0b\f\r"
 ENDS = ".!?"
 USER, ASSISTANT = "user", "assistant"
 
@@ -240,7 +240,7 @@ def _classes(rows: DataFrame) -> DataFrame:
     """The rows without their texts: initial as a number, and 0 blank, 1 whole, 2 cut short."""
     initial = reduce(lambda done, k: F.when(F.substring("role", 1, 1) == INITIALS[k], k).otherwise(done),
                      range(len(INITIALS)), F.lit(OTHER))
-    last = F.substring(F.regexp_replace("text", f"{BLANK}+$", ""), -1, 1)
+    last = F.substring(F.rtrim("text", F.lit(BLANKS)), -1, 1)
     state = F.when(last == "", 0).when(last.isin(*ENDS), 1).otherwise(2)
     return rows.select("conv_id", F.lit(True).alias("is_row"), "turn", "digest",
                        initial.cast("byte").alias("initial"), state.cast("byte").alias("state"))
