@@ -66,9 +66,11 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
-def occurrences(docs: DataFrame, windows: DataFrame,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """(text_key, length, start, phrase) of each window that occurs in a document's text.
+def scanned(docs: DataFrame, windows: DataFrame, names: list[str],
+            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """One pass over the documents: of each, a row with the named columns in ``carried``, text_key
+    and n_words, and ``head`` set; and a row (text_key, length, start, phrase) for each window that occurs.
+    A row may be both.
 
     The hashes of all windows of a document are looked up in the hash set of the items'
     windows, and what is found is compared word by word. The set is broadcast if its size,
@@ -76,6 +78,7 @@ def occurrences(docs: DataFrame, windows: DataFrame,
     shuffled by hash. Texts that several documents share are found once for each.
     """
     lengths = sorted(row["length"] for row in windows.select("length").distinct().collect()) or [WINDOW]
+    # The phrase is as long as its length says, so the hash of its own length is looked up.
     known = reduce(DataFrame.unionByName, [
         windows.filter(F.col("length") == n).select("length", "phrase").distinct().withColumn(
             "hash", F.get(_window_hashes(F.split("phrase", " "), [n]), 0)["hash"])
@@ -83,21 +86,30 @@ def occurrences(docs: DataFrame, windows: DataFrame,
     known = staged(known, "benchmark-windows").withColumnsRenamed(
         {"length": "known_length", "phrase": "known_phrase", "hash": "known_hash"})
     size = known.agg(F.sum(F.octet_length("known_phrase") + ROW_BYTES)).first()[0] or 0
-    texts = docs.select(text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("words"))
-    hashed = texts.select("text_key", "words", _window_hashes(F.col("words"), lengths).alias("hashes"))
-    # An outer generator, as Spark would compute the input of another one once more to filter it.
-    places = hashed.select("text_key", "words", F.inline_outer("hashes"))
+    # In a struct, as their names may be those of the columns here.
+    carried = F.struct(F.lit(True).alias("__any"), *[F.col(name) for name in names]).alias("carried")
+    texts = docs.select(carried, text_key(F.col("text")).alias("text_key"), words(F.col("text")).alias("words"))
+    hashed = texts.select("carried", "text_key", "words", _window_hashes(F.col("words"), lengths).alias("hashes"))
+    # An outer generator, as Spark would compute the input of another one once more to filter
+    # it, and so that a document without a window has a row as well.
+    places = hashed.select("carried", "text_key", "words", F.inline_outer("hashes"))
     phrase = _phrase(F.col("words"), F.col("start"), F.col("length"))
     same = (F.col("hash") == F.col("known_hash")) & (F.col("length") == F.col("known_length"))
+    # The shortest windows come first, so this is the first row of each document.
+    head = F.col("hash").isNull() | ((F.col("start") == 0) & (F.col("length") == lengths[0]))
+    out = [F.when(head, F.col("carried")).alias("carried"), head.alias("head"), "text_key",
+           F.when(head, F.size("words")).alias("n_words"), "length", "start"]
     if size <= broadcast_bytes:
         # No equality, which would become a key of the join and be computed for every window.
         equal = phrase.between(F.col("known_phrase"), F.col("known_phrase"))
-        found = places.join(F.broadcast(known), same & equal)
-    else:
-        # The words of a document must not travel with each of its windows.
-        slim = places.select("text_key", "length", "start", "hash", phrase.alias("phrase"))
-        found = slim.join(known, same & (F.col("phrase") == F.col("known_phrase")))
-    return found.select("text_key", "length", "start", F.col("known_phrase").alias("phrase"))
+        found = places.join(F.broadcast(known), same & equal, "left")
+        return found.filter(head | F.col("known_phrase").isNotNull()).select(*out, F.col("known_phrase").alias("phrase"))
+    # The words of a document must not travel with each of its windows.
+    slim = places.filter("hash IS NOT NULL").select("text_key", "length", "start", "hash", phrase.alias("phrase"))
+    found = slim.join(known, same & (F.col("phrase") == F.col("known_phrase")))
+    return places.filter(head).select(*out, F.lit(None).cast("string").alias("phrase")).unionByName(
+        found.select("text_key", "length", "start", F.col("known_phrase").alias("phrase")).withColumn(
+            "head", F.lit(False)), allowMissingColumns=True)
 
 
 def _merged(positions: Column) -> Column:
@@ -110,16 +122,14 @@ def _merged(positions: Column) -> Column:
     return F.get(F.transform(F.array(positions), runs), 0)
 
 
-def passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
-             broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row per contaminated text: text_key, spans, n_hit, items.
+def passages(found: DataFrame, windows: DataFrame) -> DataFrame:
+    """One row per contaminated text, of the rows of ``scanned``: text_key, spans, n_hit, items.
 
     ``spans`` are the (start, end) of the runs of words that lie in an occurrence, ``n_hit``
     how many words those are, ``items`` the sorted ids, as text, of the items found. An item
     without an id is the empty text.
     """
-    windows = staged(item_windows(benchmark, size), "item-windows")
-    found = staged(occurrences(docs, windows, broadcast_bytes), "occurrences")
+    found = found.filter("phrase IS NOT NULL")
     covered = (found.select("text_key", F.struct("start", "length").alias("at")).groupBy("text_key")
                .agg(F.collect_set("at").alias("at"))
                .select("text_key", F.array_sort(F.array_distinct(F.flatten(F.transform("at", lambda s: F.sequence(
@@ -133,29 +143,47 @@ def passages(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
         F.size("positions").cast("long").alias("n_hit"), "items")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
-                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Every document with n_words, n_hit, spans, items and contaminated beside its columns.
+def report(docs: DataFrame, benchmark: DataFrame, names: list[str], size: int = WINDOW,
+           broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The named columns of every document with text_key, n_words, n_hit, spans, items and
+    contaminated; the texts are read once and not shuffled.
 
     Words are runs of ASCII letters, digits and all characters beyond ASCII, with A-Z in
     lower case. A document word is hit if it lies in any occurrence of a window: of ``size``
     consecutive words of an item, or all words of a shorter item. NULL and empty texts have
     no words, and no item is found in them; spans and items are then empty, as they are for
-    an empty benchmark. Rows with equal ids are told apart by their texts. Columns of the
-    documents with the names of results are replaced.
+    an empty benchmark. Rows with equal ids are told apart by their texts.
     """
-    found = staged(passages(docs, benchmark, size, broadcast_bytes), "passages").withColumnsRenamed(
-        {"text_key": "__key", "spans": "__spans", "n_hit": "__hit", "items": "__items"})
+    windows = staged(item_windows(benchmark, size), "item-windows")
+    found = staged(scanned(docs, windows, names, broadcast_bytes), "occurrences")
+    known = staged(passages(found, windows), "passages").withColumnRenamed("text_key", "__key")
+    rows = found.filter("head").select("carried", "text_key", F.col("n_words").cast("long").alias("n_words"))
+    return rows.join(known, F.col("text_key") == F.col("__key"), "left").select(
+        *[F.col("carried").getField(name).alias(name) for name in names], "text_key", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.col("__key").isNotNull().alias("contaminated"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
+                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Every document with what ``report`` has of its text beside its columns, of which those
+    with the names of results are replaced. Texts are shuffled only if those with a hit are
+    too many to be broadcast."""
+    found = report(docs.select("text"), benchmark, [], size, broadcast_bytes).dropDuplicates(["text_key"])
+    hit = staged(found.filter("contaminated"), "contaminated").withColumnsRenamed(
+        {c: f"__{c}" for c in ("text_key", "n_words", "n_hit", "spans", "items", "contaminated")})
     counted = F.size(F.regexp_extract_all("text", F.lit(WORD_ANY_CASE), F.lit(0)))
     # Before the join, so that texts which nobody asks for are not shuffled.
     keyed = docs.withColumns({"__own": text_key(F.col("text")), "n_words": F.when(
         F.col("text").isNull(), 0).otherwise(counted).cast("long")})
-    joined = keyed.join(found, F.col("__own") == F.col("__key"), "left")
+    joined = keyed.join(hit, F.col("__own") == F.col("__text_key"), "left")
     return joined.withColumns({
-        "n_hit": F.coalesce("__hit", F.lit(0).cast("long")),
+        "n_hit": F.coalesce("__n_hit", F.lit(0).cast("long")),
         "spans": F.coalesce("__spans", F.array().cast("array<struct<start:int,end:int>>")),
         "items": F.coalesce("__items", F.array().cast("array<string>")),
-        "contaminated": F.col("__key").isNotNull()}).drop("__own", "__key", "__spans", "__hit", "__items")
+        "contaminated": F.col("__contaminated").isNotNull()}).drop(
+            "__own", "__text_key", "__n_words", "__n_hit", "__spans", "__items", "__contaminated")
 
 
 def without_documents(docs: DataFrame, benchmark: DataFrame, share: float = 0.0,

@@ -216,7 +216,7 @@ ASCII_LOWER = f"'{line_dedup.UPPER}', '{line_dedup.LOWER}'"
            sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
     FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""")
 def op12_decontaminate(spark, sf_dir):
-    marked = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    marked = decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
     return marked.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

@@ -64,6 +64,9 @@ def test_against_a_plain_version(texts, items, limit):
         words, hit, found = plain(text, ITEMS)
         want[doc, words, len(hit), tuple(found), bool(hit), len(hit), f"w{n}"] += 1
     assert got == want
+    told = decontaminate.report(texts, items, ["doc_id", "words"], broadcast_bytes=limit).collect()
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), r["contaminated"],
+                    sum(s["end"] - s["start"] for s in r["spans"]), r["words"]) for r in told) == want
 
 
 def test_documents_and_spans_go(spark, texts, items):
