@@ -21,7 +21,8 @@ def create_log(spark: SparkSession, path: str) -> None:
 def entries(spark: SparkSession, path: str, upto: int | None = None) -> list[Row]:
     """All rows of the log, or those up to a number, in order."""
     log = spark.read.schema(LOG).parquet(f"{path}/log")
-    return (log if upto is None else log.where(F.col("number") <= upto)).orderBy("number").collect()
+    found = (log if upto is None else log.where(F.col("number") <= upto)).collect()
+    return sorted(found, key=lambda entry: entry["number"])
 
 
 def shown(log: Sequence[Row]) -> list[Row]:
