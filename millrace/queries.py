@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
 from functools import reduce
 
@@ -174,17 +174,17 @@ def stream_ingest(spark, sf_dir):
 
 
 def _managed(spark: SparkSession, sf_dir: str) -> str:
-    """Events in four batches into the managed table, compacted after two of them and again."""
+    """Events in four batches into the managed table, compacted, then a quarter of them again in
+    two more, compacted. Each batch is a delivery, which the stream goes on with where it stopped."""
     path, batches = work_dir(spark, "managed"), []
-    stream = in_time_order(table(spark, sf_dir, "events"), f"{path}/in", "ts")
 
-    def poll(source: DataFrame) -> None:
-        managed.start_managed(as_messages(source), f"{path}/rows", f"{path}/checkpoint", interval=None,
-                              on_batch=batches.append).awaitTermination()
+    def poll(rows: DataFrame, parts: int) -> None:
+        for source in in_time_order(rows, f"{path}/in", "ts", parts):
+            managed.start_managed(as_messages(source), f"{path}/rows", f"{path}/checkpoint", interval=None,
+                                  on_batch=batches.append).awaitTermination()
         managed.compact(spark, f"{path}/rows")
-    poll(stream)
-    in_time_order(table(spark, sf_dir, "events").where("event_id % 4 = 0"), f"{path}/in", "ts", 2)
-    poll(stream)
+    poll(table(spark, sf_dir, "events"), 4)
+    poll(table(spark, sf_dir, "events").where("event_id % 4 = 0"), 2)
     return f"{path}/rows"
 
 
@@ -1110,18 +1110,20 @@ def anomaly_flags(spark, sf_dir):
     return _rounded(audit.anomaly_flags(events, "event_type", "value"), 4, "z_score")
 
 
-def in_time_order(df: DataFrame, path: str, time: str, parts: int = 4) -> DataFrame:
-    """The rows as a stream of so many files, one after the other by time; one to a batch.
+def in_time_order(df: DataFrame, path: str, time: str, parts: int = 4) -> Iterator[DataFrame]:
+    """The rows in so many deliveries, one after the other by time: after each of them a stream
+    of the folder, which has to be run before the next one is written.
 
-    Rows without a time are in the first one.
+    All new files are one batch, so a delivery is, and is written and read by as many tasks as
+    there are. Rows without a time are in the first one.
     """
     spread = df.agg(F.min(time), F.max(time)).first()
     micros = F.unix_micros(F.col(time).cast("timestamp"))
     low, high = (F.unix_micros(F.lit(v).cast("timestamp")) for v in spread)
     part = F.coalesce(F.floor((micros - low) * parts / (high - low + 1)), F.lit(0))
     for k in range(parts):
-        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
-    return parquet_stream(df.sparkSession, path, df.schema, max_files=1)
+        df.where(part == k).write.mode("append").parquet(path)
+        yield parquet_stream(df.sparkSession, path, df.schema)
 
 
 @query(f"""
@@ -1137,10 +1139,10 @@ def in_time_order(df: DataFrame, path: str, time: str, parts: int = 4) -> DataFr
     SELECT event_id, event_type, value, round(z, 4) AS z_score, coalesce(abs(z) > 3, false) AS is_anomaly FROM scored""")
 def anomaly_stream(spark, sf_dir):
     """Scored in four batches against the days before, of which only moments are kept."""
-    path = work_dir(spark, "anomalies")
-    stream = in_time_order(spoiled(spark, sf_dir), f"{path}/in", "ts")
-    anomalies.start_anomalies(stream, f"{path}/out", f"{path}/checkpoint", "ts", "event_type", "value").awaitTermination()
-    out = anomalies.read_scored(spark, f"{path}/out", stream.schema).select("event_id", "event_type", "value", "z_score", "is_anomaly")
+    path, rows = work_dir(spark, "anomalies"), spoiled(spark, sf_dir)
+    for stream in in_time_order(rows, f"{path}/in", "ts"):
+        anomalies.start_anomalies(stream, f"{path}/out", f"{path}/checkpoint", "ts", "event_type", "value").awaitTermination()
+    out = anomalies.read_scored(spark, f"{path}/out", rows.schema).select("event_id", "event_type", "value", "z_score", "is_anomaly")
     return _rounded(out, 4, "z_score")
 
 

@@ -2,10 +2,13 @@
 
 import datetime as dt
 import os
+from glob import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from frames import rows
+from millrace import queries
 from millrace.operators import change
 from millrace.plans import jobs
 from millrace.sources.streams import json_lines_stream
@@ -184,3 +187,25 @@ def test_snapshots_of_managed_tables_follow_growth(inbox, spark, folder):
     managed.compact(spark, inbox.path)
     assert jobs.read_managed_snapshot(spark, "prices", f"{folder}/cursors").count() == 3
     assert jobs.read_managed_snapshot(spark, "other", f"{folder}/cursors") is None
+
+
+def test_a_delivery_is_one_batch_in_several_files(spark, folder):
+    """By time, not by the order of the rows, which all tasks have some of."""
+    df = spark.range(0, 400, 1, 4).select("id", F.when(F.col("id") != 0, F.timestamp_seconds(F.col("id") % 100)).alias("at"))
+    seen, files = [], []
+    for stream in queries.in_time_order(df, f"{folder}/in", "at"):
+        files.append(len(glob(f"{folder}/in/*.parquet")))
+        stream.writeStream.foreachBatch(lambda batch, n: seen.append((n, sorted(r["id"] for r in batch.collect())))).option(
+            "checkpointLocation", f"{folder}/c").trigger(availableNow=True).start().awaitTermination()
+    assert seen == [(k, [n for n in range(400) if n % 100 // 25 == k]) for k in range(4)]
+    assert files == [4, 8, 12, 16]
+
+
+def test_deliveries_without_rows_or_times(spark, folder):
+    for name, ids in (("none", []), ("untimed", [1, 2])):
+        df = spark.createDataFrame([(n, None) for n in ids], "id long, at timestamp")
+        seen = []
+        for stream in queries.in_time_order(df, f"{folder}/{name}", "at"):
+            stream.writeStream.foreachBatch(lambda batch, n: seen.append((n, batch.count()))).option(
+                "checkpointLocation", f"{folder}/{name}-c").trigger(availableNow=True).start().awaitTermination()
+        assert seen == [(0, len(ids)), (1, 0), (2, 0), (3, 0)]
