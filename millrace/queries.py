@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from millrace.contracts import (ALPHA, BETAS, COPIED_ROWS, FEATURES_TABLE, NULL_ROWS, PRICE_ROW,
                                 PRICES_TABLE, REGISTRY_TABLE, TABLES, Column, contract_of, required_columns)
@@ -173,17 +173,21 @@ def stream_ingest(spark, sf_dir):
     return ingest.read_accepted(spark, _ingested(spark, sf_dir))
 
 
-def _managed(spark: SparkSession, sf_dir: str) -> str:
+# Batches of the managed table before some of their rows are sent again.
+FIRST_SENT = 4
+
+
+def _managed(spark: SparkSession, sf_dir: str, on_batch: Callable[[ingest.BatchReport], None] | None = None) -> str:
     """Events in four batches into the managed table, compacted, then a quarter of them again in
     two more, compacted. Each batch is a delivery, which the stream goes on with where it stopped."""
-    path, batches = work_dir(spark, "managed"), []
+    path = work_dir(spark, "managed")
 
     def poll(rows: DataFrame, parts: int) -> None:
         for source in in_time_order(rows, f"{path}/in", "ts", parts):
             managed.start_managed(as_messages(source), f"{path}/rows", f"{path}/checkpoint", interval=None,
-                                  on_batch=batches.append).awaitTermination()
+                                  on_batch=on_batch).awaitTermination()
         managed.compact(spark, f"{path}/rows")
-    poll(table(spark, sf_dir, "events"), 4)
+    poll(table(spark, sf_dir, "events"), FIRST_SENT)
     poll(table(spark, sf_dir, "events").where("event_id % 4 = 0"), 2)
     return f"{path}/rows"
 
@@ -202,6 +206,21 @@ def stream_managed(spark, sf_dir):
         *PRICE_ROW.names, F.col("inserted_at").isNotNull().alias("has_insert_time"))
 
 
+def _in_order(rows: DataFrame, reports: list[ingest.BatchReport], again: int) -> DataFrame:
+    """Whether the batches have, in the order of their keys, as many rows as were reported of them,
+    and each has its keys and times above those of the one before; the times begin anew with
+    batch ``again``."""
+    sent = {r.batch_id: r.rows_accepted for r in reports if r.rows_accepted}
+    counts = F.array(*[F.lit(sent[k]) for k in sorted(sent)]).cast("array<bigint>")
+    by_key = Window.partitionBy().orderBy("first_id")  # one row for each batch
+    at = F.row_number().over(by_key) - 1
+    above = F.col("first_id") > F.lag("last_id").over(by_key)
+    later = (F.col("first_time") > F.lag("last_time").over(by_key)) | (at == sum(k < again for k in sent))
+    found = managed.batch_spans(rows).select(
+        ((F.col("n") == F.get(counts, at)) & ((at == 0) | (above & later))).alias("ok"))
+    return found.agg(((F.count_if("ok") == len(sent)) & (F.count("*") == len(sent))).alias("in_order"))
+
+
 @query(f"""
     WITH {SENT_TWICE_SQL},
     n AS (SELECT count(*) AS rows_in, count(*) FILTER (WHERE k NOT IN ('0', '1', '2')) AS kept FROM twice)
@@ -209,10 +228,11 @@ def stream_managed(spark, sf_dir):
     FROM n""")
 def stream_managed_ids(spark, sf_dir):
     """Keys occur once, and ascend from batch to batch, as rows of a later time are in a later one."""
-    path = _managed(spark, sf_dir)
+    reports: list[ingest.BatchReport] = []
+    path = _managed(spark, sf_dir, reports.append)
     rows = managed.read_managed(spark, path)
-    ids = rows.agg(F.count("*").alias("rows_accepted"), F.count_distinct("id").alias("distinct_ids"),
-                   (F.min("id") >= 0).alias("in_order"))
+    ids = rows.agg(F.count("*").alias("rows_accepted"), F.count_distinct("id").alias("distinct_ids"))
+    ids = ids.withColumn("in_order", _in_order(rows, reports, FIRST_SENT).scalar())
     log = managed.managed_batches(spark, path).agg(
         F.sum("rows_in").alias("rows_in"), F.sum(F.col("rows_in") - F.col("rows_accepted")).alias("rows_rejected"),
         F.count_if(F.col("last_batch") > F.col("first_batch")).cast("int").alias("compactions"))

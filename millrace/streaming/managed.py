@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.contracts import MESSAGE_KEY, PRICE_ROW
+from millrace.contracts import EVENT_TIME, MESSAGE_KEY, PRICE_ROW
 from millrace.operators.parsing import RAW, REASON
 from millrace.sinks import batches
 from millrace.sinks.slices import SLICE, attempt_path, new_attempt
@@ -115,6 +115,14 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
         MESSAGE_KEY, RAW, REASON, INSERTED)
 
 
+def batch_spans(rows: DataFrame) -> DataFrame:
+    """Of rows of the table, one row per micro-batch: how many there are, and their first and last
+    key and time. A batch has one insert time, which a compaction leaves as it is."""
+    return rows.groupBy(INSERTED).agg(
+        F.count("*").alias("n"), F.min(ID).alias("first_id"), F.max(ID).alias("last_id"),
+        F.min(EVENT_TIME).alias("first_time"), F.max(EVENT_TIME).alias("last_time"))
+
+
 def snapshot_state(spark: SparkSession, path: str) -> tuple[int, int]:
     """(number of the log's last entry, accepted rows), without reading a row."""
     seen = _seen(spark, path)

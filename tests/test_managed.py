@@ -11,7 +11,7 @@ from frames import rows
 from millrace import queries
 from millrace.operators import change
 from millrace.plans import jobs
-from millrace.sources.streams import json_lines_stream
+from millrace.sources.streams import json_lines_stream, parquet_stream
 from millrace.streaming import managed
 from millrace.streaming.ingest import BatchReport, start_stream
 
@@ -209,3 +209,64 @@ def test_deliveries_without_rows_or_times(spark, folder):
             stream.writeStream.foreachBatch(lambda batch, n: seen.append((n, batch.count()))).option(
                 "checkpointLocation", f"{folder}/{name}-c").trigger(availableNow=True).start().awaitTermination()
         assert seen == [(0, len(ids)), (1, 0), (2, 0), (3, 0)]
+
+
+def by_lower_keys(*args, commit=managed.batches.commit_batch):
+    """Batches get keys below those of the batch before; compactions are left alone."""
+    *most, (first, last), rows_in, accepted, first_ids, next_id = args
+    if first_ids is not None:
+        first_ids = [10 ** 9 - first * 10 ** 6 + 10 ** 4 * task for task in range(len(first_ids))]
+    commit(*most, (first, last), rows_in, accepted, first_ids, next_id)
+
+
+def backwards(df, path, time, parts):
+    """Deliveries of rows of earlier and earlier times."""
+    for k in reversed(range(parts)):
+        df.where(F.floor(F.col("event_id") * parts / 80) == k).write.mode("append").parquet(path)
+        yield parquet_stream(df.sparkSession, path, df.schema)
+
+
+@pytest.mark.parametrize("wrong", ["nothing", "keys", "deliveries"])
+def test_the_order_of_keys_is_told_from_the_rows(spark, folder, monkeypatch, wrong):
+    """Of 80 rows, some come twice and some are rejects; one delivery of six has nothing to accept."""
+    n = F.col("id")
+    spark.range(80).select(
+        n.alias("event_id"), (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=n)).alias("ts"),
+        F.lit("view").alias("event_type"), F.lit(1.0).alias("value"),
+        F.format_string('{"k": %d}', F.when(n.between(20, 39), 0).otherwise(n % 7 + 2)).alias("props"),
+        F.explode(F.sequence(F.lit(1), n % 2 + 1))).drop("col").write.parquet(f"{folder}/events.parquet")
+    if wrong == "keys":
+        monkeypatch.setattr(managed.batches, "commit_batch", by_lower_keys)
+    if wrong == "deliveries":
+        monkeypatch.setattr(queries, "in_time_order", backwards)
+    found = queries.stream_managed_ids(spark, folder).first()
+    assert found["in_order"] is (wrong == "nothing")
+    assert found["rows_in"] == 140 and found["rows_accepted"] == found["distinct_ids"] == 140 - found["rows_rejected"]
+
+
+# Batches of which the second has no accepted row; the third and fourth are sent again.
+SENT = [BatchReport(0, 2, 2, 0), BatchReport(1, 1, 0, 1), BatchReport(2, 3, 2, 1), BatchReport(3, 1, 1, 0)]
+KEPT = [(0, 1, 10), (1, 1, 11), (5, 2, 10), (6, 2, 12), (7, 3, 13)]
+
+
+@pytest.mark.parametrize("rows_kept, again, ok", [
+    (KEPT, 2, True), ([], 2, False), (KEPT[:4], 2, False),
+    (KEPT, 3, False),  # the times begin anew too early
+    ([(9, 1, 10), *KEPT[1:]], 2, False),  # a key of the first batch above all others
+    ([*KEPT[:4], (4, 3, 13)], 2, False),  # a key of the last batch among those before
+    ([(1, 1, 11), *KEPT[1:]], 2, True),  # keys that occur twice in a batch are counted elsewhere
+    ([*KEPT[:4], (6, 3, 13)], 2, False),  # but not in two
+    ([*KEPT[:4], (7, 3, 12)], 2, False),  # no later time
+    ([*KEPT[:3], (6, 3, 12), (7, 3, 13)], 2, False),  # other numbers of rows than were reported
+])
+def test_keys_and_times_ascend_from_batch_to_batch(spark, rows_kept, again, ok):
+    table = spark.createDataFrame(rows_kept, "id long, batch long, time long").select(
+        "id", *[F.timestamp_seconds(c).cast("timestamp_ntz").alias(name)
+                for c, name in (("batch", "inserted_at"), ("time", "event_timestamp"))])
+    assert queries._in_order(table, SENT, again).first()["in_order"] is ok
+
+
+def test_no_rows_are_in_order(spark):
+    table = spark.createDataFrame([], "id long, inserted_at timestamp_ntz, event_timestamp timestamp_ntz")
+    for reports in ([], [BatchReport(0, 0, 0, 0), BatchReport(1, 1, 0, 1)]):
+        assert queries._in_order(table, reports, 4).first()["in_order"] is True
